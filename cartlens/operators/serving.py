@@ -76,11 +76,12 @@ def search_rules(rules: DataFrame, text: str, regex: bool = True,
 
 def display_rules(rules: DataFrame,
                   labels: Sequence[str] = ("product_purchased", "recommended_product",
-                                           "confidence", "lift")) -> DataFrame:
+                                           "confidence", "lift"),
+                  keep: Sequence[str] = ()) -> DataFrame:
     """Relabelled columns with confidence as percent text and lift with two
-    decimals (rows keep their order)."""
+    decimals (rows keep their order); ``keep`` columns are passed through first."""
     a, b, c, l = labels
-    return rules.select(F.col("antecedent_product_names").alias(a),
+    return rules.select(*keep, F.col("antecedent_product_names").alias(a),
                         F.col("consequent_product_names").alias(b),
                         percent_text("confidence").alias(c),
                         two_decimal_text("lift").alias(l))

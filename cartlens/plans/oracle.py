@@ -50,3 +50,128 @@ named AS (SELECT r.antecedent, concat_ws(', ', d1.name, d2.name) AS antecedent_p
           FROM rules r LEFT JOIN dim d1 ON d1.id = r.a1 LEFT JOIN dim d2 ON d2.id = r.a2
                        LEFT JOIN dim d3 ON d3.id = r.con)
 """
+
+
+# Same parameters as the registered queries.
+SUPPORT, CONFIDENCE = 0.005, 0.15
+STRONG_LIFT, HIGH_CONFIDENCE = 1.1, 0.20
+SLIDER_CONFIDENCE, SLIDER_LIFT = 0.18, 1.05
+SEARCH_TEXT = "brand#1"
+
+_BASKETS = """SELECT o AS order_id, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS items,
+       CAST(count(*) AS INTEGER) AS item_count FROM b GROUP BY o"""
+_ITEMSETS = "SELECT items, freq, item_count FROM itemsets"
+_RULES = "SELECT antecedent, consequent, confidence, lift, support FROM rules"
+_NAMED = """SELECT antecedent, antecedent_product_names, consequent, consequent_product_names,
+       confidence, lift, support FROM named"""
+_VIEW = "antecedent_product_names, consequent_product_names, confidence, lift"
+_FILTERED = (f"(SELECT * FROM named WHERE confidence >= {SLIDER_CONFIDENCE} "
+             f"AND lift >= {SLIDER_LIFT})")
+_LABEL = "antecedent_product_names || ' → ' || consequent_product_names"
+_NAMED_ITEMSETS = """(SELECT s.items,
+        concat_ws(', ', coalesce(d1.name, CAST(s.i1 AS VARCHAR)),
+                        coalesce(d2.name, CAST(s.i2 AS VARCHAR)),
+                        coalesce(d3.name, CAST(s.i3 AS VARCHAR))) AS products,
+        s.freq
+ FROM itemsets s LEFT JOIN dim d1 ON d1.id = s.i1 LEFT JOIN dim d2 ON d2.id = s.i2
+                 LEFT JOIN dim d3 ON d3.id = s.i3)"""
+# Java formats the shortest decimal form of a double with HALF_UP rounding;
+# going through VARCHAR -> DECIMAL reproduces that in DuckDB.
+_JAVA_2F = "printf('%.2f', round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2))"
+
+
+def _q(body: str) -> str:
+    return f"WITH {mining_cte(SUPPORT, CONFIDENCE)}\n{body}"
+
+
+ORACLES: dict[str, str] = {
+    "baskets": _q(_BASKETS),
+    "clean_baskets": _q(_BASKETS),
+    "csv_roundtrip": _q(_BASKETS),
+    "json_parse": _q(_BASKETS),
+    "stream_parse": _q(_BASKETS),
+    "order_lines": """SELECT l_orderkey AS order_id, CAST(substr(p_brand, 7) AS INTEGER) AS product_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey""",
+    "exploded_items": _q("SELECT o AS order_id, i AS product_id FROM b"),
+    "stream_items": _q("SELECT o AS order_id, i AS product_id FROM b"),
+    "product_dim": "SELECT CAST(p_partkey AS INTEGER) AS product_id, p_name AS product_name FROM part",
+    "freq_itemsets": _q(_ITEMSETS),
+    "itemsets_flat": _q(_ITEMSETS),
+    "rules": _q(_RULES),
+    "rules_flat": _q(_RULES),
+    "rules_named": _q(_NAMED),
+    "rules_enriched": _q(_NAMED),
+    "rules_named_csv": _q(_NAMED),
+    "parquet_roundtrip": _q(_NAMED),
+    "rules_for_load": _q(_NAMED),
+    "rules_clean": _q(_NAMED),
+    "pipeline": _q(_NAMED),
+    "names_by_array": _q("""SELECT 'antecedent' AS side, antecedent AS ids, antecedent_product_names AS names
+FROM (SELECT DISTINCT antecedent, antecedent_product_names FROM named)
+UNION ALL
+SELECT 'consequent', consequent, consequent_product_names
+FROM (SELECT DISTINCT consequent, consequent_product_names FROM named)"""),
+    "itemsets_named": _q(f"SELECT items, products, freq FROM {_NAMED_ITEMSETS}"),
+    "stage_counts": _q("""SELECT 'orders' AS stage, count(*) AS "rows" FROM orders
+UNION ALL SELECT 'order_lines', count(*) FROM lineitem
+UNION ALL SELECT 'baskets', (SELECT n FROM t)
+UNION ALL SELECT 'itemsets', count(*) FROM itemsets
+UNION ALL SELECT 'rules', count(*) FROM rules"""),
+    "split_ids": _q("""SELECT antecedent, consequent,
+       CAST(len(string_split(antecedent, ',')) AS INTEGER) AS n_antecedent,
+       a1 AS first_antecedent, coalesce(a2, a1) AS last_antecedent, con AS consequent_id
+FROM rules"""),
+    "basket_json": _q("""SELECT o AS order_id,
+       '{"order_id":' || o || ',"items":[' || string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) || ']}' AS value
+FROM b GROUP BY o"""),
+    "topic_peek": _q(f"{_BASKETS} ORDER BY order_id LIMIT 10"),
+    "top_rules": _q(f"""SELECT antecedent_product_names, consequent_product_names,
+       round(confidence, 4) AS confidence, round(lift, 4) AS lift, round(support, 4) AS support
+FROM named ORDER BY lift DESC, confidence DESC, antecedent, consequent LIMIT 30"""),
+    "top_confidence": _q(f"SELECT {_VIEW} FROM named ORDER BY confidence DESC, antecedent, consequent LIMIT 10"),
+    "top_lift": _q(f"SELECT {_VIEW} FROM named ORDER BY lift DESC, antecedent, consequent LIMIT 10"),
+    "strong_rules": _q(f"""SELECT {_VIEW} FROM named WHERE lift > {STRONG_LIFT}
+ORDER BY lift DESC, antecedent, consequent LIMIT 50"""),
+    "high_confidence": _q(f"""SELECT {_VIEW} FROM named WHERE confidence > {HIGH_CONFIDENCE}
+ORDER BY confidence DESC, antecedent, consequent LIMIT 50"""),
+    "top_recommendations": _q("""SELECT consequent_product_names, count(*) AS "count" FROM named
+GROUP BY 1 ORDER BY "count" DESC, consequent_product_names LIMIT 20"""),
+    "rule_summary": _q(f"""SELECT count(*) AS total_rules,
+       count(*) FILTER (WHERE lift > {STRONG_LIFT}) AS strong_rules,
+       count(*) FILTER (WHERE confidence > {HIGH_CONFIDENCE}) AS high_confidence_rules
+FROM named"""),
+    "preview": _q("SELECT items, freq, item_count FROM itemsets ORDER BY freq DESC, items LIMIT 20"),
+    "rule_kpis": _q(f"""SELECT count(*) AS total_rules,
+       count(*) FILTER (WHERE confidence >= {SLIDER_CONFIDENCE} AND lift >= {SLIDER_LIFT}) AS filtered_rules,
+       round(avg(confidence), 9) AS avg_confidence, round(avg(lift), 9) AS avg_lift,
+       greatest(5.0, max(lift)) AS max_lift_bound,
+       format('{{:,}}', count(*)) AS total_rules_text,
+       format('{{:,}}', count(*) FILTER (WHERE confidence >= {SLIDER_CONFIDENCE} AND lift >= {SLIDER_LIFT})) AS filtered_rules_text
+FROM named"""),
+    "dashboard_kpis": _q("""SELECT (SELECT n FROM t) AS transactions, (SELECT count(*) FROM itemsets) AS itemsets,
+       count(*) AS rules, round(avg(confidence), 3) AS avg_confidence,
+       round(avg(lift), 3) AS avg_lift, round(avg(support), 3) AS avg_support
+FROM rules"""),
+    "rules_filtered": _q(f"""SELECT antecedent, antecedent_product_names, consequent, consequent_product_names,
+       confidence, lift, support FROM {_FILTERED}"""),
+    "top_rules_filtered": _q(f"""SELECT antecedent_product_names AS product_a, consequent_product_names AS product_b,
+       confidence, lift FROM {_FILTERED} ORDER BY lift DESC, antecedent, consequent LIMIT 20"""),
+    "chart_lift": _q(f"""SELECT {_LABEL} AS rule, confidence, lift FROM {_FILTERED}
+ORDER BY lift DESC, antecedent, consequent LIMIT 15"""),
+    "chart_confidence": _q(f"""SELECT {_LABEL} AS rule, confidence, lift FROM {_FILTERED}
+ORDER BY confidence DESC, antecedent, consequent LIMIT 15"""),
+    "chart_scatter": _q(f"SELECT {_LABEL} AS rule, confidence, lift, support FROM {_FILTERED}"),
+    "all_rules": _q(f"""SELECT antecedent_product_names AS product_a, consequent_product_names AS product_b,
+       confidence, lift FROM {_FILTERED}"""),
+    "rule_search": _q(f"""SELECT antecedent_product_names AS product_purchased,
+       consequent_product_names AS recommended_product, confidence, lift
+FROM named WHERE coalesce(regexp_matches(antecedent_product_names, '{SEARCH_TEXT}', 'i'), false)"""),
+    "rule_display": _q(f"""SELECT antecedent, consequent, antecedent_product_names AS product_purchased,
+       consequent_product_names AS recommended_product,
+       {_JAVA_2F.format(x='confidence * 100.0')} || '%' AS confidence_text,
+       {_JAVA_2F.format(x='lift')} AS lift_text
+FROM named"""),
+    "rules_by_lift": _q("""SELECT antecedent_product_names AS antecedent_names,
+       consequent_product_names AS consequent_names, confidence, lift, support FROM named"""),
+    "top_itemsets": _q(f"SELECT items, products, freq FROM {_NAMED_ITEMSETS} ORDER BY freq DESC, items LIMIT 20"),
+}

@@ -1,0 +1,77 @@
+"""The batch chain: preprocess -> mine -> label -> publish (-> serving table).
+
+Each stage writes its result and the next reads it back, so a failed stage
+restarts from files instead of from the raw tables, and nothing is recomputed
+because an action ran twice.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cartlens.operators.baskets import build_baskets, clean_baskets
+from cartlens.operators.labels import label_rules
+from cartlens.operators.mining import (DEFAULT_MIN_CONFIDENCE, DEFAULT_MIN_SUPPORT,
+                                       canonical_itemsets, derive_rules, fit_fpgrowth)
+from cartlens.sources.jdbc import load_rules
+from cartlens.sources.writers import write_parquet
+
+
+@dataclass
+class PipelineConfig:
+    output_dir: str
+    min_support: float = DEFAULT_MIN_SUPPORT
+    min_confidence: float = DEFAULT_MIN_CONFIDENCE
+    min_basket_size: int = 2
+    num_partitions: int | None = None
+    jdbc_url: str | None = None
+    jdbc_table: str = "association_rules"
+    jdbc_properties: dict[str, str] = field(default_factory=dict)
+
+    def path(self, name: str) -> str:
+        return f"{self.output_dir.rstrip('/')}/{name}"
+
+
+def preprocess(orders: DataFrame, lines: DataFrame, cfg: PipelineConfig) -> str:
+    """Stage 1: baskets written as Parquet."""
+    return write_parquet(build_baskets(orders, lines, min_size=cfg.min_basket_size),
+                         cfg.path("transactions"))
+
+
+def mine_stage(spark: SparkSession, baskets_path: str, products: DataFrame,
+               cfg: PipelineConfig) -> dict[str, object]:
+    """Stage 2: read baskets, clean, fit, write itemsets, derive, label and
+    write rules."""
+    from pyspark import StorageLevel
+    from pyspark.sql import functions as F
+
+    baskets = clean_baskets(spark.read.parquet(baskets_path), min_size=cfg.min_basket_size)
+    data = baskets.select("items").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = data.count()
+        model = fit_fpgrowth(data, "items", cfg.min_support, cfg.min_confidence,
+                             cfg.num_partitions)
+        itemsets_path = write_parquet(canonical_itemsets(model.freqItemsets),
+                                      cfg.path("frequent_itemsets"))
+    finally:
+        data.unpersist()
+    itemsets = spark.read.parquet(itemsets_path)
+    rules = label_rules(derive_rules(itemsets, n, cfg.min_confidence), products)
+    rules_path = write_parquet(rules, cfg.path("association_rules"))
+    counts = spark.read.parquet(rules_path).agg(F.count(F.lit(1)).alias("n")).first()
+    return {"baskets": n, "itemsets_path": itemsets_path, "rules_path": rules_path,
+            "rules": counts["n"]}
+
+
+def run_pipeline(spark: SparkSession, orders: DataFrame, lines: DataFrame,
+                 products: DataFrame, cfg: PipelineConfig) -> dict[str, object]:
+    """preprocess >> mine >> load; the load runs only when a JDBC URL is set."""
+    baskets_path = preprocess(orders, lines, cfg)
+    result = {"baskets_path": baskets_path}
+    result.update(mine_stage(spark, baskets_path, products, cfg))
+    if cfg.jdbc_url:
+        result["load"] = load_rules(spark.read.parquet(result["rules_path"]), cfg.jdbc_url,
+                                    cfg.jdbc_table, cfg.jdbc_properties)
+    return result
