@@ -58,7 +58,7 @@ def itemset_kpis(itemsets: DataFrame, rules: DataFrame, n_baskets: int) -> DataF
                      F.round(F.avg("confidence"), 3).alias("avg_confidence"),
                      F.round(F.avg("lift"), 3).alias("avg_lift"),
                      F.round(F.avg("support"), 3).alias("avg_support")).select(
-        F.lit(int(n_baskets)).alias("transactions"), n_itemsets.alias("itemsets"), "*")
+        F.lit(int(n_baskets)).cast("long").alias("transactions"), n_itemsets.alias("itemsets"), "*")
 
 
 def search_rules(rules: DataFrame, text: str, regex: bool = True,
