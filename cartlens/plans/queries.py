@@ -24,11 +24,10 @@ from cartlens.plans import catalog
 from cartlens.plans.catalog import MiningConfig
 from cartlens.plans.materialize import materialize
 from cartlens.plans.pipeline import PipelineConfig, run_pipeline
-from cartlens.schemas import (FLAT_ITEMSET, FLAT_RULE, FLAT_RULE_TEXT, NAMED_RULE, ORDER,
-                              ORDER_LINE)
+from cartlens.schemas import FLAT_ITEMSET, FLAT_RULE, FLAT_RULE_TEXT, ORDER, ORDER_LINE
 from cartlens.session import scratch_path
 from cartlens.sources.kafka import peek_messages
-from cartlens.sources.readers import read_csv, read_products_csv
+from cartlens.sources.readers import read_csv, read_named_rules_csv, read_products_csv
 from cartlens.sources.tables import order_lines, orders_table, products_table
 from cartlens.sources.writers import basket_messages, write_csv, write_messages
 from cartlens.streaming.baskets import (parse_baskets, read_messages, run_to_completion,
@@ -216,7 +215,7 @@ def q_rules_enriched(spark, d):
 def q_rules_named_csv(spark, d):
     path = write_csv(_flat_named(spark, d), scratch_path(spark, "named-rules-csv"),
                      single_file=True)
-    return read_csv(spark, path, NAMED_RULE)
+    return read_named_rules_csv(spark, path)
 
 
 @query("parquet_roundtrip")

@@ -42,3 +42,13 @@ def products_from_text(df: DataFrame, id_col: str = "product_id",
 def read_products_csv(spark: SparkSession, path: str, id_type: str = "int") -> DataFrame:
     """Product dimension from CSV with header: ``product_id, product_name``."""
     return products_from_text(read_csv(spark, path, PRODUCT_TEXT), id_type=id_type)
+
+
+def read_named_rules_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Named rules from CSV.  CSV cannot tell an empty text from a missing one
+    (both read back as null); names of a labelled rule are never null, so an
+    empty name is restored as ``""``."""
+    from cartlens.schemas import NAMED_RULE
+    df = read_csv(spark, path, NAMED_RULE)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(""))
+                           for c in ("antecedent_product_names", "consequent_product_names")})
