@@ -29,7 +29,7 @@ from cartlens.session import scratch_path
 from cartlens.sources.kafka import peek_messages
 from cartlens.sources.readers import read_csv, read_named_rules_csv, read_products_csv
 from cartlens.sources.tables import order_lines, orders_table, products_table
-from cartlens.sources.writers import basket_messages, write_csv, write_messages
+from cartlens.sources.writers import basket_messages, preview, write_csv, write_messages
 from cartlens.streaming.baskets import (parse_baskets, read_messages, run_to_completion,
                                         start_sink, valid_items)
 
@@ -40,8 +40,7 @@ HIGH_CONFIDENCE = 0.20     # strict confidence threshold of the report
 SLIDER_CONFIDENCE = 0.18   # inclusive dashboard filter
 SLIDER_LIFT = 1.05
 SEARCH_TEXT = "brand#1"
-STREAM_FILES = 8           # message files = micro-batches of the file source
-STREAM_FILES_PER_TRIGGER = 2
+STREAM_FILES_PER_TRIGGER = 2   # admission control of the file source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -71,9 +70,10 @@ def _flat_named_itemsets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _messages_path(spark: SparkSession, d: str) -> str:
-    """JSON basket messages written as text files (the offline topic)."""
+    """JSON basket messages written as text files (the offline topic), one
+    file per partition of the basket plan."""
     msgs = basket_messages(catalog.baskets(spark, d, CFG))
-    return write_messages(msgs, scratch_path(spark, "messages"), files=STREAM_FILES)
+    return write_messages(msgs, scratch_path(spark, "messages"))
 
 
 # ---------------------------------------------------------------- baskets
@@ -177,13 +177,13 @@ def q_stage_counts(spark, d):
 @query("itemsets_flat")
 def q_itemsets_flat(spark, d):
     path = write_csv(flatten_itemsets(catalog.mined(spark, d, CFG).itemsets),
-                     scratch_path(spark, "itemsets-csv"), single_file=True)
+                     scratch_path(spark, "itemsets-csv"))
     return read_csv(spark, path, FLAT_ITEMSET)
 
 
 def _rules_csv(spark, d) -> str:
     return write_csv(flatten_rules(catalog.mined(spark, d, CFG).rules),
-                     scratch_path(spark, "rules-csv"), single_file=True)
+                     scratch_path(spark, "rules-csv"))
 
 
 @query("rules_flat")
@@ -213,8 +213,7 @@ def q_rules_enriched(spark, d):
 
 @query("rules_named_csv")
 def q_rules_named_csv(spark, d):
-    path = write_csv(_flat_named(spark, d), scratch_path(spark, "named-rules-csv"),
-                     single_file=True)
+    path = write_csv(_flat_named(spark, d), scratch_path(spark, "named-rules-csv"))
     return read_named_rules_csv(spark, path)
 
 
@@ -326,8 +325,8 @@ def q_rule_summary(spark, d):
 
 @query("preview")
 def q_preview(spark, d):
-    return report.ranked(flatten_itemsets(catalog.mined(spark, d, CFG).itemsets),
-                         [F.desc("freq")], 20)
+    return preview(flatten_itemsets(catalog.mined(spark, d, CFG).itemsets), 20,
+                   [F.desc("freq"), "items"])
 
 
 # ---------------------------------------------------------------- dashboards

@@ -71,3 +71,12 @@ def write_kafka(messages: DataFrame, bootstrap_servers: str, topic: str, **produ
     for key, value in kafka_producer_options(bootstrap_servers, topic, **producer).items():
         writer = writer.option(key, value)
     writer.save()
+
+
+def preview(df: DataFrame, n: int = 20, order_by: Sequence = (),
+            print_schema: bool = False) -> DataFrame:
+    """The first ``n`` rows (by ``order_by`` when given, so the sample is
+    stable), optionally printing the schema: the inspection sink."""
+    if print_schema:
+        df.printSchema()
+    return (df.orderBy(*order_by) if order_by else df).limit(n)

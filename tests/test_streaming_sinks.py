@@ -119,3 +119,15 @@ def test_basket_message_format(spark):
     assert basket_messages(df).first().value == '{"order_id":7,"items":[1,2]}'
     assert basket_messages(df).first().key == "7"
     assert F is not None
+
+
+def test_console_sink_and_preview(spark):
+    from cartlens.sources.writers import preview
+    src = _source(spark)
+    parsed = parse_baskets(read_messages(spark, "text", path=src))
+    q = start_sink(parsed, "console", checkpoint=scratch_path(spark, "t-console"),
+                   available_now=True, num_rows=3)
+    run_to_completion(q, 120)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == len(BASKETS) + 3
+    df = spark.createDataFrame(BASKETS, BASKET)
+    assert [r.order_id for r in preview(df, 2, ["order_id"]).collect()] == [1, 2]
