@@ -10,12 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cartlens.defaults import ARROW, HEAVY_ARROW  # noqa: F401
 from cartlens.functions.codec import _col
 
-# Fixed separators of the rule labels shown by the two dashboards.
-ARROW = " → "
-HEAVY_ARROW = " ➜ "
-
 
 def percent_text(c: str | Column, digits: int = 2) -> Column:
     """0.1234 -> "12.34%"."""

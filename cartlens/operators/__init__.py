@@ -1 +1 @@
-"""DataFrame -> DataFrame operators of the basket pipeline."""
+"""DataFrame -> DataFrame operators of the basket analysis."""

@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartlens.defaults import NAME_SEPARATOR
+
 UNKNOWN_MODES = ("drop", "id")
 
 
@@ -33,7 +35,7 @@ def product_names(products: DataFrame, id_col: str = "product_id",
 def label_arrays(df: DataFrame, columns: dict[str, str], products: DataFrame,
                  key: Sequence[str], id_col: str = "product_id",
                  name_col: str = "product_name", unknown: str = "drop",
-                 distinct: bool = False, sep: str = ", ") -> DataFrame:
+                 distinct: bool = False, sep: str = NAME_SEPARATOR) -> DataFrame:
     """Add one text column per entry of ``columns`` (array column -> output
     column) holding the names of the ids in array order.
 

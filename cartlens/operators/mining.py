@@ -24,10 +24,11 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartlens import defaults
 from cartlens.plans.materialize import broadcast_if_small, materialize
 
-DEFAULT_MIN_SUPPORT = 0.005
-DEFAULT_MIN_CONFIDENCE = 0.20
+DEFAULT_MIN_SUPPORT = defaults.MIN_SUPPORT
+DEFAULT_MIN_CONFIDENCE = defaults.MIN_CONFIDENCE
 
 
 @dataclass

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartlens import defaults as D
+
 RULE_VIEW = ["antecedent_product_names", "consequent_product_names", "confidence", "lift"]
 
 
@@ -34,31 +36,33 @@ def ranked(df: DataFrame, order: Sequence[Column], n: int | None = None,
     return out.select(*columns) if columns else out
 
 
-def top_by_confidence(rules: DataFrame, n: int = 10,
+def top_by_confidence(rules: DataFrame, n: int = D.REPORT_TOP,
                       columns: Sequence[str] | None = RULE_VIEW) -> DataFrame:
     return ranked(rules, [F.desc("confidence")], n, columns)
 
 
-def top_by_lift(rules: DataFrame, n: int = 10,
+def top_by_lift(rules: DataFrame, n: int = D.REPORT_TOP,
                 columns: Sequence[str] | None = RULE_VIEW) -> DataFrame:
     return ranked(rules, [F.desc("lift")], n, columns)
 
 
-def strong_rules(rules: DataFrame, min_lift: float = 2.0, n: int | None = 50,
+def strong_rules(rules: DataFrame, min_lift: float = D.STRONG_LIFT,
+                 n: int | None = D.REPORT_ROWS,
                  columns: Sequence[str] | None = RULE_VIEW) -> DataFrame:
     """Rules with lift strictly above ``min_lift``, highest lift first."""
     return ranked(rules.where(F.col("lift") > F.lit(float(min_lift))), [F.desc("lift")], n,
                   columns)
 
 
-def high_confidence_rules(rules: DataFrame, min_confidence: float = 0.25, n: int | None = 50,
+def high_confidence_rules(rules: DataFrame, min_confidence: float = D.HIGH_CONFIDENCE,
+                          n: int | None = D.REPORT_ROWS,
                           columns: Sequence[str] | None = RULE_VIEW) -> DataFrame:
     """Rules with confidence strictly above ``min_confidence``."""
     return ranked(rules.where(F.col("confidence") > F.lit(float(min_confidence))),
                   [F.desc("confidence")], n, columns)
 
 
-def consequent_frequency(rules: DataFrame, n: int | None = 20,
+def consequent_frequency(rules: DataFrame, n: int | None = D.RECOMMENDATION_ROWS,
                          col: str = "consequent_product_names") -> DataFrame:
     """How often each consequent is recommended, most frequent first."""
     counts = rules.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
@@ -66,8 +70,8 @@ def consequent_frequency(rules: DataFrame, n: int | None = 20,
     return out.limit(n) if n is not None else out
 
 
-def rule_summary(rules: DataFrame, min_lift: float = 2.0,
-                 min_confidence: float = 0.25) -> DataFrame:
+def rule_summary(rules: DataFrame, min_lift: float = D.STRONG_LIFT,
+                 min_confidence: float = D.HIGH_CONFIDENCE) -> DataFrame:
     """Total, strong (lift > t) and high-confidence (confidence > t) counts in
     one pass."""
     return rules.agg(
@@ -77,15 +81,18 @@ def rule_summary(rules: DataFrame, min_lift: float = 2.0,
         .alias("high_confidence_rules"))
 
 
-def top_rules_rounded(rules: DataFrame, n: int = 30, digits: int = 4) -> DataFrame:
+def top_rules_rounded(rules: DataFrame, n: int = D.TOP_RULES,
+                      digits: int = D.TOP_RULES_DIGITS) -> DataFrame:
     """Top rules by lift then confidence, metrics rounded for display."""
     top = ranked(rules, [F.desc("lift"), F.desc("confidence")], n)
     return top.select("antecedent_product_names", "consequent_product_names",
                       *[F.round(m, digits).alias(m) for m in ("confidence", "lift", "support")])
 
 
-def rule_report(rules: DataFrame, min_lift: float = 2.0, min_confidence: float = 0.25,
-                top_n: int = 10, filtered_n: int = 50, groups_n: int = 20) -> dict[str, DataFrame]:
+def rule_report(rules: DataFrame, min_lift: float = D.STRONG_LIFT,
+                min_confidence: float = D.HIGH_CONFIDENCE, top_n: int = D.REPORT_TOP,
+                filtered_n: int = D.REPORT_ROWS,
+                groups_n: int = D.RECOMMENDATION_ROWS) -> dict[str, DataFrame]:
     """All report sections, each a lazy DataFrame."""
     return {
         "top_confidence": top_by_confidence(rules, top_n),

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartlens import defaults as D
 from cartlens.functions.display import (percent_text, rule_label, thousands_text,
                                         two_decimal_text)
 from cartlens.operators.report import ranked
@@ -31,7 +32,7 @@ def filter_rules(rules: DataFrame, min_confidence: float = 0.0,
 
 
 def rule_kpis(rules: DataFrame, min_confidence: float = 0.0, min_lift: float = 0.0,
-              lift_floor: float = 5.0) -> DataFrame:
+              lift_floor: float = D.LIFT_SLIDER_FLOOR) -> DataFrame:
     """One row: totals, filtered count, means (rounded to 9 digits) and the
     upper bound of the lift slider (at least ``lift_floor``)."""
     passes = ((F.col("confidence") >= F.lit(float(min_confidence)))
@@ -55,9 +56,9 @@ def itemset_kpis(itemsets: DataFrame, rules: DataFrame, n_baskets: int) -> DataF
     rounded to 3 digits (second dashboard)."""
     n_itemsets = itemsets.select(F.count(F.lit(1))).scalar()
     return rules.agg(F.count(F.lit(1)).alias("rules"),
-                     F.round(F.avg("confidence"), 3).alias("avg_confidence"),
-                     F.round(F.avg("lift"), 3).alias("avg_lift"),
-                     F.round(F.avg("support"), 3).alias("avg_support")).select(
+                     F.round(F.avg("confidence"), D.KPI_DIGITS).alias("avg_confidence"),
+                     F.round(F.avg("lift"), D.KPI_DIGITS).alias("avg_lift"),
+                     F.round(F.avg("support"), D.KPI_DIGITS).alias("avg_support")).select(
         F.lit(int(n_baskets)).cast("long").alias("transactions"), n_itemsets.alias("itemsets"), "*")
 
 
@@ -87,18 +88,18 @@ def display_rules(rules: DataFrame,
                         two_decimal_text("lift").alias(l))
 
 
-def top_filtered(rules: DataFrame, n: int = 20, by: str = "lift") -> DataFrame:
+def top_filtered(rules: DataFrame, n: int = D.DASHBOARD_TOP, by: str = "lift") -> DataFrame:
     return ranked(rules, [F.desc(by)], n)
 
 
-def chart_data(rules: DataFrame, by: str = "lift", n: int = 15) -> DataFrame:
+def chart_data(rules: DataFrame, by: str = "lift", n: int = D.CHART_TOP) -> DataFrame:
     """Top ``n`` by ``by`` with the rule label of the bar chart."""
     top = ranked(rules, [F.desc(by)], n)
     return top.select(rule_label("antecedent_product_names", "consequent_product_names")
                       .alias("rule"), "confidence", "lift")
 
 
-def scatter_data(rules: DataFrame, arrow: str = " → ") -> DataFrame:
+def scatter_data(rules: DataFrame, arrow: str = D.ARROW) -> DataFrame:
     """Every rule with its label and the three metrics (scatter plots)."""
     cols = [rule_label("antecedent_product_names", "consequent_product_names", arrow)
             .alias("rule"), "confidence", "lift"]
@@ -122,7 +123,7 @@ def rules_by_lift(named_rules: DataFrame) -> DataFrame:
         "confidence", "lift", "support")
 
 
-def top_itemsets(named_itemsets: DataFrame, n: int | None = 20,
+def top_itemsets(named_itemsets: DataFrame, n: int | None = D.ITEMSET_TOP,
                  names_col: str = "products") -> DataFrame:
     """Most frequent itemsets with their product names."""
     return ranked(named_itemsets, [F.desc("freq")], n).select(

@@ -1 +1 @@
-"""Plans: materialisation helpers, the end-to-end pipeline and the registered queries."""
+"""Plans: materialisation helpers, the batch chain and the registered queries."""

@@ -20,7 +20,7 @@ from cartlens.sources.writers import write_parquet
 
 
 @dataclass
-class PipelineConfig:
+class ChainConfig:
     output_dir: str
     min_support: float = DEFAULT_MIN_SUPPORT
     min_confidence: float = DEFAULT_MIN_CONFIDENCE
@@ -34,14 +34,14 @@ class PipelineConfig:
         return f"{self.output_dir.rstrip('/')}/{name}"
 
 
-def preprocess(orders: DataFrame, lines: DataFrame, cfg: PipelineConfig) -> str:
+def preprocess(orders: DataFrame, lines: DataFrame, cfg: ChainConfig) -> str:
     """Stage 1: baskets written as Parquet."""
     return write_parquet(build_baskets(orders, lines, min_size=cfg.min_basket_size),
                          cfg.path("transactions"))
 
 
 def mine_stage(spark: SparkSession, baskets_path: str, products: DataFrame,
-               cfg: PipelineConfig) -> dict[str, object]:
+               cfg: ChainConfig) -> dict[str, object]:
     """Stage 2: read baskets, clean, fit, write itemsets, derive, label and
     write rules."""
     from pyspark import StorageLevel
@@ -65,8 +65,8 @@ def mine_stage(spark: SparkSession, baskets_path: str, products: DataFrame,
             "rules": counts["n"]}
 
 
-def run_pipeline(spark: SparkSession, orders: DataFrame, lines: DataFrame,
-                 products: DataFrame, cfg: PipelineConfig) -> dict[str, object]:
+def run_chain(spark: SparkSession, orders: DataFrame, lines: DataFrame,
+                 products: DataFrame, cfg: ChainConfig) -> dict[str, object]:
     """preprocess >> mine >> load; the load runs only when a JDBC URL is set."""
     baskets_path = preprocess(orders, lines, cfg)
     result = {"baskets_path": baskets_path}

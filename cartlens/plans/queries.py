@@ -23,7 +23,7 @@ from cartlens.operators.labels import label_arrays
 from cartlens.plans import catalog
 from cartlens.plans.catalog import MiningConfig
 from cartlens.plans.materialize import materialize
-from cartlens.plans.pipeline import PipelineConfig, run_pipeline
+from cartlens.plans.chain import ChainConfig, run_chain
 from cartlens.schemas import FLAT_ITEMSET, FLAT_RULE, FLAT_RULE_TEXT, ORDER, ORDER_LINE
 from cartlens.session import scratch_path
 from cartlens.sources.kafka import peek_messages
@@ -235,11 +235,11 @@ def q_rules_for_load(spark, d):
     return frame.where(F.col("created_at").isNotNull()).select(*SERVING_COLUMNS)
 
 
-@query("pipeline")
-def q_pipeline(spark, d):
-    cfg = PipelineConfig(output_dir=scratch_path(spark, "pipeline"),
+@query("batch_chain")
+def q_batch_chain(spark, d):
+    cfg = ChainConfig(output_dir=scratch_path(spark, "chain"),
                          min_support=CFG.min_support, min_confidence=CFG.min_confidence)
-    out = run_pipeline(spark, orders_table(spark, d), order_lines(spark, d, CFG.level),
+    out = run_chain(spark, orders_table(spark, d), order_lines(spark, d, CFG.level),
                        catalog.products(spark, d, CFG), cfg)
     return flatten_rules(spark.read.parquet(out["rules_path"]))
 

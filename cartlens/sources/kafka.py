@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartlens.defaults import PEEK_MESSAGES
 from cartlens.functions.messages import parse_message
 
 
@@ -41,7 +42,7 @@ def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str,
     return spark.read.format("kafka").options(**opts).load()
 
 
-def peek_messages(messages: DataFrame, n: int = 10,
+def peek_messages(messages: DataFrame, n: int = PEEK_MESSAGES,
                   order_by: Sequence[str] = ("partition", "offset")) -> DataFrame:
     """The first ``n`` messages by topic position (or any other total order,
     e.g. ``order_id`` for a file source), parsed into ``order_id, items``."""

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from cartlens import defaults as D
 from cartlens.functions.messages import basket_message
 
 
@@ -50,9 +51,10 @@ def write_messages(messages: DataFrame, path: str, files: int | None = None,
     return path
 
 
-def kafka_producer_options(bootstrap_servers: str, topic: str, acks: str = "all",
-                           retries: int = 5, linger_ms: int = 10,
-                           batch_size: int = 16384) -> dict[str, str]:
+def kafka_producer_options(bootstrap_servers: str, topic: str, acks: str = D.PRODUCER_ACKS,
+                           retries: int = D.PRODUCER_RETRIES,
+                           linger_ms: int = D.PRODUCER_LINGER_MS,
+                           batch_size: int = D.PRODUCER_BATCH_SIZE) -> dict[str, str]:
     """Writer options equal to a producer with acks/retries/linger/batch set."""
     return {
         "kafka.bootstrap.servers": bootstrap_servers,

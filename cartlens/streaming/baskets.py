@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from cartlens.defaults import CONSOLE_ROWS
 from cartlens.functions.messages import parse_message
 from cartlens.schemas import STREAM_MESSAGE
 from cartlens.sources.kafka import kafka_source_options
@@ -65,7 +66,7 @@ def valid_items(parsed: DataFrame, order_col: str = "order_id", items_col: str =
 def start_sink(df: DataFrame, fmt: str = "console", checkpoint: str | None = None,
                path: str | None = None, output_mode: str = "append",
                available_now: bool = False, processing_time: str | None = None,
-               query_name: str | None = None, num_rows: int = 20,
+               query_name: str | None = None, num_rows: int = CONSOLE_ROWS,
                truncate: bool = False) -> StreamingQuery:
     """Start a streaming write.  ``console`` prints ``num_rows`` rows per batch
     untruncated; ``parquet`` / ``json`` write files under ``path``; the
