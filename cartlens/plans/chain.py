@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cartlens.operators.baskets import build_baskets, clean_baskets
 from cartlens.operators.labels import label_rules
@@ -34,9 +36,12 @@ class ChainConfig:
         return f"{self.output_dir.rstrip('/')}/{name}"
 
 
-def preprocess(orders: DataFrame, lines: DataFrame, cfg: ChainConfig) -> str:
-    """Stage 1: baskets written as Parquet."""
-    return write_parquet(build_baskets(orders, lines, min_size=cfg.min_basket_size),
+def preprocess(orders: DataFrame, lines: DataFrame, cfg: ChainConfig,
+               observation: Observation | None = None) -> str:
+    """Stage 1: baskets written as Parquet (counts observed during the write,
+    no extra pass)."""
+    return write_parquet(build_baskets(orders, lines, min_size=cfg.min_basket_size,
+                                       observation=observation),
                          cfg.path("transactions"))
 
 
@@ -44,9 +49,6 @@ def mine_stage(spark: SparkSession, baskets_path: str, products: DataFrame,
                cfg: ChainConfig) -> dict[str, object]:
     """Stage 2: read baskets, clean, fit, write itemsets, derive, label and
     write rules."""
-    from pyspark import StorageLevel
-    from pyspark.sql import functions as F
-
     baskets = clean_baskets(spark.read.parquet(baskets_path), min_size=cfg.min_basket_size)
     data = baskets.select("items").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -68,8 +70,9 @@ def mine_stage(spark: SparkSession, baskets_path: str, products: DataFrame,
 def run_chain(spark: SparkSession, orders: DataFrame, lines: DataFrame,
                  products: DataFrame, cfg: ChainConfig) -> dict[str, object]:
     """preprocess >> mine >> load; the load runs only when a JDBC URL is set."""
-    baskets_path = preprocess(orders, lines, cfg)
-    result = {"baskets_path": baskets_path}
+    observed = Observation("preprocess")
+    baskets_path = preprocess(orders, lines, cfg, observed)
+    result = {"baskets_path": baskets_path, "preprocess": dict(observed.get)}
     result.update(mine_stage(spark, baskets_path, products, cfg))
     if cfg.jdbc_url:
         result["load"] = load_rules(spark.read.parquet(result["rules_path"]), cfg.jdbc_url,

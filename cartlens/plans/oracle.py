@@ -104,6 +104,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey
     "rules_named_csv": _q(_NAMED),
     "parquet_roundtrip": _q(_NAMED),
     "rules_for_load": _q(_NAMED),
+    "serving_table": _q(_NAMED),
     "rules_clean": _q(_NAMED),
     "batch_chain": _q(_NAMED),
     "names_by_array": _q("""SELECT 'antecedent' AS side, antecedent AS ids, antecedent_product_names AS names

@@ -235,6 +235,17 @@ def q_rules_for_load(spark, d):
     return frame.where(F.col("created_at").isNotNull()).select(*SERVING_COLUMNS)
 
 
+@query("serving_table")
+def q_serving_table(spark, d):
+    """Load frame written as the serving table (Parquet stands in for the
+    JDBC relation), read back in the dashboard's order."""
+    from cartlens.sources.jdbc import ordered_serving_rules, serving_frame
+    from cartlens.sources.writers import write_parquet
+    path = write_parquet(serving_frame(catalog.named_rules(spark, d, CFG)),
+                         scratch_path(spark, "serving-table"))
+    return ordered_serving_rules(spark.read.parquet(path).drop("created_at"))
+
+
 @query("batch_chain")
 def q_batch_chain(spark, d):
     cfg = ChainConfig(output_dir=scratch_path(spark, "chain"),

@@ -51,14 +51,18 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
     return spark.read.jdbc(url, table, properties=properties)
 
 
+def ordered_serving_rules(table: DataFrame) -> DataFrame:
+    """The dashboard's read of the serving table: rule columns ordered by
+    lift, highest first (ties by rule key)."""
+    cols = [*SERVING_COLUMNS, *(["created_at"] if "created_at" in table.columns else [])]
+    return table.select(*cols).orderBy(F.desc("lift"), "antecedent", "consequent")
+
+
 def serving_rules(spark: SparkSession, url: str, table: str,
                   properties: dict[str, str]) -> DataFrame:
-    """The dashboard's read: rule columns ordered by lift, highest first.
-    Written against the DataFrame API so column pruning and filters reach the
-    database."""
-    return (read_jdbc(spark, url, table, properties)
-            .select(*SERVING_COLUMNS, "created_at")
-            .orderBy(F.desc("lift"), "antecedent", "consequent"))
+    """``ordered_serving_rules`` over the JDBC relation.  Written against the
+    DataFrame API so column pruning and filters reach the database."""
+    return ordered_serving_rules(read_jdbc(spark, url, table, properties))
 
 
 def load_rules(named_rules: DataFrame, url: str, table: str,
