@@ -66,6 +66,8 @@ def test_peek_first_messages(spark):
 def test_option_builders():
     opts = kafka_source_options("k:9092", "orders", "earliest", 10000)
     assert opts["maxOffsetsPerTrigger"] == "10000" and opts["subscribe"] == "orders"
+    latest = kafka_source_options("k:9092", "orders", "latest")
+    assert latest["startingOffsets"] == "latest" and "maxOffsetsPerTrigger" not in latest
     prod = kafka_producer_options("k:9092", "orders")
     assert (prod["kafka.acks"], prod["kafka.retries"], prod["kafka.linger.ms"],
             prod["kafka.batch.size"]) == ("all", "5", "10", "16384")
