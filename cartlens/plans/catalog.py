@@ -17,6 +17,7 @@ from cartlens.operators.baskets import build_baskets
 from cartlens.operators.labels import label_itemsets, label_rules
 from cartlens.operators.mining import MiningResult, mine
 from cartlens.plans.materialize import materialize
+from cartlens.session import session_id
 from cartlens.sources.tables import order_lines, orders_table, products_table
 
 
@@ -31,7 +32,7 @@ _MEMO: dict[tuple, object] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, cfg: MiningConfig, what: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), cfg, what)
+    return (session_id(spark), sf_dir.rstrip("/"), cfg, what)
 
 
 def baskets(spark: SparkSession, sf_dir: str, cfg: MiningConfig = MiningConfig()) -> DataFrame:

@@ -37,10 +37,20 @@ def build_session(master: str | None = None, app_name: str = "cartlens",
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The reliable checkpoint directory of the session.
 
@@ -48,16 +58,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; only when neither exists (tests, laptops) a
     fresh local directory is created and set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        return configured or tempfile.mkdtemp(prefix="cartlens-ckpt-")
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cartlens-ckpt-"))
     return sc.getCheckpointDir()
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identifies the running application (results are cached per application)."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the checkpoint root for an intermediate table."""
     root = checkpoint_root(spark).rstrip("/")
