@@ -99,9 +99,11 @@ def chart_data(rules: DataFrame, by: str = "lift", n: int = D.CHART_TOP) -> Data
                       .alias("rule"), "confidence", "lift")
 
 
-def scatter_data(rules: DataFrame, arrow: str = D.ARROW) -> DataFrame:
-    """Every rule with its label and the three metrics (scatter plots)."""
-    cols = [rule_label("antecedent_product_names", "consequent_product_names", arrow)
+def scatter_data(rules: DataFrame, arrow: str = D.ARROW,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Every rule with its label and the three metrics (scatter plots);
+    ``keep`` columns are passed through first."""
+    cols = [*keep, rule_label("antecedent_product_names", "consequent_product_names", arrow)
             .alias("rule"), "confidence", "lift"]
     if "support" in rules.columns:
         cols.append("support")

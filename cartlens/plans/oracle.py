@@ -162,6 +162,12 @@ ORDER BY lift DESC, antecedent, consequent LIMIT 15"""),
     "chart_confidence": _q(f"""SELECT {_LABEL} AS rule, confidence, lift FROM {_FILTERED}
 ORDER BY confidence DESC, antecedent, consequent LIMIT 15"""),
     "chart_scatter": _q(f"SELECT {_LABEL} AS rule, confidence, lift, support FROM {_FILTERED}"),
+    "dashboard_rules": _q("""SELECT r.antecedent, r.consequent,
+       concat_ws(', ', coalesce(d1.name, CAST(r.a1 AS VARCHAR)), coalesce(d2.name, CAST(r.a2 AS VARCHAR)))
+         || ' ➜ ' || coalesce(d3.name, CAST(r.con AS VARCHAR)) AS rule,
+       r.confidence, r.lift, r.support
+FROM rules r LEFT JOIN dim d1 ON d1.id = r.a1 LEFT JOIN dim d2 ON d2.id = r.a2
+             LEFT JOIN dim d3 ON d3.id = r.con"""),
     "all_rules": _q(f"""SELECT antecedent_product_names AS product_a, consequent_product_names AS product_b,
        confidence, lift FROM {_FILTERED}"""),
     "rule_search": _q(f"""SELECT antecedent_product_names AS product_purchased,

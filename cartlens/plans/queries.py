@@ -393,6 +393,18 @@ def q_chart_scatter(spark, d):
     return serving.scatter_data(_filtered(spark, d))
 
 
+@query("dashboard_rules")
+def q_dashboard_rules(spark, d):
+    """Second dashboard: rules named by lookup with the id as fallback, the
+    "A ➜ B" label and the three metrics of its support/confidence scatter."""
+    from cartlens.defaults import HEAVY_ARROW
+    from cartlens.operators.labels import label_rules
+    res = catalog.mined(spark, d, CFG)
+    named = flatten_rules(label_rules(res.rules, catalog.products(spark, d, CFG),
+                                      unknown="id"))
+    return serving.scatter_data(named, HEAVY_ARROW, keep=("antecedent", "consequent"))
+
+
 @query("rule_search")
 def q_rule_search(spark, d):
     hits = serving.search_rules(_flat_named(spark, d), SEARCH_TEXT)
