@@ -35,8 +35,14 @@ def test_stream_items_available_now_and_restart(spark):
                                                          max_per_trigger=1)))
         q = start_sink(stream, "parquet", checkpoint=ckpt, path=out, available_now=True)
         run_to_completion(q, 120)
-
-    run()
+        return q
+
+    q = run()
+    local = src.removeprefix("file:")
+    files = [f for f in os.listdir(local)
+             if f.endswith(".txt") and os.path.getsize(os.path.join(local, f)) > 0]
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == len(files) >= 2     # admission control: one file per batch
     first = sorted((r.order_id, r.product_id) for r in spark.read.parquet(out).collect()
                    if r.product_id is not None)
     assert first == [(1, 1), (1, 2), (2, 3), (3, 4), (3, 5), (3, 6), (5, 7)]
