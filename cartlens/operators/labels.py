@@ -35,12 +35,16 @@ def product_names(products: DataFrame, id_col: str = "product_id",
 def label_arrays(df: DataFrame, columns: dict[str, str], products: DataFrame,
                  key: Sequence[str], id_col: str = "product_id",
                  name_col: str = "product_name", unknown: str = "drop",
-                 distinct: bool = False, sep: str = NAME_SEPARATOR) -> DataFrame:
+                 distinct: bool = False, sep: str = NAME_SEPARATOR,
+                 reduce_dimension: bool = True) -> DataFrame:
     """Add one text column per entry of ``columns`` (array column -> output
     column) holding the names of the ids in array order.
 
     ``key`` must identify rows uniquely (rules: antecedent + consequent;
     itemsets: items; baskets: order_id).  Null or empty arrays give ``""``.
+    ``reduce_dimension`` first cuts the dimension to the ids that occur; it
+    reads ``df`` twice, which is right for small inputs (rules, itemsets)
+    against a large dimension; turn it off to label a large fact table.
     """
     if unknown not in UNKNOWN_MODES:
         raise ValueError(f"unknown must be one of {UNKNOWN_MODES}")
@@ -60,8 +64,10 @@ def label_arrays(df: DataFrame, columns: dict[str, str], products: DataFrame,
     exploded = (df.select(*key, *carried, F.explode_outer(tagged).alias("_e"))
                 .select(*key, *carried, "_e.side", "_e.pos", "_e._id"))
 
-    wanted = exploded.select("_id").where(F.col("_id").isNotNull()).distinct()
-    names = product_names(products, id_col, name_col).join(wanted, "_id", "left_semi")
+    names = product_names(products, id_col, name_col)
+    if reduce_dimension:
+        wanted = exploded.select("_id").where(F.col("_id").isNotNull()).distinct()
+        names = names.join(wanted, "_id", "left_semi")
     looked_up = exploded.join(names, "_id", "left")
     label = F.col("_name")
     if unknown == "id":

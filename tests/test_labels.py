@@ -51,3 +51,11 @@ def test_label_with_text_ids(spark):
     df = spark.createDataFrame([(1, [2, 1])], "k int, items array<int>")
     out = label_arrays(df, {"items": "names"}, products, key=["k"]).collect()
     assert out[0].names == "Bread, Milk"
+
+
+def test_label_without_dimension_reduction(spark):
+    products = spark.createDataFrame(PRODUCTS, PRODUCT)
+    df = spark.createDataFrame([(1, [3, 1, 99])], "order_id bigint, items array<int>")
+    out = label_arrays(df, {"items": "names"}, products, key=["order_id"],
+                       reduce_dimension=False).first()
+    assert out.names == "Eggs, Milk"
