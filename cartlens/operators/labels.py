@@ -55,14 +55,14 @@ def label_arrays(df: DataFrame, columns: dict[str, str], products: DataFrame,
     id_type = products.schema[id_col].dataType
 
     def tag(side: int):
-        return lambda x, i: F.struct(F.lit(side).alias("side"), i.alias("pos"),
+        return lambda x, i: F.struct(F.lit(side).alias("_side"), i.alias("_pos"),
                                      x.cast(id_type).alias("_id"))
 
     tagged = F.flatten(F.array(*[
         F.transform(F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType)), tag(side))
         for side, c in enumerate(array_cols)]))
     exploded = (df.select(*key, *carried, F.explode_outer(tagged).alias("_e"))
-                .select(*key, *carried, "_e.side", "_e.pos", "_e._id"))
+                .select(*key, *carried, "_e._side", "_e._pos", "_e._id"))
 
     names = product_names(products, id_col, name_col)
     if reduce_dimension:
@@ -75,7 +75,8 @@ def label_arrays(df: DataFrame, columns: dict[str, str], products: DataFrame,
 
     aggs = [F.any_value(c, ignoreNulls=False).alias(c) for c in carried]
     for side, c in enumerate(array_cols):
-        entries = F.collect_list(F.when(F.col("side") == side, F.struct("pos", label.alias("n"))))
+        entries = F.collect_list(F.when(F.col("_side") == side,
+                                        F.struct("_pos", label.alias("n"))))
         aggs.append(F.array_sort(entries).alias(f"_names{side}"))
     grouped = looked_up.groupBy(*key).agg(*aggs)
 

@@ -28,7 +28,7 @@ from cartlens.schemas import FLAT_ITEMSET, FLAT_RULE, FLAT_RULE_TEXT, ORDER, ORD
 from cartlens.session import scratch_path
 from cartlens.sources.kafka import peek_messages
 from cartlens.sources.readers import read_csv, read_named_rules_csv, read_products_csv
-from cartlens.sources.tables import order_lines, orders_table, products_table
+from cartlens.sources.tables import order_lines, orders_table, products_table, table
 from cartlens.sources.writers import basket_messages, preview, write_csv, write_messages
 from cartlens.streaming.baskets import (parse_baskets, read_messages, run_to_completion,
                                         start_sink, valid_items)
@@ -139,14 +139,13 @@ def q_rules_named(spark, d):
 @query("names_by_array")
 def q_names_by_array(spark, d):
     rules = catalog.mined(spark, d, CFG).rules
-    products = catalog.products(spark, d, CFG)
-    parts = []
-    for side in ("antecedent", "consequent"):
-        ids = rules.select(F.col(side).alias("ids")).distinct()
-        named = label_arrays(ids, {"ids": "names"}, products, key=["ids"], distinct=True)
-        parts.append(named.select(F.lit(side).alias("side"), ids_to_text("ids").alias("ids"),
-                                  "names"))
-    return parts[0].unionByName(parts[1])
+    arrays = (rules.select(F.lit("antecedent").alias("side"), F.col("antecedent").alias("ids"))
+              .unionByName(rules.select(F.lit("consequent").alias("side"),
+                                        F.col("consequent").alias("ids")))
+              .distinct())
+    named = label_arrays(arrays, {"ids": "names"}, catalog.products(spark, d, CFG),
+                         key=["side", "ids"], distinct=True)
+    return named.select("side", ids_to_text("ids").alias("ids"), "names")
 
 
 @query("itemsets_named")
@@ -162,7 +161,7 @@ def q_stage_counts(spark, d):
         return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(stage).alias("stage"),
                                                               "rows")
     parts = [count(orders_table(spark, d), "orders"),
-             count(order_lines(spark, d, CFG.level), "order_lines"),
+             count(table(spark, d, "lineitem"), "order_lines"),
              count(catalog.baskets(spark, d, CFG), "baskets"),
              count(res.itemsets, "itemsets"),
              count(res.rules, "rules")]
