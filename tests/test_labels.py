@@ -59,3 +59,23 @@ def test_label_without_dimension_reduction(spark):
     out = label_arrays(df, {"items": "names"}, products, key=["order_id"],
                        reduce_dimension=False).first()
     assert out.names == "Eggs, Milk"
+
+
+def test_part_level_baskets_with_repeated_names(spark, sf001):
+    """Part-level items: names repeat across parts, every part is known."""
+    from pyspark.sql import functions as F
+
+    from cartlens.operators.baskets import build_baskets
+    from cartlens.sources.tables import order_lines, orders_table, products_table
+    baskets = build_baskets(orders_table(spark, sf001), order_lines(spark, sf001, "part"))
+    products = products_table(spark, sf001, "part")
+    assert products.select("product_name").distinct().count() < products.count()
+    named = label_arrays(baskets, {"items": "names"}, products, key=["order_id"],
+                         reduce_dimension=False)
+    named = label_arrays(named, {"items": "set_names"}, products, key=["order_id"],
+                         distinct=True)
+    n = F.size(F.split("names", ", "))
+    m = F.size(F.split("set_names", ", "))
+    stats = named.agg(F.count_if(n != F.size("items")).alias("bad"),
+                      F.count_if(m > n).alias("bad_set"), F.count("*").alias("rows")).first()
+    assert stats.bad == 0 and stats.bad_set == 0 and stats.rows == baskets.count()
