@@ -4,7 +4,8 @@ One operator covers the three labelling variants:
 
 * names in item position order, unknown ids dropped (``unknown="drop"``);
 * the same with set semantics, first occurrence kept (``distinct=True``);
-* unknown ids shown as the id itself (``unknown="id"``).
+* unknown ids shown as the id itself (``unknown="id"``; an id whose name is
+  null is shown the same way).
 
 Plan: every array of a row is exploded with its position into
 ``(key, side, pos, id)``; the product dimension is first cut down to the ids
