@@ -277,7 +277,7 @@ def _run_stream(spark, d, transform, name: str, restarts: int = 1) -> DataFrame:
                                          max_per_trigger=STREAM_FILES_PER_TRIGGER))
         run_to_completion(start_sink(stream, "parquet", checkpoint=checkpoint, path=out,
                                      available_now=True))
-    return spark.read.parquet(out)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 @query("stream_parse")

@@ -52,3 +52,32 @@ def test_labels_match_python(spark, dim, arrays, unknown, distinct):
     got = label_arrays(df, {"items": "names"}, products, key=["k"], unknown=unknown,
                        distinct=distinct)
     assert {r.k: r.names for r in got.collect()} == {k: names(a) for k, a in enumerate(arrays)}
+
+
+messages_st = st.lists(st.one_of(
+    st.builds(lambda o, items: f'{{"order_id": {o}, "items": {items}}}'.replace("None", "null"),
+              st.integers(1, 50), st.lists(st.one_of(st.none(), st.integers(1, 9)), max_size=4)),
+    st.sampled_from(["not json", "", '{"items": [1]}', '{"order_id": 3}', '[1, 2]',
+                     '{"order_id": 4, "items": "x"}'])), min_size=1, max_size=25)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(messages=messages_st)
+def test_stream_equals_batch(spark, messages):
+    from cartlens.session import scratch_path
+    from cartlens.streaming import (parse_baskets, read_messages, run_to_completion,
+                                    start_sink, valid_items)
+    src = scratch_path(spark, "p-msgs")
+    spark.createDataFrame([(m,) for m in messages], "value string").repartition(3) \
+        .write.text(src)
+    out, ckpt = scratch_path(spark, "p-out"), scratch_path(spark, "p-ckpt")
+    stream = valid_items(parse_baskets(read_messages(spark, "text", path=src,
+                                                     max_per_trigger=1)))
+    run_to_completion(start_sink(stream, "parquet", checkpoint=ckpt, path=out,
+                                 available_now=True), 120)
+    batch = valid_items(parse_baskets(spark.read.text(src)))
+
+    def rows(df):
+        return sorted((r.order_id, -1 if r.product_id is None else r.product_id)
+                      for r in df.collect())
+    assert rows(spark.read.schema(stream.schema).parquet(out)) == rows(batch)
