@@ -34,7 +34,9 @@ def filter_rules(rules: DataFrame, min_confidence: float = 0.0,
 def rule_kpis(rules: DataFrame, min_confidence: float = 0.0, min_lift: float = 0.0,
               lift_floor: float = D.LIFT_SLIDER_FLOOR) -> DataFrame:
     """One row: totals, filtered count, means (rounded to 9 digits) and the
-    upper bound of the lift slider (at least ``lift_floor``)."""
+    upper bound of the lift slider (at least ``lift_floor``), plus the KPI
+    texts (thousands, mean confidence in percent, mean lift with two
+    decimals)."""
     passes = ((F.col("confidence") >= F.lit(float(min_confidence)))
               & (F.col("lift") >= F.lit(float(min_lift))))
     row = rules.agg(F.count(F.lit(1)).alias("total_rules"),
@@ -42,13 +44,17 @@ def rule_kpis(rules: DataFrame, min_confidence: float = 0.0, min_lift: float = 0
                     F.avg("confidence").alias("avg_confidence"),
                     F.avg("lift").alias("avg_lift"),
                     F.max("lift").alias("_max_lift"))
-    return row.select(
+    rounded = row.select(
         "total_rules", "filtered_rules",
         F.round("avg_confidence", 9).alias("avg_confidence"),
         F.round("avg_lift", 9).alias("avg_lift"),
-        F.greatest(F.lit(float(lift_floor)), F.col("_max_lift")).alias("max_lift_bound"),
+        F.greatest(F.lit(float(lift_floor)), F.col("_max_lift")).alias("max_lift_bound"))
+    return rounded.select(
+        "*",
         thousands_text("total_rules").alias("total_rules_text"),
-        thousands_text("filtered_rules").alias("filtered_rules_text"))
+        thousands_text("filtered_rules").alias("filtered_rules_text"),
+        percent_text("avg_confidence").alias("avg_confidence_text"),
+        two_decimal_text("avg_lift").alias("avg_lift_text"))
 
 
 def itemset_kpis(itemsets: DataFrame, rules: DataFrame, n_baskets: int) -> DataFrame:

@@ -147,7 +147,9 @@ FROM named"""),
        round(avg(confidence), 9) AS avg_confidence, round(avg(lift), 9) AS avg_lift,
        greatest(5.0, max(lift)) AS max_lift_bound,
        format('{{:,}}', count(*)) AS total_rules_text,
-       format('{{:,}}', count(*) FILTER (WHERE confidence >= {SLIDER_CONFIDENCE} AND lift >= {SLIDER_LIFT})) AS filtered_rules_text
+       format('{{:,}}', count(*) FILTER (WHERE confidence >= {SLIDER_CONFIDENCE} AND lift >= {SLIDER_LIFT})) AS filtered_rules_text,
+       {_JAVA_2F.format(x='round(avg(confidence), 9) * 100.0')} || '%' AS avg_confidence_text,
+       {_JAVA_2F.format(x='round(avg(lift), 9)')} AS avg_lift_text
 FROM named"""),
     "dashboard_kpis": _q("""SELECT (SELECT n FROM t) AS transactions, (SELECT count(*) FROM itemsets) AS itemsets,
        count(*) AS rules, round(avg(confidence), 3) AS avg_confidence,
