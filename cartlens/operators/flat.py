@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from cartlens.functions.codec import ids_to_text, text_to_ids
 from cartlens.operators.labels import label_arrays
@@ -29,8 +30,8 @@ def flatten_rules(rules: DataFrame, columns: Sequence[str] | None = None) -> Dat
                        "consequent_product_names", *RULE_METRICS]
     out = []
     for c in columns:
-        if c in ("antecedent", "consequent") and \
-                rules.schema[c].dataType.simpleString().startswith("array"):
+        if c in ("antecedent", "consequent") and isinstance(rules.schema[c].dataType,
+                                                             ArrayType):
             out.append(ids_to_text(c).alias(c))
         else:
             out.append(F.col(c))

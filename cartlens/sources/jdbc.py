@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from cartlens.functions.codec import ids_to_text
 
@@ -27,12 +28,15 @@ def serving_frame(named_rules: DataFrame, with_timestamp: bool = True) -> DataFr
     text (empty when absent) and the load time in ``created_at``."""
     cols = []
     for name in ("antecedent", "consequent"):
-        dtype = named_rules.schema[name].dataType.simpleString()
-        value = ids_to_text(name) if dtype.startswith("array") else F.col(name).cast("string")
+        is_array = isinstance(named_rules.schema[name].dataType, ArrayType)
+        value = ids_to_text(name) if is_array else F.col(name).cast("string")
         cols.append(value.alias(name))
         cols.append(F.coalesce(F.col(f"{name}_product_names").cast("string"), F.lit(""))
                     .alias(f"{name}_product_names"))
-    cols += [F.col(m).cast("double").alias(m) for m in ("confidence", "lift", "support")]
+    for m in ("confidence", "lift", "support"):
+        # six-column enriched rules carry no support: loaded as null
+        metric = F.col(m) if m in named_rules.columns else F.lit(None)
+        cols.append(metric.cast("double").alias(m))
     out = named_rules.select(*cols).select(*SERVING_COLUMNS)
     if with_timestamp:
         out = out.withColumn("created_at", F.current_timestamp())

@@ -139,3 +139,12 @@ def test_console_sink_and_preview(spark):
     assert sum(p["numInputRows"] for p in q.recentProgress) == len(BASKETS) + 3
     df = spark.createDataFrame(BASKETS, BASKET)
     assert [r.order_id for r in preview(df, 2, ["order_id"]).collect()] == [1, 2]
+
+
+def test_serving_frame_without_support(spark):
+    flat = spark.createDataFrame([("1", "A", "2", "B", 0.5, 1.5)],
+                                 "antecedent string, antecedent_product_names string, "
+                                 "consequent string, consequent_product_names string, "
+                                 "confidence double, lift double")
+    row = serving_frame(flat).first()
+    assert (row.antecedent, row.support, row.lift) == ("1", None, 1.5)
