@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartlens.defaults import PEEK_MESSAGES
 from cartlens.functions.messages import parse_message

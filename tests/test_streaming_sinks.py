@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from cartlens.operators.flat import flatten_rules
 from cartlens.schemas import BASKET, NAMED_RULE
@@ -126,7 +125,6 @@ def test_basket_message_format(spark):
     df = spark.createDataFrame([(7, [1, 2])], BASKET)
     assert basket_messages(df).first().value == '{"order_id":7,"items":[1,2]}'
     assert basket_messages(df).first().key == "7"
-    assert F is not None
 
 
 def test_console_sink_and_preview(spark):
