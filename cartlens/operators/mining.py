@@ -100,10 +100,18 @@ def derive_rules(itemsets: DataFrame, n_baskets: int,
 def mine(baskets: DataFrame, items_col: str = "items",
          min_support: float = DEFAULT_MIN_SUPPORT,
          min_confidence: float = DEFAULT_MIN_CONFIDENCE,
-         num_partitions: int | None = None, name: str = "mined") -> MiningResult:
+         num_partitions: int | None = None, name: str = "mined",
+         materialize_input: bool = False) -> MiningResult:
     """Fit FP-Growth once, write itemsets and rules below the checkpoint root,
-    and return DataFrames over the written tables."""
+    and return DataFrames over the written tables.
+
+    The baskets are cached (memory and disk) for the passes of the fit; with
+    ``materialize_input=True`` they are first written below the checkpoint
+    root, so a lost executor re-reads files instead of re-running the basket
+    build."""
     spark = baskets.sparkSession
+    if materialize_input:
+        baskets = materialize(baskets.select(items_col), f"{name}-baskets")
     data = (baskets.select(F.col(items_col).alias("items"))
             .where(F.col("items").isNotNull())
             .persist(StorageLevel.MEMORY_AND_DISK))

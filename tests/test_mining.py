@@ -109,3 +109,12 @@ def test_permutation_invariance(spark):
 def test_empty_input(spark):
     res = mine(spark.createDataFrame([], BASKET))
     assert res.n_baskets == 0 and res.itemsets.count() == 0 and res.rules.count() == 0
+
+
+def test_mine_from_written_input(spark):
+    base = [[1, 2, 3], [1, 2], [2, 3], [1, 3], [1, 2, 3, 4]]
+    df = spark.createDataFrame(list(enumerate(base)), BASKET)
+    a = mine(df, min_support=0.4, min_confidence=0.1)
+    b = mine(df, min_support=0.4, min_confidence=0.1, materialize_input=True)
+    assert sorted(map(tuple, a.rules.collect())) == sorted(map(tuple, b.rules.collect()))
+    assert b.n_baskets == 5
