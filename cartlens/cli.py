@@ -29,18 +29,19 @@ from cartlens.operators.mining import mine
 from cartlens.schemas import FLAT_RULE, ORDER, ORDER_LINE
 from cartlens.session import build_session
 from cartlens.sources.jdbc import load_rules
-from cartlens.sources.readers import (products_from_text, read_csv, read_named_rules_csv,
-                                      read_products_csv)
+from cartlens.sources.readers import (products_from_text, read_csv, read_csv_columns,
+                                      read_named_rules_csv, read_products_csv)
 from cartlens.sources.writers import basket_messages, write_csv, write_kafka, write_parquet
 from cartlens.streaming import parse_baskets, read_messages, run_to_completion, start_sink
 from cartlens.streaming.baskets import valid_items
 
 
-def _table(spark: SparkSession, path: str, csv_schema=None) -> DataFrame:
-    """CSV (declared schema, header) when the path ends in .csv, else Parquet."""
+def _table(spark: SparkSession, path: str, columns) -> DataFrame:
+    """The named columns of a CSV file with header (when the path ends in
+    .csv) or of a Parquet table."""
     if path.endswith(".csv"):
-        return read_csv(spark, path, csv_schema)
-    return spark.read.parquet(path)
+        return read_csv_columns(spark, path, columns)
+    return spark.read.parquet(path).select(*columns.fieldNames())
 
 
 def _products(spark: SparkSession, path: str) -> DataFrame:
@@ -50,8 +51,8 @@ def _products(spark: SparkSession, path: str) -> DataFrame:
 
 
 def preprocess(spark, a) -> dict:
-    orders = _table(spark, a.orders, ORDER).select("order_id")
-    lines = _table(spark, a.order_lines, ORDER_LINE).select("order_id", "product_id")
+    orders = _table(spark, a.orders, ORDER)
+    lines = _table(spark, a.order_lines, ORDER_LINE)
     return {"baskets": write_parquet(build_baskets(orders, lines, min_size=a.min_size), a.out)}
 
 

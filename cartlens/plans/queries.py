@@ -27,7 +27,8 @@ from cartlens.plans.chain import ChainConfig, run_chain
 from cartlens.schemas import FLAT_ITEMSET, FLAT_RULE, FLAT_RULE_TEXT, ORDER, ORDER_LINE
 from cartlens.session import scratch_path
 from cartlens.sources.kafka import peek_messages
-from cartlens.sources.readers import read_csv, read_named_rules_csv, read_products_csv
+from cartlens.sources.readers import (read_csv, read_csv_columns, read_named_rules_csv,
+                                      read_products_csv)
 from cartlens.sources.tables import order_lines, orders_table, products_table, table
 from cartlens.sources.writers import basket_messages, preview, write_csv, write_messages
 from cartlens.streaming.baskets import (parse_baskets, read_messages, run_to_completion,
@@ -106,8 +107,8 @@ def q_csv_roundtrip(spark, d):
     root = scratch_path(spark, "csv-input")
     write_csv(orders_table(spark, d), f"{root}/orders")
     write_csv(order_lines(spark, d, CFG.level), f"{root}/order_products")
-    orders = read_csv(spark, f"{root}/orders", ORDER)
-    lines = read_csv(spark, f"{root}/order_products", ORDER_LINE)
+    orders = read_csv_columns(spark, f"{root}/orders", ORDER)
+    lines = read_csv_columns(spark, f"{root}/order_products", ORDER_LINE)
     return _flat_baskets(build_baskets(orders, lines))
 
 

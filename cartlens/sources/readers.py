@@ -20,6 +20,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool =
     return reader.csv(path)
 
 
+def read_csv_columns(spark: SparkSession, path: str, columns: StructType,
+                     **options: str) -> DataFrame:
+    """CSV with header, columns picked by header name (any order, extra
+    columns ignored) and converted with ``try_cast``.  Every field is read
+    as text, so there is no inference pass, and a bad value becomes null."""
+    reader = spark.read.option("header", True)
+    for key, value in options.items():
+        reader = reader.option(key, value)
+    raw = reader.csv(path)
+    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                        for f in columns.fields])
+
+
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan; selecting ``columns`` here lets the scan prune the rest."""
     df = spark.read.parquet(path)
@@ -40,8 +53,9 @@ def products_from_text(df: DataFrame, id_col: str = "product_id",
 
 
 def read_products_csv(spark: SparkSession, path: str, id_type: str = "int") -> DataFrame:
-    """Product dimension from CSV with header: ``product_id, product_name``."""
-    return products_from_text(read_csv(spark, path, PRODUCT_TEXT), id_type=id_type)
+    """Product dimension from CSV with header; ``product_id`` and
+    ``product_name`` are picked by name, other columns are ignored."""
+    return products_from_text(read_csv_columns(spark, path, PRODUCT_TEXT), id_type=id_type)
 
 
 def read_named_rules_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -146,3 +146,15 @@ def test_serving_frame_without_support(spark):
                                  "confidence double, lift double")
     row = serving_frame(flat).first()
     assert (row.antecedent, row.support, row.lift) == ("1", None, 1.5)
+
+
+def test_csv_columns_by_header_name(spark):
+    from cartlens.schemas import ORDER_LINE
+    from cartlens.sources.readers import read_csv_columns
+    df = spark.createDataFrame([(3, 7, 1, "x"), (4, None, 2, "y")],
+                               "add_to_cart_order int, product_id int, order_id int, r string")
+    path = write_csv(df, scratch_path(spark, "t-cols"))
+    got = sorted(read_csv_columns(spark, path, ORDER_LINE).collect())
+    assert [(r.order_id, r.product_id) for r in got] == [(1, 7), (2, None)]
+    assert read_csv_columns(spark, path, ORDER_LINE).dtypes == [("order_id", "bigint"),
+                                                                ("product_id", "int")]
