@@ -29,7 +29,7 @@ from cartlens.operators.mining import mine
 from cartlens.schemas import FLAT_RULE, ORDER, ORDER_LINE
 from cartlens.session import build_session
 from cartlens.sources.jdbc import load_rules
-from cartlens.sources.readers import (products_from_text, read_csv, read_csv_columns,
+from cartlens.sources.readers import (products_from_text, read_csv_columns,
                                       read_named_rules_csv, read_products_csv)
 from cartlens.sources.writers import basket_messages, write_csv, write_kafka, write_parquet
 from cartlens.streaming import parse_baskets, read_messages, run_to_completion, start_sink
@@ -79,7 +79,7 @@ def export(spark, a) -> dict:
 
 
 def enrich(spark, a) -> dict:
-    flat = read_csv(spark, a.rules_csv, FLAT_RULE)
+    flat = read_csv_columns(spark, a.rules_csv, FLAT_RULE, allow_missing=True)
     products = _products(spark, a.products).selectExpr(
         "CAST(product_id AS STRING) AS product_id", "product_name")
     write_csv(enrich_flat_rules(flat, products), a.out, single_file=a.single_file)

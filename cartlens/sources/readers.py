@@ -21,16 +21,25 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool =
 
 
 def read_csv_columns(spark: SparkSession, path: str, columns: StructType,
-                     **options: str) -> DataFrame:
+                     allow_missing: bool = False, **options: str) -> DataFrame:
     """CSV with header, columns picked by header name (any order, extra
     columns ignored) and converted with ``try_cast``.  Every field is read
-    as text, so there is no inference pass, and a bad value becomes null."""
+    as text, so there is no inference pass, and a bad value becomes null.
+    ``allow_missing`` turns a column absent from the header into nulls."""
     reader = spark.read.option("header", True)
     for key, value in options.items():
         reader = reader.option(key, value)
     raw = reader.csv(path)
-    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-                        for f in columns.fields])
+    present = set(raw.columns)
+    out = []
+    for f in columns.fields:
+        if f.name in present:
+            out.append(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name))
+        elif allow_missing:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            raise ValueError(f"{path}: no column {f.name!r} in header {raw.columns}")
+    return raw.select(*out)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -59,10 +68,11 @@ def read_products_csv(spark: SparkSession, path: str, id_type: str = "int") -> D
 
 
 def read_named_rules_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Named rules from CSV.  CSV cannot tell an empty text from a missing one
-    (both read back as null); names of a labelled rule are never null, so an
-    empty name is restored as ``""``."""
+    """Named rules from CSV, columns by header name; a file without
+    ``support`` (six-column exports) gives null support.  CSV cannot tell an
+    empty text from a missing one (both read back as null); names of a
+    labelled rule are never null, so an empty name is restored as ``""``."""
     from cartlens.schemas import NAMED_RULE
-    df = read_csv(spark, path, NAMED_RULE)
+    df = read_csv_columns(spark, path, NAMED_RULE, allow_missing=True)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(""))
                            for c in ("antecedent_product_names", "consequent_product_names")})

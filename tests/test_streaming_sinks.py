@@ -158,3 +158,14 @@ def test_csv_columns_by_header_name(spark):
     assert [(r.order_id, r.product_id) for r in got] == [(1, 7), (2, None)]
     assert read_csv_columns(spark, path, ORDER_LINE).dtypes == [("order_id", "bigint"),
                                                                 ("product_id", "int")]
+
+
+def test_six_column_named_rules_csv(spark):
+    df = spark.createDataFrame([("1", "A", "2", "", 0.5, 1.5)],
+                               "antecedent string, antecedent_product_names string, "
+                               "consequent string, consequent_product_names string, "
+                               "confidence double, lift double")
+    path = write_csv(df, scratch_path(spark, "t-six"))
+    row = read_named_rules_csv(spark, path).first()
+    assert (row.antecedent, row.consequent_product_names, row.lift, row.support) == \
+        ("1", "", 1.5, None)
