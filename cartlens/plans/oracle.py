@@ -1,9 +1,9 @@
 """DuckDB oracle SQL for the registered queries.
 
-``MINING_CTE`` recomputes baskets, frequent itemsets (up to three items) and
-rules with plain joins and GROUP BY; it is exact while no itemset of four
-items is frequent, which holds for the brand-level test data at the
-parameters used.  Arrays are compared as sorted, comma-joined text.
+``mining_cte`` recomputes baskets, frequent itemsets (up to four items) and
+rules with plain joins and GROUP BY; it is exact while no itemset of five
+items is frequent (the brand-level test data has none of four at the
+registered parameters).  Arrays are compared as sorted, comma-joined text.
 """
 
 from __future__ import annotations
@@ -25,30 +25,49 @@ f2 AS (SELECT x.i AS a, y.i AS b, count(*) AS k FROM bf x JOIN bf y ON x.o = y.o
 f3 AS (SELECT x.i AS a, y.i AS b, z.i AS c, count(*) AS k
        FROM bf x JOIN bf y ON x.o = y.o AND x.i < y.i JOIN bf z ON x.o = z.o AND y.i < z.i
        GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT k FROM mc)),
-fi AS (SELECT a AS i1, CAST(NULL AS INTEGER) AS i2, CAST(NULL AS INTEGER) AS i3, k AS freq,
-              1 AS item_count FROM f1
-       UNION ALL SELECT a, b, NULL, k, 2 FROM f2
-       UNION ALL SELECT a, b, c, k, 3 FROM f3),
-r0 AS (SELECT p.a AS a1, CAST(NULL AS INTEGER) AS a2, p.b AS con, p.k AS kxy, x.k AS kx
+f4 AS (SELECT x.i AS a, y.i AS b, z.i AS c, w.i AS d, count(*) AS k
+       FROM bf x JOIN bf y ON x.o = y.o AND x.i < y.i JOIN bf z ON x.o = z.o AND y.i < z.i
+                 JOIN bf w ON x.o = w.o AND z.i < w.i
+       GROUP BY 1, 2, 3, 4 HAVING count(*) >= (SELECT k FROM mc)),
+fi AS (SELECT a AS i1, CAST(NULL AS INTEGER) AS i2, CAST(NULL AS INTEGER) AS i3,
+              CAST(NULL AS INTEGER) AS i4, k AS freq, 1 AS item_count FROM f1
+       UNION ALL SELECT a, b, NULL, NULL, k, 2 FROM f2
+       UNION ALL SELECT a, b, c, NULL, k, 3 FROM f3
+       UNION ALL SELECT a, b, c, d, k, 4 FROM f4),
+r0 AS (SELECT p.a AS a1, CAST(NULL AS INTEGER) AS a2, CAST(NULL AS INTEGER) AS a3,
+              p.b AS con, p.k AS kxy, x.k AS kx
        FROM f2 p JOIN f1 x ON x.a = p.a
-       UNION ALL SELECT p.b, NULL, p.a, p.k, x.k FROM f2 p JOIN f1 x ON x.a = p.b
-       UNION ALL SELECT p.a, p.b, p.c, p.k, x.k FROM f3 p JOIN f2 x ON x.a = p.a AND x.b = p.b
-       UNION ALL SELECT p.a, p.c, p.b, p.k, x.k FROM f3 p JOIN f2 x ON x.a = p.a AND x.b = p.c
-       UNION ALL SELECT p.b, p.c, p.a, p.k, x.k FROM f3 p JOIN f2 x ON x.a = p.b AND x.b = p.c),
-ru AS (SELECT a1, a2, con, CAST(kxy AS DOUBLE) / kx AS confidence,
+       UNION ALL SELECT p.b, NULL, NULL, p.a, p.k, x.k FROM f2 p JOIN f1 x ON x.a = p.b
+       UNION ALL SELECT p.a, p.b, NULL, p.c, p.k, x.k
+                 FROM f3 p JOIN f2 x ON x.a = p.a AND x.b = p.b
+       UNION ALL SELECT p.a, p.c, NULL, p.b, p.k, x.k
+                 FROM f3 p JOIN f2 x ON x.a = p.a AND x.b = p.c
+       UNION ALL SELECT p.b, p.c, NULL, p.a, p.k, x.k
+                 FROM f3 p JOIN f2 x ON x.a = p.b AND x.b = p.c
+       UNION ALL SELECT p.a, p.b, p.c, p.d, p.k, x.k
+                 FROM f4 p JOIN f3 x ON x.a = p.a AND x.b = p.b AND x.c = p.c
+       UNION ALL SELECT p.a, p.b, p.d, p.c, p.k, x.k
+                 FROM f4 p JOIN f3 x ON x.a = p.a AND x.b = p.b AND x.c = p.d
+       UNION ALL SELECT p.a, p.c, p.d, p.b, p.k, x.k
+                 FROM f4 p JOIN f3 x ON x.a = p.a AND x.b = p.c AND x.c = p.d
+       UNION ALL SELECT p.b, p.c, p.d, p.a, p.k, x.k
+                 FROM f4 p JOIN f3 x ON x.a = p.b AND x.b = p.c AND x.c = p.d),
+ru AS (SELECT a1, a2, a3, con, CAST(kxy AS DOUBLE) / kx AS confidence,
               (CAST(kxy AS DOUBLE) / kx) / (CAST(y.k AS DOUBLE) / (SELECT n FROM t)) AS lift,
               CAST(kxy AS DOUBLE) / (SELECT n FROM t) AS support
        FROM r0 JOIN f1 y ON y.a = r0.con
        WHERE CAST(kxy AS DOUBLE) / kx >= {min_confidence}),
 dim AS (SELECT DISTINCT CAST(substr(p_brand, 7) AS INTEGER) AS id, p_brand AS name FROM part),
-itemsets AS (SELECT concat_ws(',', i1, i2, i3) AS items, freq, item_count, i1, i2, i3 FROM fi),
-rules AS (SELECT concat_ws(',', a1, a2) AS antecedent, CAST(con AS VARCHAR) AS consequent,
-                 confidence, lift, support, a1, a2, con FROM ru),
-named AS (SELECT r.antecedent, concat_ws(', ', d1.name, d2.name) AS antecedent_product_names,
-                 r.consequent, coalesce(d3.name, '') AS consequent_product_names,
-                 r.confidence, r.lift, r.support, r.a1, r.a2, r.con
+itemsets AS (SELECT concat_ws(',', i1, i2, i3, i4) AS items, freq, item_count, i1, i2, i3, i4
+             FROM fi),
+rules AS (SELECT concat_ws(',', a1, a2, a3) AS antecedent, CAST(con AS VARCHAR) AS consequent,
+                 confidence, lift, support, a1, a2, a3, con FROM ru),
+named AS (SELECT r.antecedent,
+                 concat_ws(', ', d1.name, d2.name, d3.name) AS antecedent_product_names,
+                 r.consequent, coalesce(dc.name, '') AS consequent_product_names,
+                 r.confidence, r.lift, r.support, r.a1, r.a2, r.a3, r.con
           FROM rules r LEFT JOIN dim d1 ON d1.id = r.a1 LEFT JOIN dim d2 ON d2.id = r.a2
-                       LEFT JOIN dim d3 ON d3.id = r.con)
+                       LEFT JOIN dim d3 ON d3.id = r.a3 LEFT JOIN dim dc ON dc.id = r.con)
 """
 
 
@@ -71,10 +90,11 @@ _LABEL = "antecedent_product_names || ' → ' || consequent_product_names"
 _NAMED_ITEMSETS = """(SELECT s.items,
         concat_ws(', ', coalesce(d1.name, CAST(s.i1 AS VARCHAR)),
                         coalesce(d2.name, CAST(s.i2 AS VARCHAR)),
-                        coalesce(d3.name, CAST(s.i3 AS VARCHAR))) AS products,
+                        coalesce(d3.name, CAST(s.i3 AS VARCHAR)),
+                        coalesce(d4.name, CAST(s.i4 AS VARCHAR))) AS products,
         s.freq
  FROM itemsets s LEFT JOIN dim d1 ON d1.id = s.i1 LEFT JOIN dim d2 ON d2.id = s.i2
-                 LEFT JOIN dim d3 ON d3.id = s.i3)"""
+                 LEFT JOIN dim d3 ON d3.id = s.i3 LEFT JOIN dim d4 ON d4.id = s.i4)"""
 # Java formats the shortest decimal form of a double with HALF_UP rounding;
 # going through VARCHAR -> DECIMAL reproduces that in DuckDB.
 _JAVA_2F = "printf('%.2f', round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2))"
@@ -120,7 +140,7 @@ UNION ALL SELECT 'itemsets', count(*) FROM itemsets
 UNION ALL SELECT 'rules', count(*) FROM rules"""),
     "split_ids": _q("""SELECT antecedent, consequent,
        CAST(len(string_split(antecedent, ',')) AS INTEGER) AS n_antecedent,
-       a1 AS first_antecedent, coalesce(a2, a1) AS last_antecedent, con AS consequent_id
+       a1 AS first_antecedent, coalesce(a3, a2, a1) AS last_antecedent, con AS consequent_id
 FROM rules"""),
     "basket_json": _q("""SELECT o AS order_id,
        '{"order_id":' || o || ',"items":[' || string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) || ']}' AS value
@@ -165,11 +185,12 @@ ORDER BY lift DESC, antecedent, consequent LIMIT 15"""),
 ORDER BY confidence DESC, antecedent, consequent LIMIT 15"""),
     "chart_scatter": _q(f"SELECT {_LABEL} AS rule, confidence, lift, support FROM {_FILTERED}"),
     "dashboard_rules": _q("""SELECT r.antecedent, r.consequent,
-       concat_ws(', ', coalesce(d1.name, CAST(r.a1 AS VARCHAR)), coalesce(d2.name, CAST(r.a2 AS VARCHAR)))
-         || ' ➜ ' || coalesce(d3.name, CAST(r.con AS VARCHAR)) AS rule,
+       concat_ws(', ', coalesce(d1.name, CAST(r.a1 AS VARCHAR)), coalesce(d2.name, CAST(r.a2 AS VARCHAR)),
+                       coalesce(d3.name, CAST(r.a3 AS VARCHAR)))
+         || ' ➜ ' || coalesce(dc.name, CAST(r.con AS VARCHAR)) AS rule,
        r.confidence, r.lift, r.support
 FROM rules r LEFT JOIN dim d1 ON d1.id = r.a1 LEFT JOIN dim d2 ON d2.id = r.a2
-             LEFT JOIN dim d3 ON d3.id = r.con"""),
+             LEFT JOIN dim d3 ON d3.id = r.a3 LEFT JOIN dim dc ON dc.id = r.con"""),
     "all_rules": _q(f"""SELECT antecedent_product_names AS product_a, consequent_product_names AS product_b,
        confidence, lift FROM {_FILTERED}"""),
     "rule_search": _q(f"""SELECT antecedent_product_names AS product_purchased,
