@@ -1,3 +1,3 @@
-from cartlens.cli import main
+from cartlens.cli import run
 
-main()
+run()

@@ -199,5 +199,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     return args.run(spark, args)
 
 
+def run() -> int:
+    """Console-script entry: run a stage, print its summary, exit 0."""
+    print(main())
+    return 0
+
+
 if __name__ == "__main__":
-    main()
+    run()
