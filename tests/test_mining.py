@@ -118,3 +118,25 @@ def test_mine_from_written_input(spark):
     b = mine(df, min_support=0.4, min_confidence=0.1, materialize_input=True)
     assert sorted(map(tuple, a.rules.collect())) == sorted(map(tuple, b.rules.collect()))
     assert b.n_baskets == 5
+
+
+def test_fixture_counts(spark):
+    """Brand-level counts of the test tables (minSupport 0.005, minConfidence
+    0.15): baskets, itemsets by size, rules."""
+    import os
+
+    import pytest
+    from collections import Counter
+
+    from cartlens.plans import catalog
+    from cartlens.plans.catalog import MiningConfig
+    expected = {"0.001": (1351, {1: 25, 2: 300, 3: 542}, 1747),
+                "0.01": (13532, {1: 25, 2: 300, 3: 104}, 619)}
+    for sf, (n, sizes, rules) in expected.items():
+        d = f"/root/testdata/sf{sf}"
+        if not os.path.isdir(d):
+            pytest.skip("test tables not present")
+        res = catalog.mined(spark, d, MiningConfig(min_confidence=0.15))
+        assert res.n_baskets == n
+        assert Counter(r.item_count for r in res.itemsets.collect()) == sizes
+        assert res.rules.count() == rules
