@@ -169,3 +169,24 @@ def test_six_column_named_rules_csv(spark):
     row = read_named_rules_csv(spark, path).first()
     assert (row.antecedent, row.consequent_product_names, row.lift, row.support) == \
         ("1", "", 1.5, None)
+
+
+def test_kafka_record_layout(spark):
+    """Rows shaped like the Kafka source (binary key/value, partition, offset):
+    peek follows topic position; parse and validation read the binary value."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    msgs = basket_messages(spark.createDataFrame(BASKETS, BASKET))
+    records = (msgs.select(F.col("key").cast("binary").alias("key"),
+                           F.col("value").cast("binary").alias("value"),
+                           F.lit("orders").alias("topic"),
+                           (F.abs(F.hash("key")) % 2).cast("int").alias("partition"))
+               .withColumn("offset", F.row_number().over(
+                   Window.partitionBy("partition").orderBy("key")).cast("long") - 1))
+    peeked = peek_messages(records, 3).collect()
+    positions = [(r.partition, r.offset) for r in peeked]
+    assert positions == sorted(positions) and positions[0][1] == 0
+    assert {r.order_id for r in peeked} <= {o for o, _ in BASKETS}
+    items = valid_items(parse_baskets(records)).collect()
+    assert sorted((r.order_id, r.product_id) for r in items if r.product_id is not None) == \
+        [(1, 1), (1, 2), (2, 3), (3, 4), (3, 5), (3, 6), (5, 7)]
