@@ -75,7 +75,7 @@ def load_rules(named_rules: DataFrame, url: str, table: str,
     what was meant to be written vs. what the table now holds)."""
     frame = serving_frame(named_rules)
     expected = frame.count()
-    write_jdbc(frame, url, table, properties)
+    write_jdbc(frame, url, table, properties, column_types=SERVING_COLUMN_TYPES)
     loaded = read_jdbc(named_rules.sparkSession, url, table, properties).count()
     if loaded != expected:
         raise RuntimeError(f"serving table {table}: wrote {expected} rows, found {loaded}")

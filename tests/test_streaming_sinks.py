@@ -190,3 +190,40 @@ def test_kafka_record_layout(spark):
     items = valid_items(parse_baskets(records)).collect()
     assert sorted((r.order_id, r.product_id) for r in items if r.product_id is not None) == \
         [(1, 1), (1, 2), (2, 3), (3, 4), (3, 5), (3, 6), (5, 7)]
+
+
+def test_load_rules_read_back_verification(spark, monkeypatch):
+    """The load path with the JDBC relation replaced by Parquet (no database may
+    be started here): the written table is read back and counted."""
+    import pytest
+
+    from cartlens.sources import jdbc
+    tables = {}
+
+    def fake_write(df, url, table, properties, mode="overwrite", column_types=None):
+        assert column_types and "antecedent VARCHAR" in column_types
+        path = scratch_path(spark, f"t-jdbc-{table}")
+        df.write.mode(mode).parquet(path)
+        tables[table] = path
+
+    def fake_read(session, url, table, properties):
+        return session.read.parquet(tables[table])
+
+    monkeypatch.setattr(jdbc, "write_jdbc", fake_write)
+    monkeypatch.setattr(jdbc, "read_jdbc", fake_read)
+    rules = spark.createDataFrame(
+        [([1], "A", [2], "B", 0.5, 1.5, 0.1), ([2], "B", [1], "A", 0.4, 1.5, 0.1)],
+        "antecedent array<int>, antecedent_product_names string, consequent array<int>, "
+        "consequent_product_names string, confidence double, lift double, support double")
+    assert jdbc.load_rules(rules, "jdbc:x", "association_rules", {}) == \
+        {"expected": 2, "loaded": 2}
+    ordered = jdbc.ordered_serving_rules(fake_read(spark, "", "association_rules", {}))
+    assert [r.antecedent for r in ordered.collect()] == ["1", "2"]
+    assert "created_at" in ordered.columns
+
+    def short_read(session, url, table, properties):
+        return session.read.parquet(tables[table]).limit(1)
+
+    monkeypatch.setattr(jdbc, "read_jdbc", short_read)
+    with pytest.raises(RuntimeError):
+        jdbc.load_rules(rules, "jdbc:x", "association_rules", {})
