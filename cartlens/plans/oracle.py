@@ -162,6 +162,7 @@ GROUP BY 1 ORDER BY "count" DESC, consequent_product_names LIMIT 20"""),
        count(*) FILTER (WHERE confidence > {HIGH_CONFIDENCE}) AS high_confidence_rules
 FROM named"""),
     "preview": _q("SELECT items, freq, item_count FROM itemsets ORDER BY freq DESC, items LIMIT 20"),
+    "preview_rules": _q(f"{_RULES} ORDER BY lift DESC, antecedent, consequent LIMIT 20"),
     "rule_kpis": _q(f"""SELECT count(*) AS total_rules,
        count(*) FILTER (WHERE confidence >= {SLIDER_CONFIDENCE} AND lift >= {SLIDER_LIFT}) AS filtered_rules,
        round(avg(confidence), 9) AS avg_confidence, round(avg(lift), 9) AS avg_lift,

@@ -340,6 +340,12 @@ def q_preview(spark, d):
                    [F.desc("freq"), "items"])
 
 
+@query("preview_rules")
+def q_preview_rules(spark, d):
+    return preview(flatten_rules(catalog.mined(spark, d, CFG).rules), 20,
+                   [F.desc("lift"), "antecedent", "consequent"])
+
+
 # ---------------------------------------------------------------- dashboards
 
 @query("rules_clean")
