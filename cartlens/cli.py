@@ -53,7 +53,8 @@ def _products(spark: SparkSession, path: str) -> DataFrame:
 def preprocess(spark, a) -> dict:
     orders = _table(spark, a.orders, ORDER)
     lines = _table(spark, a.order_lines, ORDER_LINE)
-    return {"baskets": write_parquet(build_baskets(orders, lines, min_size=a.min_size), a.out)}
+    baskets = build_baskets(orders, lines, min_size=a.min_size, salt_buckets=a.salt_buckets)
+    return {"baskets": write_parquet(baskets, a.out)}
 
 
 def mine_stage(spark, a) -> dict:
@@ -131,6 +132,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--order-lines", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--min-size", type=int, default=D.MIN_BASKET_SIZE)
+    s.add_argument("--salt-buckets", type=int, default=None,
+                   help="two-phase aggregation for extremely large orders")
     s.set_defaults(run=preprocess)
 
     s = sub.add_parser("mine")

@@ -23,13 +23,28 @@ from pyspark.sql import functions as F
 
 def build_baskets(orders: DataFrame, lines: DataFrame, order_col: str = "order_id",
                   item_col: str = "product_id", min_size: int = 2,
-                  observation: Observation | None = None) -> DataFrame:
+                  observation: Observation | None = None,
+                  salt_buckets: int | None = None) -> DataFrame:
     """``order_id, items`` with ``items`` the sorted distinct non-null items of
     the order; orders without lines, unknown orders and baskets smaller than
-    ``min_size`` are dropped."""
-    sets = (lines.select(order_col, item_col)
-            .groupBy(order_col)
-            .agg(F.array_sort(F.collect_set(item_col)).alias("items")))
+    ``min_size`` are dropped.
+
+    ``salt_buckets=S`` aggregates in two phases for extreme orders: sets are
+    first built per (order, hash(item) mod S), so one order's merge is spread
+    over S tasks, and the S disjoint sets are then concatenated per order.
+    It costs a second (smaller) shuffle for every order; without it, one
+    order's final merge receives one partial set per map task.
+    """
+    pairs = lines.select(order_col, item_col)
+    if salt_buckets and salt_buckets > 1:
+        salt = F.pmod(F.hash(item_col), F.lit(int(salt_buckets)))
+        partial = (pairs.groupBy(order_col, salt.alias("_salt"))
+                   .agg(F.collect_set(item_col).alias("_part")))
+        sets = (partial.groupBy(order_col)
+                .agg(F.array_sort(F.flatten(F.collect_list("_part"))).alias("items")))
+    else:
+        sets = (pairs.groupBy(order_col)
+                .agg(F.array_sort(F.collect_set(item_col)).alias("items")))
     if min_size:
         sets = sets.where(F.size("items") >= min_size)
     baskets = sets.join(orders.select(order_col), order_col, "left_semi")

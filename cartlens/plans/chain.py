@@ -27,6 +27,7 @@ class ChainConfig:
     min_support: float = DEFAULT_MIN_SUPPORT
     min_confidence: float = DEFAULT_MIN_CONFIDENCE
     min_basket_size: int = 2
+    salt_buckets: int | None = None
     num_partitions: int | None = None
     jdbc_url: str | None = None
     jdbc_table: str = "association_rules"
@@ -41,7 +42,8 @@ def preprocess(orders: DataFrame, lines: DataFrame, cfg: ChainConfig,
     """Stage 1: baskets written as Parquet (counts observed during the write,
     no extra pass)."""
     return write_parquet(build_baskets(orders, lines, min_size=cfg.min_basket_size,
-                                       observation=observation),
+                                       observation=observation,
+                                       salt_buckets=cfg.salt_buckets),
                          cfg.path("transactions"))
 
 

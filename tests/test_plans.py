@@ -65,3 +65,22 @@ def test_hot_order_and_hot_item(spark):
     res = mine(baskets, min_support=0.2, min_confidence=0.5)
     freq = {tuple(r["items"]): r.freq for r in res.itemsets.collect()}
     assert freq[(99,)] == 1500
+
+
+def test_salted_baskets_equal_and_spread_hot_order(spark, sf001):
+    from cartlens.sources.tables import order_lines, orders_table
+    plain = build_baskets(orders_table(spark, sf001), order_lines(spark, sf001))
+    salted = build_baskets(orders_table(spark, sf001), order_lines(spark, sf001),
+                           salt_buckets=8)
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+    p = plan(salted)
+    # first exchange on (order, salt), then the regroup on order alone
+    assert "Exchange hashpartitioning(order_id#" in p
+    assert p.count("Exchange hashpartitioning(order_id") == 2
+    assert "partial_collect_set" in p and "partial_collect_list" in p
+    # a hot order: its items land in several salt groups before the final merge
+    hot = spark.createDataFrame([(1, i) for i in range(200)] + [(2, 1), (2, 2)], ORDER_LINE)
+    orders = spark.createDataFrame([(1,), (2,)], ORDER)
+    got = {r.order_id: r["items"] for r in
+           build_baskets(orders, hot, salt_buckets=4).collect()}
+    assert got[1] == list(range(200)) and got[2] == [1, 2]
