@@ -15,15 +15,17 @@ orders_st = st.sets(st.integers(1, 10), max_size=10)
 
 
 @SETTINGS
-@given(lines=lines_st, orders=orders_st, min_size=st.sampled_from([1, 2, 3]))
-def test_baskets_match_python(spark, lines, orders, min_size):
+@given(lines=lines_st, orders=orders_st, min_size=st.sampled_from([1, 2, 3]),
+       salt=st.sampled_from([None, 3]))
+def test_baskets_match_python(spark, lines, orders, min_size, salt):
     want = {}
     for o, i in lines:
         if o in orders and i is not None:
             want.setdefault(o, set()).add(i)
     want = {o: sorted(s) for o, s in want.items() if len(s) >= min_size}
     got = build_baskets(spark.createDataFrame([(o,) for o in orders], ORDER),
-                        spark.createDataFrame(lines, ORDER_LINE), min_size=min_size)
+                        spark.createDataFrame(lines, ORDER_LINE), min_size=min_size,
+                        salt_buckets=salt)
     assert {r.order_id: r["items"] for r in got.collect()} == want
 
 
