@@ -108,7 +108,8 @@ def stream(spark, a) -> dict:
     messages = read_messages(spark, a.source, path=a.path, bootstrap_servers=a.bootstrap,
                              topic=a.topic, starting_offsets=a.starting_offsets,
                              max_per_trigger=a.max_per_trigger)
-    rows = parse_baskets(messages) if a.parse_only else valid_items(parse_baskets(messages))
+    rows = (parse_baskets(messages) if a.parse_only
+            else valid_items(parse_baskets(messages), observe_as="basket_stream"))
     query = start_sink(rows, a.sink, checkpoint=a.checkpoint, path=a.sink_path,
                        available_now=a.available_now)
     if a.available_now:

@@ -56,11 +56,18 @@ def parse_baskets(messages: DataFrame, schema: StructType = STREAM_MESSAGE) -> D
 
 
 def valid_items(parsed: DataFrame, order_col: str = "order_id", items_col: str = "items",
-                item_alias: str = "product_id") -> DataFrame:
+                item_alias: str = "product_id", observe_as: str | None = None) -> DataFrame:
     """Rows with an order id and an item list, one output row per item
-    (an empty list yields no row; a null element is kept)."""
-    return (parsed.where(F.col(order_col).isNotNull() & F.col(items_col).isNotNull())
-            .select(order_col, F.explode(items_col).alias(item_alias)))
+    (an empty list yields no row; a null element is kept).
+
+    ``observe_as`` names per-batch counts (messages, valid messages) that a
+    streaming query reports in ``lastProgress["observedMetrics"]`` without
+    an extra pass over the data."""
+    valid = F.col(order_col).isNotNull() & F.col(items_col).isNotNull()
+    if observe_as:
+        parsed = parsed.observe(observe_as, F.count(F.lit(1)).alias("messages"),
+                                F.count_if(valid).alias("valid_messages"))
+    return parsed.where(valid).select(order_col, F.explode(items_col).alias(item_alias))
 
 
 def start_sink(df: DataFrame, fmt: str = "console", checkpoint: str | None = None,

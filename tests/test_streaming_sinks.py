@@ -240,3 +240,16 @@ def test_kafka_reader_reaches_the_connector(spark):
         assert "kafka" in str(exc).lower()
     else:
         assert df.isStreaming and "value" in df.columns
+
+
+def test_stream_observed_counts(spark):
+    src = _source(spark)
+    stream = valid_items(parse_baskets(read_messages(spark, "text", path=src)),
+                         observe_as="basket_stream")
+    q = start_sink(stream, "parquet", checkpoint=scratch_path(spark, "t-obs-ckpt"),
+                   path=scratch_path(spark, "t-obs-out"), available_now=True)
+    run_to_completion(q, 120)
+    metrics = [p["observedMetrics"]["basket_stream"] for p in q.recentProgress
+               if "basket_stream" in p.get("observedMetrics", {})]
+    assert sum(m["messages"] for m in metrics) == len(BASKETS) + 3
+    assert sum(m["valid_messages"] for m in metrics) == len(BASKETS)
