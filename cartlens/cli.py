@@ -111,7 +111,7 @@ def stream(spark, a) -> dict:
     rows = (parse_baskets(messages) if a.parse_only
             else valid_items(parse_baskets(messages), observe_as="basket_stream"))
     query = start_sink(rows, a.sink, checkpoint=a.checkpoint, path=a.sink_path,
-                       available_now=a.available_now)
+                       available_now=a.available_now, processing_time=a.processing_time)
     if a.available_now:
         run_to_completion(query)
     else:
@@ -187,6 +187,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--sink-path")
     s.add_argument("--checkpoint")
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--processing-time", default=None,
+                   help='micro-batch interval, e.g. "10 seconds" (default: as fast as possible)')
     s.set_defaults(run=stream)
 
     s = sub.add_parser("publish")
