@@ -9,6 +9,7 @@ one job to the next through files.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ class MiningConfig:
 
 
 _MEMO: dict[tuple, object] = {}
+_LOCK = threading.RLock()   # queries run from several threads mine only once
 
 
 def _key(spark: SparkSession, sf_dir: str, cfg: MiningConfig, what: str) -> tuple:
@@ -46,31 +48,35 @@ def products(spark: SparkSession, sf_dir: str, cfg: MiningConfig = MiningConfig(
 
 def mined(spark: SparkSession, sf_dir: str, cfg: MiningConfig = MiningConfig()) -> MiningResult:
     key = _key(spark, sf_dir, cfg, "mined")
-    if key not in _MEMO:
-        _MEMO[key] = mine(baskets(spark, sf_dir, cfg), min_support=cfg.min_support,
-                          min_confidence=cfg.min_confidence)
-    return _MEMO[key]
+    with _LOCK:
+        if key not in _MEMO:
+            _MEMO[key] = mine(baskets(spark, sf_dir, cfg), min_support=cfg.min_support,
+                              min_confidence=cfg.min_confidence)
+        return _MEMO[key]
 
 
 def named_rules(spark: SparkSession, sf_dir: str, cfg: MiningConfig = MiningConfig()) -> DataFrame:
     """Rules with product names (array ids), written once per session."""
     key = _key(spark, sf_dir, cfg, "named_rules")
-    if key not in _MEMO:
-        res = mined(spark, sf_dir, cfg)
-        _MEMO[key] = materialize(label_rules(res.rules, products(spark, sf_dir, cfg)),
-                                 "named-rules")
-    return _MEMO[key]
+    with _LOCK:
+        if key not in _MEMO:
+            res = mined(spark, sf_dir, cfg)
+            _MEMO[key] = materialize(label_rules(res.rules, products(spark, sf_dir, cfg)),
+                                     "named-rules")
+        return _MEMO[key]
 
 
 def named_itemsets(spark: SparkSession, sf_dir: str,
                    cfg: MiningConfig = MiningConfig()) -> DataFrame:
     key = _key(spark, sf_dir, cfg, "named_itemsets")
-    if key not in _MEMO:
-        res = mined(spark, sf_dir, cfg)
-        _MEMO[key] = materialize(label_itemsets(res.itemsets, products(spark, sf_dir, cfg)),
-                                 "named-itemsets")
-    return _MEMO[key]
+    with _LOCK:
+        if key not in _MEMO:
+            res = mined(spark, sf_dir, cfg)
+            _MEMO[key] = materialize(label_itemsets(res.itemsets, products(spark, sf_dir, cfg)),
+                                     "named-itemsets")
+        return _MEMO[key]
 
 
 def clear() -> None:
-    _MEMO.clear()
+    with _LOCK:
+        _MEMO.clear()
