@@ -288,7 +288,9 @@ def q_stream_parse(spark, d):
 
 @query("stream_items")
 def q_stream_items(spark, d):
-    return _run_stream(spark, d, lambda m: valid_items(parse_baskets(m)), "stream-items")
+    return _run_stream(spark, d,
+                       lambda m: valid_items(parse_baskets(m), observe_as="basket_stream"),
+                       "stream-items")
 
 
 @query("topic_peek")
