@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlens.llm.packing import op4_packing
+from cartlens.llm.simhash import op6_simhash
 from cartlens.llm.token_counts import op3_token_counts
 from cartlens.llm.token_files import op1_token_files
 
@@ -23,4 +24,5 @@ QUERIES = {
     "op1_token_files": over("documents", op1_token_files),
     "op3_token_counts": over("documents", op3_token_counts),
     "op4_packing": over("documents", op4_packing),
+    "op6_simhash": over("documents", op6_simhash),
 }
