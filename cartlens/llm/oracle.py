@@ -2,4 +2,24 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+n AS (SELECT doc_id, w, len(w) AS n FROM d),
+s AS (SELECT doc_id, unnest(range(1, n - 11)) AS i FROM n WHERE n >= 13),
+win AS (SELECT s.doc_id, s.i, list_slice(n.w, s.i, s.i + 12) AS g FROM s JOIN n USING (doc_id)),
+lo AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+gone AS (SELECT DISTINCT win.doc_id, win.i + k.k AS p
+         FROM win JOIN lo USING (g), range(13) k(k) WHERE lo.m < win.doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, n + 1)) AS p FROM n),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.p) AS t, count(*) AS c
+         FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p
+         WHERE gone.p IS NULL GROUP BY word.doc_id)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_words,
+       CAST(n.n - coalesce(kept.c, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM n LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op10_substring": OP10}

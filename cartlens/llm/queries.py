@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartlens.llm.packing import op4_packing
 from cartlens.llm.simhash import op6_simhash
+from cartlens.llm.substring import op10_substring
 from cartlens.llm.token_counts import op3_token_counts
 from cartlens.llm.token_files import op1_token_files
 
@@ -25,4 +26,5 @@ QUERIES = {
     "op3_token_counts": over("documents", op3_token_counts),
     "op4_packing": over("documents", op4_packing),
     "op6_simhash": over("documents", op6_simhash),
+    "op10_substring": over("documents", op10_substring),
 }
