@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import id_and_text, ready, saved, texts_of
+from cartlens.llm.common import fresh, id_and_text, ready, saved, texts_of
 from cartlens.llm.components import components
 
 SHINGLE = 3
@@ -45,7 +45,7 @@ SEGMENTS = 16
 CELL = 256
 #: Shingle hashes whose bits are counted at once.
 _SLICE = 1 << 14
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("fp", pa.int64())])
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -72,16 +72,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (bigint) per row."""
+    """``doc_id, th, fp`` (bigint) per row; ``th`` is the text's hash."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in texts_of(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())],
-                                             schema=_SCHEMA)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(fps, pa.int64())], schema=_SCHEMA)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return (id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+            .mapInArrow(run, "doc_id long, th long, fp long"))
 
 
 def _cell(fp: F.Column) -> F.Column:
@@ -155,22 +156,45 @@ def finest_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .select(F.col("fp").alias("u"), F.col("m").alias("v")))
 
 
+def print_roots(prints: DataFrame, max_bits: int = MAX_BITS, cell_size: int = CELL) -> DataFrame:
+    """``fp, root, least``: each distinct fingerprint's component (named by its
+    smallest fingerprint) and the smallest doc_id that has the fingerprint."""
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    linked = components(near_pairs(nodes.select("fp"), max_bits, cell_size))
+    known = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    return saved(known.select("fp", F.coalesce("root", "fp").alias("root"), "least"),
+                 "fingerprint-roots")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                     cell_size: int = CELL) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``."""
     prints = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(near_pairs(nodes.select("fp"), max_bits, cell_size))
-    root = F.coalesce("root", "fp")
-    known = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", root.alias("root"))
-    known = saved(known, "fingerprint-roots")
-    ids = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = known.select("fp", "root").join(ids, "root").select("fp", "component_id")
+    roots = print_roots(prints, max_bits, cell_size)
+    ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_print = roots.join(ids, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                cell_size: int = CELL) -> DataFrame:
+    """``docs``, all columns, with one row of each component: that of the
+    smallest doc_id (a null id comes last), of several such rows the one with
+    the smallest text hash, of equal ones any."""
+    prints = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    roots = print_roots(prints, max_bits, cell_size).select("fp", "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "th"))
+    key, th = fresh(docs, "_k"), fresh(docs, "_th")
+    keep = (prints.join(roots, "fp").groupBy("root").agg(first.alias("f"))
+            .select(F.coalesce("f.doc_id", "f.th").alias(key), F.col("f.th").alias(th)))
+    text = F.col(f"`{text_col}`").cast("string")
+    return (docs.withColumn(th, F.xxhash64(text))
+            .withColumn(key, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.col(th)))
+            .join(keep, [key, th], "left_semi").dropDuplicates([key, th]).drop(key, th))
+
+
 def op6_simhash(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
