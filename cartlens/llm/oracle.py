@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cartlens.llm.quality import RULES, STOP_WORDS
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP10 = f"""
@@ -22,4 +24,49 @@ SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_words,
 FROM n LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op10_substring": OP10}
+_CHECKS = " AND ".join(
+    [f"{r.feature} >= {r.low}" for r in RULES if r.low is not None]
+    + [f"{r.feature} <= {r.high}" for r in RULES if r.high is not None])
+_STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
+
+OP5 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {WORDS} AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)),
+                              lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+           FROM documents),
+win AS (SELECT r, i, w[i:i+2] AS g
+        FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win)
+        WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT i + k.k) AS c FROM dup, range(3) k(k) GROUP BY r),
+f AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+             len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+             coalesce(rep.c, 0) AS n_repeat_words,
+             len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS n_stop,
+             len(list_filter(w, lambda x: regexp_matches(x, '\\p{{L}}'))) AS n_alpha,
+             len(list_filter(w, lambda x: regexp_matches(
+                 x, '^\\P{{Ll}}*\\p{{Lu}}\\P{{Ll}}*\\p{{Lu}}\\P{{Ll}}*$'))) AS n_upper,
+             len(list_filter(l, lambda x: regexp_matches(x, '^\\s*[-*\u2022]'))) AS n_bullet,
+             len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|\u2026)\\s*$')))
+                 AS n_ellipsis
+      FROM d LEFT JOIN rep USING (r)),
+q AS (SELECT *, coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_chars,
+             coalesce(n_symbols / nullif(word_chars, 0), 0) AS symbol_ratio,
+             coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_ratio,
+             coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_word_ratio,
+             coalesce(n_stop / nullif(n_words, 0), 0) AS stop_word_ratio,
+             coalesce(n_alpha / nullif(n_words, 0), 0) AS alpha_word_ratio,
+             coalesce(n_upper / nullif(n_words, 0), 0) AS upper_word_ratio,
+             coalesce(n_bullet / nullif(n_lines, 0), 0) AS bullet_line_ratio,
+             coalesce(n_ellipsis / nullif(n_lines, 0), 0) AS ellipsis_line_ratio,
+             n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+      FROM f)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+       n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND {_CHECKS} AS kept
+FROM q
+"""
+
+ORACLES: dict[str, str] = {"op5_quality": OP5, "op10_substring": OP10}

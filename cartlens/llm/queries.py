@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartlens.llm.packing import op4_packing
+from cartlens.llm.quality import op5_quality
 from cartlens.llm.secrets import op9_secrets
 from cartlens.llm.simhash import op6_simhash
 from cartlens.llm.substring import op10_substring
@@ -33,6 +34,7 @@ QUERIES = {
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
     "op3_token_counts": over("documents", op3_token_counts),
     "op4_packing": over("documents", op4_packing),
+    "op5_quality": over("documents", op5_quality),
     "op6_simhash": over("documents", op6_simhash),
     "op9_secrets": over("documents", op9_secrets),
     "op10_substring": over("documents", op10_substring),
