@@ -54,12 +54,22 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+#: Spark removes a query's shuffle files when it ends, not when the driver
+#: happens to collect garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the checkpoint root and read it back: lineage ends at
-    files that every executor can read again."""
+    files that every executor can read again, and the step's shuffle files go."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

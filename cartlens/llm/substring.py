@@ -14,7 +14,7 @@ words always fit.  Hence:
 1. hash runs of ANCHOR words at cover positions only (3 of 7), and keep those
    that occur in at least two documents;
 2. extend: the windows that hold a kept anchor are the only ones that can
-   repeat; hash these whole (128 bits) and take the least id of each;
+   repeat; hash these whole (96 bits) and take the least id of each;
 3. in a document, the words under windows whose least id is below its own go.
 
 No pair of documents is formed.  Before a shuffle each task settles, run of
@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import id_and_text, ready, texts_of
+from cartlens.llm.common import id_and_text, ready, saved, texts_of
 
 WINDOW = 13
 PERIOD = 7
@@ -52,8 +52,8 @@ _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Rows among which a task looks for repeats of its own.
 RUN = 1 << 20
 _ANCHORS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
-_WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()),
-                      ("th", pa.int64()), ("pos", pa.int32())])
+_WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("doc_id", pa.int64()),
+                      ("th", pa.int32()), ("pos", pa.int32())])
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -163,43 +163,47 @@ def candidate_windows(docs: DataFrame) -> DataFrame:
             starts = np.unique((np.asarray(at.values)[:, None] - np.arange(PERIOD)).ravel())
             starts = starts[(starts >= 0) & (starts <= len(words) - WINDOW)]
             yield (run_hashes(words, WINDOW, starts, 0).view(np.int64),
-                   run_hashes(words, WINDOW, starts, 1).view(np.int64),
-                   np.full(len(starts), doc, np.int64), np.full(len(starts), th, np.int64),
+                   run_hashes(words, WINDOW, starts, 1).astype(np.uint32).view(np.int32),
+                   np.full(len(starts), doc, np.int64), np.full(len(starts), th, np.int32),
                    starts.astype(np.int32))
 
     return docs.mapInArrow(lambda x: runs(x, rows_of, settle_windows),
-                           "h1 long, h2 long, doc_id long, th long, pos int")
+                           "h1 long, h2 int, doc_id long, th int, pos int")
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> DataFrame:
     """``k, doc_id, th, text`` of all rows (and all other columns as the struct
-    ``rest``), dealt by ``k``: the id, or for a null id the text's hash.  All
-    uses read all columns, so that one shuffle of the texts serves them."""
+    ``rest``), dealt by ``k``: the id, or for a null id the text's hash.
+    ``th`` tells the texts of one id apart."""
     cols = [F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-            F.xxhash64(F.col(f"`{text_col}`")).alias("th"),
+            F.hash(F.col(f"`{text_col}`")).alias("th"),
             F.col(f"`{text_col}`").cast("string").alias("text")]
     if rest:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
                     .alias("rest"))
-    return (docs.select(F.coalesce(cols[0], cols[1]).alias("k"), *cols).repartition("k"))
+    return (docs.select(F.coalesce(cols[0], F.xxhash64(cols[2])).alias("k"), *cols).repartition("k"))
 
 
 def repeated_windows(docs: DataFrame, spread: DataFrame) -> DataFrame:
     """``k, th, starts``: per row, the starts of its windows that also start in
     a document with a smaller id.  ``docs`` is (doc_id, text), ``spread`` the
-    same rows dealt by id."""
+    same rows dealt by id.  Either step's result is written, and its shuffle
+    files go before the next."""
     by_anchor, by_window = Window.partitionBy("h"), Window.partitionBy("h1", "h2")
     place = F.when(F.col("pos") < 0, -1 - F.col("pos")).otherwise(F.col("pos"))
-    kept = (anchors(docs)
+    kept = saved(
+        anchors(docs)
             .select("doc_id", "pos", F.min("doc_id").over(by_anchor).alias("lo"),
                     F.max("doc_id").over(by_anchor).alias("hi"),
                     F.min("pos").over(by_anchor).alias("known"))
             .where("lo < hi OR known < 0")
-            .groupBy(F.col("doc_id").alias("k")).agg(F.collect_set(place).alias("at")))
-    return (candidate_windows(spread.join(kept, "k"))
+            .groupBy(F.col("doc_id").alias("k")).agg(F.collect_set(place).alias("at")), "anchors")
+    return saved(
+        candidate_windows(spread.join(kept, "k"))
             .withColumn("lo", F.min("doc_id").over(by_window))
             .where("lo < doc_id OR pos < 0")
-            .groupBy(F.col("doc_id").alias("k"), "th").agg(F.collect_set(place).alias("starts")))
+            .groupBy(F.col("doc_id").alias("k"), "th").agg(F.collect_set(place).alias("starts")),
+        "repeats")
 
 
 def covered(n_words: int, starts: np.ndarray) -> np.ndarray:
