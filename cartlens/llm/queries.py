@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartlens.llm.hamming_index import op7_neighbours
 from cartlens.llm.packing import op4_packing
 from cartlens.llm.piece_bpe import op8_pieces
 from cartlens.llm.quality import op5_quality
@@ -37,6 +38,7 @@ QUERIES = {
     "op4_packing": over("documents", op4_packing),
     "op5_quality": over("documents", op5_quality),
     "op6_simhash": over("documents", op6_simhash),
+    "op7_neighbours": over("embeddings", op7_neighbours),
     "op8_pieces": over("documents", op8_pieces),
     "op9_secrets": over("documents", op9_secrets),
     "op10_substring": over("documents", op10_substring),
