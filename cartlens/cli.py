@@ -22,10 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartlens import defaults as D
 from cartlens.operators import report
-from cartlens.operators.baskets import build_baskets, clean_baskets
+from cartlens.operators.baskets import build_baskets
 from cartlens.operators.flat import enrich_flat_rules, flatten_itemsets, flatten_rules
-from cartlens.operators.labels import label_rules
-from cartlens.operators.mining import mine
+from cartlens.plans import chain
 from cartlens.schemas import FLAT_RULE, ORDER, ORDER_LINE
 from cartlens.session import build_session
 from cartlens.sources.jdbc import load_rules
@@ -58,16 +57,14 @@ def preprocess(spark, a) -> dict:
 
 
 def mine_stage(spark, a) -> dict:
-    baskets = clean_baskets(spark.read.parquet(a.baskets), min_size=a.min_size)
-    res = mine(baskets, min_support=a.min_support, min_confidence=a.min_confidence,
-               num_partitions=a.num_partitions)
     out = a.out.rstrip("/")
-    write_parquet(res.itemsets, f"{out}/frequent_itemsets")
-    named = label_rules(res.rules, _products(spark, a.products))
-    write_parquet(named, f"{out}/association_rules")
-    report.top_rules_rounded(spark.read.parquet(f"{out}/association_rules")).show(
+    cfg = chain.ChainConfig(output_dir=out, min_support=a.min_support,
+                            min_confidence=a.min_confidence, min_basket_size=a.min_size,
+                            num_partitions=a.num_partitions)
+    res = chain.mine_stage(spark, a.baskets, _products(spark, a.products), cfg)
+    report.top_rules_rounded(spark.read.parquet(res["rules_path"])).show(
         D.TOP_RULES, truncate=False)
-    return {"baskets": res.n_baskets, "out": out}
+    return {"baskets": res["baskets"], "out": out}
 
 
 def export(spark, a) -> dict:
@@ -80,7 +77,7 @@ def export(spark, a) -> dict:
 
 
 def enrich(spark, a) -> dict:
-    flat = read_csv_columns(spark, a.rules_csv, FLAT_RULE, allow_missing=True)
+    flat = read_csv_columns(spark, a.rules_csv, FLAT_RULE, allow_missing=True, multi_line=True)
     products = _products(spark, a.products).selectExpr(
         "CAST(product_id AS STRING) AS product_id", "product_name")
     write_csv(enrich_flat_rules(flat, products), a.out, single_file=a.single_file)

@@ -31,6 +31,9 @@ NAME_SEPARATOR = ", "
 ARROW = " → "
 HEAVY_ARROW = " ➜ "
 
+# What stands for null in our own CSV files (an empty text is written as "").
+CSV_NULL = "\\N"
+
 # Streaming and publishing.
 MAX_OFFSETS_PER_TRIGGER = 10000
 CONSOLE_ROWS = 20

@@ -20,7 +20,7 @@ def ids_to_text(c: str | Column, sep: str = ID_SEPARATOR) -> Column:
     return F.concat_ws(sep, _col(c).cast("array<string>"))
 
 
-def text_to_ids(c: str | Column, sep: str = ID_SEPARATOR, element_type: str = "int") -> Column:
+def text_to_ids(c: str | Column, sep: str = ID_SEPARATOR, element_type: str = "bigint") -> Column:
     """``"5,7"`` -> ``[5, 7]``; an element that is not a number becomes null
     (``try_cast``, so ANSI mode never raises); a null text stays null."""
     parts = F.split(_col(c), re.escape(sep))

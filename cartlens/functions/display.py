@@ -14,14 +14,19 @@ from cartlens.defaults import ARROW, HEAVY_ARROW  # noqa: F401
 from cartlens.functions.codec import _col
 
 
+def _unless_null(c: str | Column, text: Column) -> Column:
+    """``format_string`` would spell a null out."""
+    return F.when(_col(c).isNotNull(), text)
+
+
 def percent_text(c: str | Column, digits: int = 2) -> Column:
     """0.1234 -> "12.34%"."""
-    return F.format_string(f"%.{digits}f%%", _col(c) * F.lit(100.0))
+    return _unless_null(c, F.format_string(f"%.{digits}f%%", _col(c) * F.lit(100.0)))
 
 
 def two_decimal_text(c: str | Column, digits: int = 2) -> Column:
     """1.2345 -> "1.23"."""
-    return F.format_string(f"%.{digits}f", _col(c))
+    return _unless_null(c, F.format_string(f"%.{digits}f", _col(c)))
 
 
 def thousands_text(c: str | Column) -> Column:

@@ -38,7 +38,7 @@ def flatten_rules(rules: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return rules.select(*out)
 
 
-def split_rule_ids(flat_rules: DataFrame, element_type: str = "int") -> DataFrame:
+def split_rule_ids(flat_rules: DataFrame, element_type: str = "bigint") -> DataFrame:
     """Flat rules with ``antecedent_ids`` / ``consequent_ids`` arrays added."""
     return flat_rules.select(
         "*",
@@ -48,13 +48,13 @@ def split_rule_ids(flat_rules: DataFrame, element_type: str = "int") -> DataFram
 
 def enrich_flat_rules(flat_rules: DataFrame, products: DataFrame, keep_support: bool = True,
                       unknown: str = "drop") -> DataFrame:
-    """Flat rules (text ids) -> rules with product names, keyed on
-    (antecedent, consequent) only, never on the floating point metrics."""
+    """Flat rules (text ids) -> rules with product names.  Every row keeps its
+    own metrics: repeated rules stay repeated."""
     metrics = [m for m in RULE_METRICS if m in flat_rules.columns
                and (keep_support or m != "support")]
     with_ids = split_rule_ids(flat_rules.select("antecedent", "consequent", *metrics))
     named = label_arrays(with_ids, {"antecedent_ids": "antecedent_product_names",
                                     "consequent_ids": "consequent_product_names"},
-                         products, key=["antecedent", "consequent"], unknown=unknown)
+                         products, unknown=unknown)
     return named.select("antecedent", "antecedent_product_names", "consequent",
                         "consequent_product_names", *metrics)

@@ -21,11 +21,11 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens import defaults
-from cartlens.plans.materialize import broadcast_if_small, materialize
+from cartlens.plans.materialize import materialize
 
 DEFAULT_MIN_SUPPORT = defaults.MIN_SUPPORT
 DEFAULT_MIN_CONFIDENCE = defaults.MIN_CONFIDENCE
@@ -33,8 +33,8 @@ DEFAULT_MIN_CONFIDENCE = defaults.MIN_CONFIDENCE
 
 @dataclass
 class MiningResult:
-    itemsets: DataFrame   # items array<int> (sorted), freq bigint, item_count int
-    rules: DataFrame      # antecedent, consequent array<int>, confidence, lift, support
+    itemsets: DataFrame   # items array<bigint> (sorted), freq bigint, item_count int
+    rules: DataFrame      # antecedent, consequent array<bigint>, confidence, lift, support
     n_baskets: int
     min_support: float
     min_confidence: float
@@ -60,17 +60,14 @@ def canonical_itemsets(freq_itemsets: DataFrame, items_col: str = "items") -> Da
 
 
 def derive_rules(itemsets: DataFrame, n_baskets: int,
-                 min_confidence: float = DEFAULT_MIN_CONFIDENCE,
-                 max_broadcast_rows: int = 1_000_000,
-                 n_singles: int | None = None) -> DataFrame:
+                 min_confidence: float = DEFAULT_MIN_CONFIDENCE) -> DataFrame:
     """Association rules X -> {y} from a complete table of frequent itemsets.
 
     For each itemset Z with |Z| >= 2 and each y in Z: X = Z - {y},
     confidence = f(Z)/f(X), lift = confidence / (f(y)/N), support = f(Z)/N.
     ``itemsets.items`` must be sorted (``canonical_itemsets``) so X matches
-    the stored antecedent itemset exactly.  The single-item frequencies are
-    broadcast only when their row count (``n_singles``, counted here when not
-    given) is at most ``max_broadcast_rows``.
+    the stored antecedent itemset exactly.  The planner sizes both joins from
+    the written table.
     """
     multi = itemsets.where(F.size("items") >= 2)
     candidates = (multi.select(F.col("items").alias("_union"), F.col("freq").alias("_f_union"),
@@ -81,10 +78,6 @@ def derive_rules(itemsets: DataFrame, n_baskets: int,
                                   F.col("freq").alias("_f_ante"))
     singles = itemsets.where(F.size("items") == 1).select(
         F.col("items")[0].alias("_cons"), F.col("freq").alias("_f_cons"))
-    if n_singles is None:
-        singles = broadcast_if_small(singles, max_broadcast_rows)
-    elif n_singles <= max_broadcast_rows:
-        singles = F.broadcast(singles)
     n = F.lit(float(n_baskets))
     confidence = F.col("_f_union") / F.col("_f_ante")
     return (candidates.join(antecedents, "antecedent")
@@ -118,17 +111,12 @@ def mine(baskets: DataFrame, items_col: str = "items",
     try:
         n_baskets = data.count()
         if n_baskets == 0:
-            empty_sets = spark.createDataFrame([], "items array<int>, freq bigint, item_count int")
+            empty_sets = spark.createDataFrame([], "items array<bigint>, freq bigint, item_count int")
             return MiningResult(empty_sets, derive_rules(empty_sets, 1, min_confidence), 0,
                                 min_support, min_confidence)
         model = fit_fpgrowth(data, "items", min_support, min_confidence, num_partitions)
-        counts = Observation(f"{name}-itemsets")
-        itemsets = materialize(
-            canonical_itemsets(model.freqItemsets).observe(
-                counts, F.count_if(F.col("item_count") == 1).alias("singles")),
-            f"{name}-itemsets")
+        itemsets = materialize(canonical_itemsets(model.freqItemsets), f"{name}-itemsets")
     finally:
         data.unpersist()
-    rules = materialize(derive_rules(itemsets, n_baskets, min_confidence,
-                                     n_singles=counts.get["singles"]), f"{name}-rules")
+    rules = materialize(derive_rules(itemsets, n_baskets, min_confidence), f"{name}-rules")
     return MiningResult(itemsets, rules, n_baskets, min_support, min_confidence)

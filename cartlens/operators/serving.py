@@ -6,13 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlens import defaults as D
 from cartlens.functions.display import (percent_text, rule_label, thousands_text,
                                         two_decimal_text)
-from cartlens.operators.report import ranked
+from cartlens.operators.report import ranked, rule_key
 
 RULE_METRICS = ("confidence", "lift")
 
@@ -24,6 +24,21 @@ def clean_metrics(rules: DataFrame, metrics: Sequence[str] = RULE_METRICS) -> Da
     return out.na.drop(subset=list(metrics))
 
 
+def cleaned_view(rules: DataFrame, min_confidence: float = 0.0, min_lift: float = 0.0,
+                 text: str | None = None) -> dict[str, DataFrame]:
+    """The dashboard over a table as it was loaded: metrics are cleaned first,
+    then come the KPIs, the slider filter and what is shown of the filtered
+    rules (``text`` narrows the search view).  A NaN metric would otherwise
+    pass every filter, since Spark orders it above all numbers."""
+    clean = clean_metrics(rules, [m for m in ("confidence", "lift", "support")
+                                  if m in rules.columns])
+    shown = filter_rules(clean, min_confidence, min_lift)
+    return {"rules": clean, "kpis": rule_kpis(clean, min_confidence, min_lift), "filtered": shown,
+            "top": top_filtered(shown), "chart_lift": chart_data(shown, "lift"),
+            "chart_confidence": chart_data(shown, "confidence"), "scatter": scatter_data(shown),
+            "search": search_rules(clean, text) if text else clean}
+
+
 def filter_rules(rules: DataFrame, min_confidence: float = 0.0,
                  min_lift: float = 0.0) -> DataFrame:
     """Slider filter: both bounds inclusive."""
@@ -123,17 +138,25 @@ def all_rules_table(rules: DataFrame,
                         "confidence", "lift")
 
 
-def rules_by_lift(named_rules: DataFrame) -> DataFrame:
-    """All rules, highest lift first, five display columns."""
+def rules_by_lift(named_rules: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """All rules, highest lift first, five display columns; ``keep`` columns
+    are passed through first."""
     return ranked(named_rules, [F.desc("lift")]).select(
+        *keep,
         F.col("antecedent_product_names").alias("antecedent_names"),
         F.col("consequent_product_names").alias("consequent_names"),
         "confidence", "lift", "support")
 
 
 def top_itemsets(named_itemsets: DataFrame, n: int | None = D.ITEMSET_TOP,
-                 names_col: str = "products") -> DataFrame:
-    """Most frequent itemsets with their product names."""
-    return ranked(named_itemsets, [F.desc("freq")], n).select(
-        F.col(names_col).alias("products"), "freq")
+                 columns: Sequence[str] = ("products", "freq")) -> DataFrame:
+    """Itemsets with their product names, the most frequent first; all of them
+    with ``n=None``."""
+    return ranked(named_itemsets, [F.desc("freq")], n, columns)
+
+
+def positioned(rules: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``position`` (from 1) of each row in the order given, then by rule key."""
+    w = Window.orderBy(*order, *[F.asc_nulls_last(c) for c in rule_key(rules)])
+    return rules.withColumn("position", F.row_number().over(w))
 

@@ -9,14 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartlens.operators.baskets import build_baskets, clean_baskets
 from cartlens.operators.labels import label_rules
-from cartlens.operators.mining import (DEFAULT_MIN_CONFIDENCE, DEFAULT_MIN_SUPPORT,
-                                       canonical_itemsets, derive_rules, fit_fpgrowth)
+from cartlens.operators.mining import DEFAULT_MIN_CONFIDENCE, DEFAULT_MIN_SUPPORT, mine
 from cartlens.sources.jdbc import load_rules
 from cartlens.sources.writers import write_parquet
 
@@ -49,24 +47,21 @@ def preprocess(orders: DataFrame, lines: DataFrame, cfg: ChainConfig,
 
 def mine_stage(spark: SparkSession, baskets_path: str, products: DataFrame,
                cfg: ChainConfig) -> dict[str, object]:
-    """Stage 2: read baskets, clean, fit, write itemsets, derive, label and
-    write rules."""
-    baskets = clean_baskets(spark.read.parquet(baskets_path), min_size=cfg.min_basket_size)
-    data = baskets.select("items").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        n = data.count()
-        model = fit_fpgrowth(data, "items", cfg.min_support, cfg.min_confidence,
-                             cfg.num_partitions)
-        itemsets_path = write_parquet(canonical_itemsets(model.freqItemsets),
-                                      cfg.path("frequent_itemsets"))
-    finally:
-        data.unpersist()
-    itemsets = spark.read.parquet(itemsets_path)
-    rules = label_rules(derive_rules(itemsets, n, cfg.min_confidence), products)
+    """Stage 2: read baskets, clean, mine (itemsets and rules are written once
+    each), label the written rules, write the tables."""
+    stored = spark.read.parquet(baskets_path)
+    # A basket table of few files would leave most cores idle through the fit.
+    wanted = cfg.num_partitions or spark.sparkContext.defaultParallelism
+    if stored.rdd.getNumPartitions() < wanted:
+        stored = stored.repartition(wanted)
+    res = mine(clean_baskets(stored, min_size=cfg.min_basket_size), min_support=cfg.min_support,
+               min_confidence=cfg.min_confidence, num_partitions=cfg.num_partitions)
+    itemsets_path = write_parquet(res.itemsets, cfg.path("frequent_itemsets"))
+    observed = Observation("rules")
+    rules = label_rules(res.rules, products).observe(observed, F.count(F.lit(1)).alias("n"))
     rules_path = write_parquet(rules, cfg.path("association_rules"))
-    counts = spark.read.parquet(rules_path).agg(F.count(F.lit(1)).alias("n")).first()
-    return {"baskets": n, "itemsets_path": itemsets_path, "rules_path": rules_path,
-            "rules": counts["n"]}
+    return {"baskets": res.n_baskets, "itemsets_path": itemsets_path, "rules_path": rules_path,
+            "rules": observed.get["n"]}
 
 
 def run_chain(spark: SparkSession, orders: DataFrame, lines: DataFrame,

@@ -1,9 +1,8 @@
-"""Cutting lineage and size-checked broadcasts."""
+"""Cutting lineage."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartlens.session import scratch_path
 
@@ -16,9 +15,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after counting the rows (meant for small,
-    materialised inputs); beyond the bound the planner picks a shuffled join."""
-    return F.broadcast(df) if df.count() <= max_rows else df

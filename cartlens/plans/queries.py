@@ -22,15 +22,16 @@ from cartlens.operators.flat import (enrich_flat_rules, flatten_itemsets, flatte
 from cartlens.operators.labels import label_arrays
 from cartlens.plans import catalog
 from cartlens.plans.catalog import MiningConfig
-from cartlens.plans.materialize import materialize
 from cartlens.plans.chain import ChainConfig, run_chain
 from cartlens.schemas import FLAT_ITEMSET, FLAT_RULE, FLAT_RULE_TEXT, ORDER, ORDER_LINE
 from cartlens.session import scratch_path
 from cartlens.sources.kafka import peek_messages
 from cartlens.sources.readers import (read_csv, read_csv_columns, read_named_rules_csv,
                                       read_products_csv)
-from cartlens.sources.tables import order_lines, orders_table, products_table, table
-from cartlens.sources.writers import basket_messages, preview, write_csv, write_messages
+from cartlens.sources.tables import (brand_number, order_lines, orders_table, products_table,
+                                     table)
+from cartlens.sources.writers import (basket_messages, preview, write_csv, write_messages,
+                                      write_parquet)
 from cartlens.streaming.baskets import (parse_baskets, read_messages, run_to_completion,
                                         start_sink, valid_items)
 
@@ -41,7 +42,6 @@ HIGH_CONFIDENCE = 0.20     # strict confidence threshold of the report
 SLIDER_CONFIDENCE = 0.18   # inclusive dashboard filter
 SLIDER_LIFT = 1.05
 SEARCH_TEXT = "brand#1"
-STREAM_FILES_PER_TRIGGER = 2   # admission control of the file source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,11 +70,16 @@ def _flat_named_itemsets(spark: SparkSession, d: str) -> DataFrame:
     return named.select(ids_to_text("items").alias("items"), "products", "freq", "item_count")
 
 
-def _messages_path(spark: SparkSession, d: str) -> str:
-    """JSON basket messages written as text files (the offline topic), one
-    file per partition of the basket plan."""
-    msgs = basket_messages(catalog.baskets(spark, d, CFG))
-    return write_messages(msgs, scratch_path(spark, "messages"))
+def _dirty_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Named rules as a table filled by hand: metrics are text, some are no
+    number, some NaN, some missing."""
+    named = _flat_named(spark, d)
+    con = F.col("consequent").cast("long")
+    bad = {"confidence": F.when(con % 5 == 0, F.lit("n/a")),
+           "lift": F.when(con % 7 == 0, F.lit("NaN")),
+           "support": F.when(con % 9 == 0, F.lit(""))}
+    return named.select(*[F.coalesce(bad[c], F.col(c).cast("string")).alias(c) if c in bad
+                          else F.col(c) for c in named.columns])
 
 
 # ---------------------------------------------------------------- baskets
@@ -92,9 +97,18 @@ def q_order_lines(spark, d):
 
 @query("clean_baskets")
 def q_clean_baskets(spark, d):
-    raw = build_baskets(orders_table(spark, d), order_lines(spark, d, CFG.level), min_size=0)
-    stored = materialize(raw, "raw-baskets")
-    return _flat_baskets(clean_baskets(stored, min_size=2))
+    """Baskets as another tool might write them: items repeat, and those of
+    every seventh part are missing."""
+    lines = order_lines(spark, d, "part").alias("l")
+    brand = table(spark, d, "part").select(F.col("p_partkey").alias("product_id"),
+                                           brand_number(F.col("p_brand")).alias("brand"))
+    item = F.when(F.col("product_id") % 7 != 0, F.col("brand"))
+    raw = (lines.join(brand, "product_id", "left").groupBy("order_id")
+           .agg(F.collect_list(F.struct(item.alias("i"))).alias("s"))
+           .select("order_id", F.transform("s", lambda x: x["i"]).alias("items"))
+           .join(orders_table(spark, d), "order_id", "left_semi"))
+    clean = clean_baskets(raw, min_size=2)
+    return _flat_baskets(clean.withColumn("items", F.array_sort("items")))
 
 
 @query("exploded_items")
@@ -114,12 +128,25 @@ def q_csv_roundtrip(spark, d):
 
 @query("product_dim")
 def q_product_dim(spark, d):
-    path = write_csv(products_table(spark, d, "part")
-                     .select(F.col("product_id").cast("string"), "product_name"),
-                     scratch_path(spark, "products-csv"))
+    """Ids and names by way of text files.  Some names are padded, quoted,
+    broken over lines, empty or missing; some ids are no number, and one in
+    four is beyond 32 bits."""
+    path = write_csv(_odd_products(spark, d), scratch_path(spark, "products-csv"))
     return read_products_csv(spark, path)
 
 
+def _odd_products(spark, d) -> DataFrame:
+    k, name = F.col("product_id"), F.col("product_name")
+    key = (F.when(k % 17 == 0, F.concat(F.lit("no"), k))
+           .when(k % 4 == 0, (k + 3_000_000_000).cast("string")).otherwise(k.cast("string")))
+    odd = (F.when(k % 6 == 0, F.concat(F.lit("  "), name, F.lit(" ")))
+           .when(k % 6 == 1, F.concat(F.lit('"'), name, F.lit('", \\')))
+           .when(k % 6 == 2, F.concat(name, F.lit("\n"), name))
+           .when(k % 6 == 3, F.lit("")).when(k % 6 == 4, F.lit(None)).otherwise(name))
+    return products_table(spark, d, "part").select(key.alias("product_id"),
+                                                   odd.alias("product_name"))
+
+
 # ---------------------------------------------------------------- mining
 
 @query("freq_itemsets")
@@ -144,8 +171,7 @@ def q_names_by_array(spark, d):
               .unionByName(rules.select(F.lit("consequent").alias("side"),
                                         F.col("consequent").alias("ids")))
               .distinct())
-    named = label_arrays(arrays, {"ids": "names"}, catalog.products(spark, d, CFG),
-                         key=["side", "ids"], distinct=True)
+    named = label_arrays(arrays, {"ids": "names"}, catalog.products(spark, d, CFG), distinct=True)
     return named.select("side", ids_to_text("ids").alias("ids"), "names")
 
 
@@ -163,7 +189,8 @@ def q_stage_counts(spark, d):
                                                               "rows")
     parts = [count(orders_table(spark, d), "orders"),
              count(table(spark, d, "lineitem"), "order_lines"),
-             count(catalog.baskets(spark, d, CFG), "baskets"),
+             spark.range(1).select(F.lit("baskets").alias("stage"),
+                                   F.lit(res.n_baskets).cast("long").alias("rows")),
              count(res.itemsets, "itemsets"),
              count(res.rules, "rules")]
     out = parts[0]
@@ -178,7 +205,7 @@ def q_stage_counts(spark, d):
 def q_itemsets_flat(spark, d):
     path = write_csv(flatten_itemsets(catalog.mined(spark, d, CFG).itemsets),
                      scratch_path(spark, "itemsets-csv"))
-    return read_csv(spark, path, FLAT_ITEMSET)
+    return read_csv_columns(spark, path, FLAT_ITEMSET)
 
 
 def _rules_csv(spark, d) -> str:
@@ -188,12 +215,12 @@ def _rules_csv(spark, d) -> str:
 
 @query("rules_flat")
 def q_rules_flat(spark, d):
-    return read_csv(spark, _rules_csv(spark, d), FLAT_RULE)
+    return read_csv_columns(spark, _rules_csv(spark, d), FLAT_RULE)
 
 
 @query("split_ids")
 def q_split_ids(spark, d):
-    flat = read_csv(spark, _rules_csv(spark, d), FLAT_RULE)
+    flat = read_csv_columns(spark, _rules_csv(spark, d), FLAT_RULE)
     ids = split_rule_ids(flat)
     return ids.select("antecedent", "consequent",
                       F.size("antecedent_ids").alias("n_antecedent"),
@@ -204,11 +231,25 @@ def q_split_ids(spark, d):
 
 @query("rules_enriched")
 def q_rules_enriched(spark, d):
-    flat = read_csv(spark, _rules_csv(spark, d), FLAT_RULE)
+    """Flat rules, each in the file twice, named from the dimension, in which
+    some ids stand twice: rows stay as many, names do not double."""
+    flat = read_csv_columns(spark, _rules_csv(spark, d), FLAT_RULE)
+    flat = flat.unionByName(flat)
     # Products keyed by their id as text, as when both sides come from text files.
     products = catalog.products(spark, d, CFG).select(
         F.col("product_id").cast("string").alias("product_id"), "product_name")
-    return enrich_flat_rules(flat, products)
+    again = products.where("CAST(product_id AS BIGINT) % 3 = 0").select(
+        "product_id", F.concat("product_name", F.lit(" (old)")).alias("product_name"))
+    return enrich_flat_rules(flat, products.unionByName(again))
+
+
+@query("part_names")
+def q_part_names(spark, d):
+    """Part-level baskets with names, which repeat over parts."""
+    baskets = build_baskets(orders_table(spark, d), order_lines(spark, d, "part"))
+    products = products_table(spark, d, "part")
+    named = label_arrays(baskets, {"items": "names"}, products, reduce_dimension=False)
+    return named.select("order_id", ids_to_text("items").alias("items"), "names")
 
 
 @query("rules_named_csv")
@@ -220,12 +261,21 @@ def q_rules_named_csv(spark, d):
 @query("parquet_roundtrip")
 def q_parquet_roundtrip(spark, d):
     root = scratch_path(spark, "parquet")
-    catalog.baskets(spark, d, CFG).write.mode("overwrite").parquet(f"{root}/transactions")
-    res = catalog.mined(spark, d, CFG)
-    res.itemsets.write.mode("overwrite").parquet(f"{root}/frequent_itemsets")
-    catalog.named_rules(spark, d, CFG).write.mode("overwrite").parquet(
-        f"{root}/association_rules")
-    return flatten_rules(spark.read.parquet(f"{root}/association_rules"))
+    path = write_parquet(catalog.named_rules(spark, d, CFG), f"{root}/association_rules")
+    return flatten_rules(spark.read.parquet(path))
+
+
+@query("parquet_baskets")
+def q_parquet_baskets(spark, d):
+    path = write_parquet(catalog.baskets(spark, d, CFG), scratch_path(spark, "transactions"))
+    return _flat_baskets(spark.read.parquet(path))
+
+
+@query("parquet_itemsets")
+def q_parquet_itemsets(spark, d):
+    path = write_parquet(catalog.mined(spark, d, CFG).itemsets,
+                         scratch_path(spark, "frequent-itemsets"))
+    return flatten_itemsets(spark.read.parquet(path))
 
 
 @query("rules_for_load")
@@ -240,10 +290,10 @@ def q_serving_table(spark, d):
     """Load frame written as the serving table (Parquet stands in for the
     JDBC relation), read back in the dashboard's order."""
     from cartlens.sources.jdbc import ordered_serving_rules, serving_frame
-    from cartlens.sources.writers import write_parquet
     path = write_parquet(serving_frame(catalog.named_rules(spark, d, CFG)),
                          scratch_path(spark, "serving-table"))
-    return ordered_serving_rules(spark.read.parquet(path).drop("created_at"))
+    rows = ordered_serving_rules(spark.read.parquet(path).drop("created_at"))
+    return serving.positioned(rows, [F.desc("lift")])
 
 
 @query("batch_chain")
@@ -265,17 +315,20 @@ def q_basket_json(spark, d):
 
 @query("json_parse")
 def q_json_parse(spark, d):
-    messages = spark.read.text(_messages_path(spark, d))
-    return _flat_baskets(parse_baskets(messages))
+    return _flat_baskets(parse_baskets(catalog.messages(spark, d, CFG)))
 
 
-def _run_stream(spark, d, transform, name: str, restarts: int = 1) -> DataFrame:
-    source = _messages_path(spark, d)
+def _run_stream(spark, d, transform, name: str, max_per_trigger: int | None = None) -> DataFrame:
+    """Half of the messages arrive before the first run, half between it and
+    the second, which goes on from the checkpoint."""
+    messages = catalog.messages(spark, d, CFG)
+    source = scratch_path(spark, f"{name}-in")
     out = scratch_path(spark, f"{name}-out")
     checkpoint = scratch_path(spark, f"{name}-checkpoint")
-    for _ in range(1 + restarts):
+    for half in (0, 1):
+        write_messages(messages.where(F.col("order_id") % 2 == half), source, mode="append")
         stream = transform(read_messages(spark, "text", path=source,
-                                         max_per_trigger=STREAM_FILES_PER_TRIGGER))
+                                         max_per_trigger=max_per_trigger))
         run_to_completion(start_sink(stream, "parquet", checkpoint=checkpoint, path=out,
                                      available_now=True))
     return spark.read.schema(stream.schema).parquet(out)
@@ -295,8 +348,8 @@ def q_stream_items(spark, d):
 
 @query("topic_peek")
 def q_topic_peek(spark, d):
-    messages = spark.read.text(_messages_path(spark, d))
-    return _flat_baskets(peek_messages(messages, 10, order_by=["order_id"]))
+    messages = catalog.messages(spark, d, CFG).withColumnRenamed("order_id", "position")
+    return _flat_baskets(peek_messages(messages, 10, order_by=["position"]))
 
 
 # ---------------------------------------------------------------- reports
@@ -352,15 +405,28 @@ def q_preview_rules(spark, d):
 
 @query("rules_clean")
 def q_rules_clean(spark, d):
-    named = _flat_named(spark, d)
-    as_text = named.select(*[F.col(c).cast("string").alias(c) for c in named.columns])
-    path = write_csv(as_text, scratch_path(spark, "serving-text"))
-    raw = read_csv(spark, path, FLAT_RULE_TEXT)
-    if raw.isEmpty():
-        return raw
+    path = write_csv(_dirty_rules(spark, d), scratch_path(spark, "serving-text"))
+    raw = read_csv(spark, path, FLAT_RULE_TEXT, multi_line=True)
     return serving.clean_metrics(raw, ("confidence", "lift", "support"))
 
 
+@query("dashboard_clean_kpis")
+def q_dashboard_clean_kpis(spark, d):
+    return serving.cleaned_view(_dirty_rules(spark, d), SLIDER_CONFIDENCE, SLIDER_LIFT)["kpis"]
+
+
+@query("dashboard_clean_top")
+def q_dashboard_clean_top(spark, d):
+    view = serving.cleaned_view(_dirty_rules(spark, d), SLIDER_CONFIDENCE, SLIDER_LIFT)["top"]
+    return serving.all_rules_table(view)
+
+
+@query("kpis_of_no_rules")
+def q_kpis_of_no_rules(spark, d):
+    """The KPI row when no rule is left: counts 0, means and their texts null."""
+    return serving.rule_kpis(serving.filter_rules(_flat_named(spark, d), 2.0), 0.0, 0.0)
+
+
 @query("rule_kpis")
 def q_rule_kpis(spark, d):
     return serving.rule_kpis(_flat_named(spark, d), SLIDER_CONFIDENCE, SLIDER_LIFT)
@@ -408,7 +474,7 @@ def q_dashboard_rules(spark, d):
     from cartlens.defaults import HEAVY_ARROW
     from cartlens.operators.labels import label_rules
     res = catalog.mined(spark, d, CFG)
-    named = flatten_rules(label_rules(res.rules, catalog.products(spark, d, CFG),
+    named = flatten_rules(label_rules(res.rules, catalog.known_products(spark, d, CFG),
                                       unknown="id"))
     return serving.scatter_data(named, HEAVY_ARROW, keep=("antecedent", "consequent"))
 
@@ -416,7 +482,8 @@ def q_dashboard_rules(spark, d):
 @query("rule_search")
 def q_rule_search(spark, d):
     hits = serving.search_rules(_flat_named(spark, d), SEARCH_TEXT)
-    return hits.select(F.col("antecedent_product_names").alias("product_purchased"),
+    hits = serving.positioned(hits, [F.desc("lift"), F.desc("confidence")])
+    return hits.select("position", F.col("antecedent_product_names").alias("product_purchased"),
                        F.col("consequent_product_names").alias("recommended_product"),
                        "confidence", "lift")
 
@@ -436,10 +503,17 @@ def q_all_rules(spark, d):
 
 @query("rules_by_lift")
 def q_rules_by_lift(spark, d):
-    return serving.rules_by_lift(_flat_named(spark, d))
+    named = serving.positioned(_flat_named(spark, d), [F.desc("lift")])
+    return serving.rules_by_lift(named, keep=("position",))
 
 
 @query("top_itemsets")
 def q_top_itemsets(spark, d):
-    return report.ranked(_flat_named_itemsets(spark, d), [F.desc("freq")], 20,
-                         ["items", "products", "freq"])
+    return serving.top_itemsets(_flat_named_itemsets(spark, d), 20, ["items", "products", "freq"])
+
+
+@query("itemsets_by_freq")
+def q_itemsets_by_freq(spark, d):
+    """Every itemset, the most frequent first."""
+    named = serving.positioned(_flat_named_itemsets(spark, d), [F.desc("freq")])
+    return serving.top_itemsets(named, None, ["position", "items", "products", "freq"])

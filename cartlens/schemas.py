@@ -1,9 +1,9 @@
 """Declared schemas: no inference pass on CSV or JSON anywhere."""
 
-from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType, TimestampType)
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
-ITEM_TYPE = IntegerType()
+ITEM_TYPE = LongType()   # ids of large tables exceed 32 bits
 
 ORDER = StructType([StructField("order_id", LongType())])
 
@@ -29,12 +29,6 @@ BASKET = StructType([
     StructField("items", ArrayType(ITEM_TYPE)),
 ])
 
-ITEMSET = StructType([
-    StructField("items", ArrayType(ITEM_TYPE)),
-    StructField("freq", LongType()),
-    StructField("item_count", IntegerType()),
-])
-
 RULE = StructType([
     StructField("antecedent", ArrayType(ITEM_TYPE)),
     StructField("consequent", ArrayType(ITEM_TYPE)),
@@ -80,13 +74,8 @@ NAMED_RULE = StructType([
     StructField("support", DoubleType()),
 ])
 
-# Serving table (the JDBC relation read by dashboards).
-SERVING_RULE = StructType(NAMED_RULE.fields + [StructField("created_at", TimestampType())])
-
 # JSON basket message on the wire: {"order_id": n, "items": [n, ...]}.
 STREAM_MESSAGE = StructType([
     StructField("order_id", LongType()),
     StructField("items", ArrayType(ITEM_TYPE)),
 ])
-
-RAW_MESSAGE = StructType([StructField("value", BinaryType())])

@@ -1,13 +1,13 @@
 """Session construction and the shared scratch location.
 
 Intermediate tables (checkpoints, stream inputs/outputs, CSV round trips) go
-below the directory the cluster names in ``spark.checkpoint.dir``.  We only
-fall back to a directory of our own when nothing is configured, which is the
-case in tests and local runs.
+below the directory the cluster names in ``spark.checkpoint.dir``.  Only a
+``local`` session without that setting (tests) gets a directory of its own.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -52,21 +52,26 @@ def _context(spark: SparkSession):
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The reliable checkpoint directory of the session.
+    """The reliable checkpoint directory of the session: the one already set
+    on the context or given as ``spark.checkpoint.dir``.
 
-    Uses the directory already set on the context or given as
-    ``spark.checkpoint.dir``; only when neither exists (tests, laptops) a
-    fresh local directory is created and set.
-    """
+    Without either, a session on this one machine (``local`` master: tests,
+    laptops) gets a new temporary directory; on a cluster, where every executor
+    would write to its own disk, that is an error."""
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a directory that all executors share")
+        configured = tempfile.mkdtemp(prefix="cartlens-ckpt-")
     if sc is None:
-        return configured or tempfile.mkdtemp(prefix="cartlens-ckpt-")
-    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="cartlens-ckpt-"))
+        return configured
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 

@@ -1,8 +1,7 @@
 """Serving table over JDBC: write rules, read them back, read them for display.
 
 Array columns have no JDBC type, so rules are flattened to comma-joined text
-first.  Column types of the created table are declared here instead of in a
-separate DDL file, so the table always matches what we write.
+first.  The writer creates the table, so it always matches what we write.
 """
 
 from __future__ import annotations
@@ -16,12 +15,6 @@ from cartlens.functions.codec import ids_to_text
 SERVING_COLUMNS = ["antecedent", "antecedent_product_names", "consequent",
                    "consequent_product_names", "confidence", "lift", "support"]
 
-# Column types used when the writer creates the table.
-SERVING_COLUMN_TYPES = (
-    "antecedent VARCHAR(4000), antecedent_product_names VARCHAR(4000), "
-    "consequent VARCHAR(4000), consequent_product_names VARCHAR(4000)"
-)
-
 
 def serving_frame(named_rules: DataFrame, with_timestamp: bool = True) -> DataFrame:
     """Rules normalised for loading: ids as text, metrics as double, names as
@@ -44,15 +37,20 @@ def serving_frame(named_rules: DataFrame, with_timestamp: bool = True) -> DataFr
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
-               mode: str = "overwrite", column_types: str | None = SERVING_COLUMN_TYPES) -> None:
+               mode: str = "overwrite", column_types: str | None = None) -> None:
+    """Text columns get the database's unbounded text type unless
+    ``column_types`` declares others."""
     writer = df.write.mode(mode)
     if column_types:
         writer = writer.option("createTableColumnTypes", column_types)
     writer.jdbc(url, table, properties=properties)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str]) -> DataFrame:
-    return spark.read.jdbc(url, table, properties=properties)
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
+              partitioning: dict[str, object] | None = None) -> DataFrame:
+    """The relation; ``partitioning`` (``column``, ``lowerBound``, ``upperBound``,
+    ``numPartitions``) splits the read over tasks, else one task reads it."""
+    return spark.read.jdbc(url, table, properties=properties, **(partitioning or {}))
 
 
 def ordered_serving_rules(table: DataFrame) -> DataFrame:
@@ -62,11 +60,11 @@ def ordered_serving_rules(table: DataFrame) -> DataFrame:
     return table.select(*cols).orderBy(F.desc("lift"), "antecedent", "consequent")
 
 
-def serving_rules(spark: SparkSession, url: str, table: str,
-                  properties: dict[str, str]) -> DataFrame:
+def serving_rules(spark: SparkSession, url: str, table: str, properties: dict[str, str],
+                  partitioning: dict[str, object] | None = None) -> DataFrame:
     """``ordered_serving_rules`` over the JDBC relation.  Written against the
     DataFrame API so column pruning and filters reach the database."""
-    return ordered_serving_rules(read_jdbc(spark, url, table, properties))
+    return ordered_serving_rules(read_jdbc(spark, url, table, properties, partitioning))
 
 
 def load_rules(named_rules: DataFrame, url: str, table: str,
@@ -75,7 +73,7 @@ def load_rules(named_rules: DataFrame, url: str, table: str,
     what was meant to be written vs. what the table now holds)."""
     frame = serving_frame(named_rules)
     expected = frame.count()
-    write_jdbc(frame, url, table, properties, column_types=SERVING_COLUMN_TYPES)
+    write_jdbc(frame, url, table, properties)
     loaded = read_jdbc(named_rules.sparkSession, url, table, properties).count()
     if loaded != expected:
         raise RuntimeError(f"serving table {table}: wrote {expected} rows, found {loaded}")

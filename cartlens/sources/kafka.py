@@ -6,6 +6,7 @@ the options and plans, and tests drive the same plans with file sources.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,18 +34,27 @@ def kafka_source_options(bootstrap_servers: str, topic: str,
     return opts
 
 
-def read_topic(spark: SparkSession, bootstrap_servers: str, topic: str,
-               group_id: str | None = None) -> DataFrame:
-    """Bounded read of a whole topic (earliest to latest) as a batch DataFrame."""
-    opts = kafka_source_options(bootstrap_servers, topic, "earliest",
-                                ending_offsets="latest", group_id=group_id)
-    return spark.read.format("kafka").options(**opts).load()
+def bounded_offsets(topic: str, starts: dict[int, int], n: int) -> dict[str, str]:
+    """Options that read at most ``n`` messages of each partition, from the
+    given first offsets: what a peek of n messages can need at most."""
+    def text(extra: int) -> str:
+        return json.dumps({topic: {str(p): o + extra for p, o in sorted(starts.items())}})
+    return {"startingOffsets": text(0), "endingOffsets": text(n)}
+
+
+def peek_topic(spark: SparkSession, bootstrap_servers: str, topic: str, starts: dict[int, int],
+               n: int = PEEK_MESSAGES) -> DataFrame:
+    """The first ``n`` messages of a topic; only the first ``n`` offsets of each
+    partition are read."""
+    opts = kafka_source_options(bootstrap_servers, topic) | bounded_offsets(topic, starts, n)
+    return peek_messages(spark.read.format("kafka").options(**opts).load(), n)
 
 
 def peek_messages(messages: DataFrame, n: int = PEEK_MESSAGES,
                   order_by: Sequence[str] = ("partition", "offset")) -> DataFrame:
-    """The first ``n`` messages by topic position (or any other total order,
-    e.g. ``order_id`` for a file source), parsed into ``order_id, items``."""
+    """The first ``n`` messages by topic position (or any other total order of
+    their columns), parsed into ``order_id, items`` behind the other columns.  The limit comes before
+    the parse, so only ``n`` messages are parsed."""
     carried = [c for c in messages.columns if c != "value"]
-    parsed = messages.select(*carried, parse_message("value").alias("m")).select(*carried, "m.*")
-    return parsed.orderBy(*order_by).limit(n)
+    first = messages.orderBy(*order_by).limit(n)
+    return first.select(*carried, parse_message("value").alias("m")).select(*carried, "m.*")

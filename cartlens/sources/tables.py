@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def brand_number(brand: Column) -> Column:
     """``Brand#13`` -> 13; anything else -> null."""
-    return F.substring(brand, 7, 1 << 20).try_cast("int")
+    return F.regexp_extract(brand, "^Brand#([0-9]+)$", 1).try_cast("bigint")
 
 
 def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +33,11 @@ def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str, level: str = "brand") -> DataFrame:
-    """``order_id bigint, product_id int`` -- one row per order line."""
+    """``order_id bigint, product_id bigint`` -- one row per order line."""
     lines = table(spark, sf_dir, "lineitem")
     if level == "part":
         return lines.select(F.col("l_orderkey").alias("order_id"),
-                            F.col("l_partkey").try_cast("int").alias("product_id"))
+                            F.col("l_partkey").cast("bigint").alias("product_id"))
     if level != "brand":
         raise ValueError(f"level must be one of {LEVELS}")
     # Line -> part -> brand.  The planner sizes the part side: broadcast while
@@ -50,10 +50,10 @@ def order_lines(spark: SparkSession, sf_dir: str, level: str = "brand") -> DataF
 
 
 def products_table(spark: SparkSession, sf_dir: str, level: str = "brand") -> DataFrame:
-    """``product_id int, product_name string``."""
+    """``product_id bigint, product_name string``."""
     part = table(spark, sf_dir, "part")
     if level == "part":
-        return part.select(F.col("p_partkey").try_cast("int").alias("product_id"),
+        return part.select(F.col("p_partkey").cast("bigint").alias("product_id"),
                            F.col("p_name").alias("product_name"))
     if level != "brand":
         raise ValueError(f"level must be one of {LEVELS}")

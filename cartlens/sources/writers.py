@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cartlens import defaults as D
+from cartlens.defaults import CSV_NULL
 from cartlens.functions.messages import basket_message
 
 
@@ -25,11 +28,18 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
               single_file: bool = False) -> str:
-    """CSV with header.  ``single_file=True`` funnels the last stage through one
-    task (only sensible for small results such as rule tables)."""
+    """CSV with header.  Texts come back from ``read_csv*`` as they were:
+    padding is kept, null is ``CSV_NULL`` and a text that looks like it gets a
+    further backslash.  ``single_file=True`` gathers the rows in one task that
+    only writes (sensible for small results such as rule tables)."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    df = df.select(*[F.when(F.col(f"`{c}`").rlike(r"^\\+N$"), F.concat(F.lit("\\"), f"`{c}`"))
+                     .otherwise(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`")
+                     for c in df.columns])
     if single_file:
-        df = df.coalesce(1)
-    df.write.mode(mode).option("header", header).csv(path)
+        df = df.repartition(1)
+    (df.write.mode(mode).option("header", header).option("nullValue", CSV_NULL)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

@@ -36,6 +36,9 @@ def test_display_text(spark):
     # Java rounds the shortest decimal form half up: 2.675 -> 2.68.
     assert (out[0].p, out[0].d, out[0].t, out[0].r) == ("12.50%", "2.68", "3,058,126", "A → B")
     assert (out[1].p, out[1].d, out[1].t, out[1].r) == ("50.00%", "1.00", "7", None)
+    none = spark.sql("SELECT CAST(NULL AS DOUBLE) AS x").select(
+        percent_text("x").alias("p"), two_decimal_text("x").alias("d")).first()
+    assert (none.p, none.d) == (None, None)
 
 
 JSON_CASES = [
@@ -49,7 +52,8 @@ JSON_CASES = [
     ('{"order_id": 5, "items": ["a", 2]}', (5, None)),
     ('{"order_id": 6, "items": [1, null]}', (6, [1, None])),
     ('{"order_id": 7, "items": [1.5]}', (7, None)),
-    ('{"order_id": 8, "items": [3000000000]}', (8, None)),
+    ('{"order_id": 8, "items": [3000000000, 5]}', (8, [3000000000, 5])),
+    ('{"order_id": 8, "items": [99999999999999999999]}', (8, None)),
     ('{"order_id": "x", "items": [1]}', (None, [1])),
     ('[{"order_id": 9, "items": [1]}]', (None, None)),
     ('{"order_id": 10, "items": [1]} {"order_id": 11, "items": [2]}', (10, [1])),

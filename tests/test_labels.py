@@ -1,81 +1,82 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from cartlens.operators.flat import enrich_flat_rules
 from cartlens.operators.labels import label_arrays, label_itemsets, label_rules
 from cartlens.schemas import PRODUCT
 
-PRODUCTS = [(1, "Milk"), (2, "Bread"), (3, "Eggs"), (4, "Bread"),
-            (5, 'Half & Half, "light"'), (6, None)]
+BIG = 3_000_000_000      # beyond 32 bits
+PRODUCTS = [(40, "rope"), (BIG, "lamp oil"), (7, "Zinc, 'fine'"), (8, "rope"), (9, None),
+            (7, "Aged zinc"), (40, "rope")]       # two ids stand twice, one under two names
+METRICS = "confidence double, lift double, support double"
 
 
-def test_label_rules_order_unknown_and_specials(spark):
-    products = spark.createDataFrame(PRODUCTS, PRODUCT)
-    rules = spark.createDataFrame(
-        [([3, 1], [2], 0.5, 1.2, 0.1),        # position order kept (not sorted)
-         ([99], [1], 0.4, 1.0, 0.1),          # unknown id dropped
-         ([98, 97], [96], 0.3, 1.0, 0.1),     # all unknown -> ''
-         ([2, 4], [5], 0.3, 1.1, 0.1),        # two ids, one name
-         ([6, 1], [3], 0.2, 1.0, 0.1)],       # null name skipped
-        "antecedent array<int>, consequent array<int>, confidence double, lift double, "
-        "support double")
-    out = {(tuple(r.antecedent), tuple(r.consequent)): r for r in
-           label_rules(rules, products).collect()}
-    assert out[((3, 1), (2,))].antecedent_product_names == "Eggs, Milk"
-    assert out[((3, 1), (2,))].consequent_product_names == "Bread"
-    assert out[((99,), (1,))].antecedent_product_names == ""
-    assert out[((98, 97), (96,))].antecedent_product_names == ""
-    assert out[((98, 97), (96,))].consequent_product_names == ""
-    assert out[((2, 4), (5,))].antecedent_product_names == "Bread, Bread"
-    assert out[((2, 4), (5,))].consequent_product_names == 'Half & Half, "light"'
-    assert out[((6, 1), (3,))].antecedent_product_names == "Milk"
-    assert out[((3, 1), (2,))].confidence == 0.5
-    assert label_rules(rules, products).columns == [
-        "antecedent", "antecedent_product_names", "consequent", "consequent_product_names",
-        "confidence", "lift", "support"]
+@pytest.fixture(scope="module")
+def products(spark):
+    return spark.createDataFrame(PRODUCTS, PRODUCT)
 
 
-def test_label_distinct_and_unknown_as_id(spark):
-    products = spark.createDataFrame(PRODUCTS, PRODUCT)
-    df = spark.createDataFrame([([2, 4, 1],), ([7, 1],), (None,), ([],)], "items array<int>")
-    distinct = {tuple(r["items"] or []) if r["items"] is not None else None: r.names for r in
-                label_arrays(df, {"items": "names"}, products, key=["items"],
-                             distinct=True).collect()}
-    assert distinct[(2, 4, 1)] == "Bread, Milk"
-    assert distinct[None] == "" and distinct[()] == ""
-    named = {tuple(r["items"]): r.products for r in
-             label_itemsets(df.where("size(items) > 0"), products).collect()}
-    assert named[(7, 1)] == "7, Milk"
+@pytest.mark.parametrize("ids, names", [
+    ([BIG, 40], "lamp oil, rope"),               # in the array's order, not sorted
+    ([40, 8], "rope, rope"),                     # two ids of one name
+    ([7], "Aged zinc"),                          # of two names the first in order
+    ([9, BIG], "lamp oil"),                      # a null name is none
+    ([555, 40, None], "rope"), ([555], ""), ([], ""), (None, ""),
+])
+def test_names_of_an_array(spark, products, ids, names):
+    rules = spark.createDataFrame([(ids, [8], 0.5, 1.25, 0.1)],
+                                  f"antecedent array<bigint>, consequent array<bigint>, {METRICS}")
+    out = label_rules(rules, products)
+    assert out.columns == ["antecedent", "antecedent_product_names", "consequent",
+                           "consequent_product_names", "confidence", "lift", "support"]
+    assert out.collect() == [(ids, names, [8], "rope", 0.5, 1.25, 0.1)]
 
 
-def test_label_with_text_ids(spark):
-    """Join on the id as text (product ids read from a text file)."""
-    products = spark.createDataFrame([("1", "Milk"), ("2", "Bread")],
-                                     "product_id string, product_name string")
-    df = spark.createDataFrame([(1, [2, 1])], "k int, items array<int>")
-    out = label_arrays(df, {"items": "names"}, products, key=["k"]).collect()
-    assert out[0].names == "Bread, Milk"
+def test_set_semantics_and_ids_in_place_of_names(spark, products):
+    df = spark.createDataFrame([([40, 8, BIG],), ([555, 9, 40],)], "items array<bigint>")
+    named = {tuple(r["items"]): r.names for r in
+             label_arrays(df, {"items": "names"}, products, distinct=True).collect()}
+    assert named == {(40, 8, BIG): "rope, lamp oil", (555, 9, 40): "rope"}
+    shown = {tuple(r["items"]): r.products for r in label_itemsets(df, products).collect()}
+    assert shown == {(40, 8, BIG): "rope, rope, lamp oil", (555, 9, 40): "555, 9, rope"}
 
 
-def test_label_without_dimension_reduction(spark):
-    products = spark.createDataFrame(PRODUCTS, PRODUCT)
-    df = spark.createDataFrame([(1, [3, 1, 99])], "order_id bigint, items array<int>")
-    out = label_arrays(df, {"items": "names"}, products, key=["order_id"],
-                       reduce_dimension=False).first()
-    assert out.names == "Eggs, Milk"
+def test_ids_read_as_text(spark):
+    products = spark.createDataFrame([("12", "tar"), ("13", "pitch"), ("x", "no id")],
+                                     "product_id string, product_name string")
+    df = spark.createDataFrame([([13, 12],)], "items array<bigint>")
+    assert label_arrays(df, {"items": "n"}, products).first().n == "pitch, tar"
+
 
+@settings(max_examples=15, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.lists(st.sampled_from([1, 2, 3, BIG]), max_size=3),
+                          st.lists(st.sampled_from([1, 2]), min_size=1, max_size=2),
+                          st.floats(0, 1)), min_size=1, max_size=8),
+       st.lists(st.tuples(st.sampled_from([1, 2, 3, BIG]), st.sampled_from(["p", "q", None])),
+                max_size=6), st.booleans())
+def test_rows_out_are_rows_in(spark, rules, products, reduce):
+    """Rules and products repeat as they like: each row keeps its own metric and
+    gets one name per id."""
+    names = {}
+    for i, n in products:
+        names[i] = min(names.get(i) or "z", n or "z")
+    text = lambda ids: ", ".join(names[i] for i in ids if names.get(i, "z") != "z")
+    df = spark.createDataFrame(rules, "antecedent array<bigint>, consequent array<bigint>, "
+                                      "confidence double")
+    dim = spark.createDataFrame(products, PRODUCT)
+    got = label_rules(df, dim, reduce_dimension=reduce).collect()
+    assert sorted(map(tuple, got)) == sorted((a, text(a), c, text(c), m) for a, c, m in rules)
 
-def test_part_level_baskets_with_repeated_names(spark, sf001):
-    """Part-level items: names repeat across parts, every part is known."""
-    from pyspark.sql import functions as F
 
-    from cartlens.operators.baskets import build_baskets
-    from cartlens.sources.tables import order_lines, orders_table, products_table
-    baskets = build_baskets(orders_table(spark, sf001), order_lines(spark, sf001, "part"))
-    products = products_table(spark, sf001, "part")
-    assert products.select("product_name").distinct().count() < products.count()
-    named = label_arrays(baskets, {"items": "names"}, products, key=["order_id"],
-                         reduce_dimension=False)
-    named = label_arrays(named, {"items": "set_names"}, products, key=["order_id"],
-                         distinct=True)
-    n = F.size(F.split("names", ", "))
-    m = F.size(F.split("set_names", ", "))
-    stats = named.agg(F.count_if(n != F.size("items")).alias("bad"),
-                      F.count_if(m > n).alias("bad_set"), F.count("*").alias("rows")).first()
-    assert stats.bad == 0 and stats.bad_set == 0 and stats.rows == baskets.count()
+def test_repeated_flat_rules_stay_repeated(spark, products):
+    flat = spark.createDataFrame([("40,8", "7", 0.5, 2.0), ("40,8", "7", 0.25, 1.0),
+                                  ("40,8", "7", 0.25, 1.0), (str(BIG), "oops", 0.1, 1.5)],
+                                 "antecedent string, consequent string, confidence double, "
+                                 "lift double")
+    rows = sorted(map(tuple, enrich_flat_rules(flat, products).collect()))
+    assert rows == [(str(BIG), "lamp oil", "oops", "", 0.1, 1.5),
+                    ("40,8", "rope, rope", "7", "Aged zinc", 0.25, 1.0),
+                    ("40,8", "rope, rope", "7", "Aged zinc", 0.25, 1.0),
+                    ("40,8", "rope, rope", "7", "Aged zinc", 0.5, 2.0)]

@@ -4,8 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from cartlens.operators.baskets import build_baskets
-from cartlens.operators.labels import label_arrays
-from cartlens.schemas import ORDER, ORDER_LINE, PRODUCT
+from cartlens.schemas import ORDER, ORDER_LINE
 
 SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -29,57 +28,23 @@ def test_baskets_match_python(spark, lines, orders, min_size, salt):
     assert {r.order_id: r["items"] for r in got.collect()} == want
 
 
-dims_st = st.dictionaries(st.integers(1, 8), st.one_of(st.none(), st.sampled_from(
-    ["Milk", "Bread", "Eggs", "Half & Half", 'a "b", c'])), max_size=8)
-arrays_st = st.lists(st.one_of(st.none(), st.lists(st.integers(1, 10), max_size=5)),
-                     min_size=1, max_size=12)
+texts_st = st.lists(st.tuples(*[st.one_of(st.none(), st.text(
+    alphabet=["a", " ", '"', "\\", "N", "\n", ",", "é", "'", "#"], max_size=6))] * 2),
+    min_size=1, max_size=12)
 
 
 @SETTINGS
-@given(dim=dims_st, arrays=arrays_st, unknown=st.sampled_from(["drop", "id"]),
-       distinct=st.booleans())
-def test_labels_match_python(spark, dim, arrays, unknown, distinct):
-    def names(arr):
-        out = []
-        for i in arr or []:
-            name = dim.get(i)
-            if name is None and unknown == "id":   # unknown id or null name
-                name = str(i)
-            if name is not None and not (distinct and name in out):
-                out.append(name)
-        return ", ".join(out)
-
-    products = spark.createDataFrame(list(dim.items()) or [(0, "none")], PRODUCT)
-    df = spark.createDataFrame(list(enumerate(arrays)), "k int, items array<int>")
-    got = label_arrays(df, {"items": "names"}, products, key=["k"], unknown=unknown,
-                       distinct=distinct)
-    assert {r.k: r.names for r in got.collect()} == {k: names(a) for k, a in enumerate(arrays)}
-
-
-messages_st = st.lists(st.one_of(
-    st.builds(lambda o, items: f'{{"order_id": {o}, "items": {items}}}'.replace("None", "null"),
-              st.integers(1, 50), st.lists(st.one_of(st.none(), st.integers(1, 9)), max_size=4)),
-    st.sampled_from(["not json", "", '{"items": [1]}', '{"order_id": 3}', '[1, 2]',
-                     '{"order_id": 4, "items": "x"}'])), min_size=1, max_size=25)
-
-
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(messages=messages_st)
-def test_stream_equals_batch(spark, messages):
+@given(rows=texts_st, single=st.booleans())
+def test_csv_keeps_texts(spark, rows, single):
+    """Padding, quotes, backslashes, line breaks, empty and null texts and the
+    null mark itself come back as they were."""
+    from cartlens.schemas import PRODUCT_TEXT
     from cartlens.session import scratch_path
-    from cartlens.streaming import (parse_baskets, read_messages, run_to_completion,
-                                    start_sink, valid_items)
-    src = scratch_path(spark, "p-msgs")
-    spark.createDataFrame([(m,) for m in messages], "value string").repartition(3) \
-        .write.text(src)
-    out, ckpt = scratch_path(spark, "p-out"), scratch_path(spark, "p-ckpt")
-    stream = valid_items(parse_baskets(read_messages(spark, "text", path=src,
-                                                     max_per_trigger=1)))
-    run_to_completion(start_sink(stream, "parquet", checkpoint=ckpt, path=out,
-                                 available_now=True), 120)
-    batch = valid_items(parse_baskets(spark.read.text(src)))
-
-    def rows(df):
-        return sorted((r.order_id, -1 if r.product_id is None else r.product_id)
-                      for r in df.collect())
-    assert rows(spark.read.schema(stream.schema).parquet(out)) == rows(batch)
+    from cartlens.sources.readers import read_csv, read_csv_columns
+    from cartlens.sources.writers import write_csv
+    path = write_csv(spark.createDataFrame(rows, PRODUCT_TEXT), scratch_path(spark, "t-texts"),
+                     single_file=single)
+    order = lambda r: tuple((x is not None, x or "") for x in r)
+    for back in (read_csv(spark, path, PRODUCT_TEXT, multi_line=True),
+                 read_csv_columns(spark, path, PRODUCT_TEXT, multi_line=True)):
+        assert sorted(map(tuple, back.collect()), key=order) == sorted(rows, key=order)

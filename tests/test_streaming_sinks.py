@@ -63,8 +63,8 @@ def test_batch_equals_stream(spark):
 
 def test_peek_first_messages(spark):
     msgs = spark.read.text(_source(spark))
-    got = peek_messages(msgs.where("value like '{\"order_id%'"), 2,
-                        order_by=["order_id"]).collect()
+    got = peek_messages(msgs.where("value like '{\"order_id\":_,%'"), 2,
+                        order_by=["value"]).collect()
     assert [(r.order_id, r["items"]) for r in got] == [(1, [1, 2]), (2, [3])]
 
 
@@ -87,25 +87,29 @@ def test_csv_round_trips(spark):
     path = write_csv(flat, scratch_path(spark, "t-csv"), single_file=True)
     files = [f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".csv")]
     assert len(files) == 1
-    assert read_csv(spark, path, NAMED_RULE).first().consequent_product_names is None
+    assert read_csv(spark, path, NAMED_RULE).first().consequent_product_names == ""
     back = read_named_rules_csv(spark, path).first()
     assert (back.antecedent, back.antecedent_product_names, back.consequent,
             back.consequent_product_names, back.lift) == ("1,2", 'A, "x"', "3", "", 1.2)
 
 
 def test_products_csv_try_cast(spark):
-    df = spark.createDataFrame([("1", "Milk"), ("x", "Bad id"), ("3", None)],
-                               "product_id string, product_name string")
+    from pyspark.sql import Observation
+    df = spark.createDataFrame([("3000000000", "resin"), ("12b", "no number"), (None, "none"),
+                                ("77", None)], "product_id string, product_name string")
     path = write_csv(df, scratch_path(spark, "t-products"))
-    got = sorted(read_products_csv(spark, path).collect(), key=lambda r: r.product_name or "")
-    assert [(r.product_id, r.product_name) for r in got] == [(3, None), (None, "Bad id"),
-                                                             (1, "Milk")]
+    seen = Observation()
+    got = sorted(read_products_csv(spark, path, observation=seen).collect(),
+                 key=lambda r: r.product_name or "")
+    assert [(r.product_id, r.product_name) for r in got] == [
+        (77, None), (None, "no number"), (None, "none"), (3000000000, "resin")]
+    assert seen.get["rejected_ids"] == 1
 
 
 def test_literal_table_smoke(spark):
     from cartlens.schemas import PRODUCT
-    df = literal_table(spark, [(1, "Milk"), (2, "Bread"), (3, "Eggs")], PRODUCT)
-    assert df.count() == 3
+    df = literal_table(spark, [(90, "slate"), (91, None)], PRODUCT)
+    assert [tuple(r) for r in df.collect()] == [(90, "slate"), (91, None)]
 
 
 def test_serving_frame(spark):
@@ -157,7 +161,7 @@ def test_csv_columns_by_header_name(spark):
     got = sorted(read_csv_columns(spark, path, ORDER_LINE).collect())
     assert [(r.order_id, r.product_id) for r in got] == [(1, 7), (2, None)]
     assert read_csv_columns(spark, path, ORDER_LINE).dtypes == [("order_id", "bigint"),
-                                                                ("product_id", "int")]
+                                                                ("product_id", "bigint")]
 
 
 def test_six_column_named_rules_csv(spark):
@@ -201,7 +205,7 @@ def test_load_rules_read_back_verification(spark, monkeypatch):
     tables = {}
 
     def fake_write(df, url, table, properties, mode="overwrite", column_types=None):
-        assert column_types and "antecedent VARCHAR" in column_types
+        assert column_types is None      # unbounded text, whatever the database calls it
         path = scratch_path(spark, f"t-jdbc-{table}")
         df.write.mode(mode).parquet(path)
         tables[table] = path
@@ -253,3 +257,74 @@ def test_stream_observed_counts(spark):
                if "basket_stream" in p.get("observedMetrics", {})]
     assert sum(m["messages"] for m in metrics) == len(BASKETS) + 3
     assert sum(m["valid_messages"] for m in metrics) == len(BASKETS)
+
+
+def test_big_ids_reach_every_item(spark):
+    """Ids beyond 32 bits stay, in baskets and in messages."""
+    from cartlens.operators.baskets import build_baskets
+    from cartlens.schemas import ORDER, ORDER_LINE
+    big = 3_000_000_000
+    baskets = build_baskets(spark.createDataFrame([(1,)], ORDER),
+                            spark.createDataFrame([(1, big), (1, 2), (1, 5)], ORDER_LINE))
+    assert baskets.first()["items"] == [2, 5, big]
+    assert parse_baskets(basket_messages(baskets)).first()["items"] == [2, 5, big]
+
+
+def test_brand_numbers_are_strict(spark):
+    from cartlens.sources.tables import brand_number
+    df = spark.createDataFrame([("Brand#12",), ("Label#12",), ("Brand#12x",), ("",), (None,)],
+                               "b string")
+    assert [r[0] for r in df.select(brand_number(df.b)).collect()] == [12, None, None, None, None]
+
+
+def test_streams_wait_without_a_limit():
+    import inspect
+    assert inspect.signature(run_to_completion).parameters["timeout_s"].default is None
+
+
+def test_peek_options_bound_each_partition():
+    from cartlens.sources.kafka import bounded_offsets
+    assert bounded_offsets("t", {1: 40, 0: 7}, 10) == {
+        "startingOffsets": '{"t": {"0": 7, "1": 40}}', "endingOffsets": '{"t": {"0": 17, "1": 50}}'}
+
+
+def test_no_shared_folder_is_an_error_on_a_cluster(monkeypatch):
+    import pytest
+
+    from cartlens import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def test_changed_files_are_mined_anew(spark, sf001, tmp_path):
+    """What the catalog keeps is keyed by the tables' files."""
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from cartlens.plans import catalog
+    for t in catalog.TABLES:
+        shutil.copy(f"{sf001}/{t}.parquet", tmp_path)
+    first = catalog.mined(spark, str(tmp_path))
+    assert catalog.mined(spark, str(tmp_path)) is first
+    orders = pq.read_table(f"{sf001}/orders.parquet")
+    pq.write_table(orders.slice(0, 700), f"{tmp_path}/orders.parquet")
+    again = catalog.mined(spark, str(tmp_path))
+    assert again is not first and again.n_baskets < first.n_baskets
