@@ -17,7 +17,7 @@ from cartlens.session import scratch_path
 #: Rows and bytes that one Arrow batch may hold on its way to a Python worker.
 #: A batch is cut at whichever bound is met first, so a run of very long texts
 #: does not fill a worker's memory.
-BATCH_ROWS = 512
+BATCH_ROWS = 4096
 BATCH_BYTES = 16 << 20
 
 #: A word: a run of characters other than space, tab, line feed, vertical tab,

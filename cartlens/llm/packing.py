@@ -164,8 +164,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
         ids, raw, size, n_seq, n_step = [], [], 0, 0, 0
         for batch in batches:
             ids += batch.column(0).to_pylist()
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            new = [x + end for x in enc.encode(texts)]
+            new = enc.encode_column(batch.column(1), end)
             raw += new
             size += sum(map(len, new))
             if len(ids) >= block_docs or size >= block_bytes:

@@ -168,8 +168,8 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
             if out is None:
                 fs.create_dir(where, recursive=True)
                 out = PartWriter(fs, where, name, enc.width, length)
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            out.add(batch.column(0).to_pylist(), [x + end for x in enc.encode(texts)])
+            out.add(batch.column(0).to_pylist(),
+                    enc.encode_column(batch.column(1), end))
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({

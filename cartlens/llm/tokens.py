@@ -9,20 +9,25 @@ once and its ids are kept, up to a bound, for the life of the worker.
 
 from __future__ import annotations
 
-import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from cartlens.llm.common import pieces
+
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
-#: Distinct pieces a worker remembers before it starts anew (about 60 MB).
-MEMO_ENTRIES = 500_000
+#: Distinct pieces a worker remembers (some 300 MB).
+MEMO_ENTRIES = 1_600_000
 #: Pieces that are encoded by one call.
 CALL_PIECES = 2_000
 
-_SPACE_RUN = re.compile(r"\s ")
 _STOPS = (".", ",")
+#: How a byte-level vocabulary spells a space.
+SPACE = "Ġ"
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -52,29 +57,88 @@ class Encoder:
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.width = array(self.code).itemsize
         self.dtype = "<u2" if self.code == "H" else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t[:1] == SPACE]] = True
         self.stops = {p: self._ids(p) for p in _STOPS}
         self.memo: dict[str | tuple[str], bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.old: dict[str | tuple[str], bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        # Every piece but a text's first has a space in front, which its key
-        # leaves out; the first is kept under a key of another type.
-        split = [_merged(t.split(" ")) if _SPACE_RUN.search(t) else t.split(" ") for t in texts]
-        wanted, heads = set(), set()
-        for parts in split:
-            heads.add((parts[0],))
-            wanted.update(parts[1:])
-        if len(self.memo) + len(wanted) > MEMO_ENTRIES:
-            self.memo, self.stems = {}, {}
-        self._learn([p for p in wanted if p not in self.memo])
-        for head in heads:
-            if head not in self.memo:
-                self.memo[head] = self._ids(head[0])
-        get, out = self.memo.__getitem__, []
-        for parts in split:
-            parts[0] = (parts[0],)
-            out.append(b"".join(map(get, parts)))
-        return out
+        """Each text's ids."""
+        return self.encode_column(pa.array(texts, pa.string()))
+
+    def encode_column(self, column: pa.Array, end: bytes = b"") -> list[bytes]:
+        """Each text's ids, and ``end``.  Null is an empty text."""
+        known, at, first = self._looked_up(column)
+        get, at = known.__getitem__, at.tolist()
+        return [b"".join(map(get, at[a:b])) + end for a, b in zip(first, first[1:], strict=False)]
+
+    def count_column(self, column: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        known, at, first = self._looked_up(column)
+        if not len(at):
+            return np.zeros(0, np.int64)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        return np.add.reduceat(sizes[at], first[:-1])
+
+    def _looked_up(self, column: pa.Array) -> tuple[list[bytes], np.ndarray, list[int]]:
+        """(ids of the distinct pieces, each piece's place there, each text's
+        first piece and the end)."""
+        if not len(column):
+            return [], np.zeros(0, np.int32), [0]
+        texts = column.cast(pa.string()).fill_null("")
+        lists = pc.split_pattern(texts, " ")
+        first = np.cumsum(np.r_[0, pc.list_value_length(lists).to_numpy()])
+        found = lists.flatten().dictionary_encode()
+        at, parts = found.indices.to_numpy().copy(), found.dictionary.to_pylist()
+        known = self._known(parts)
+
+        # Only a space after another character is sure to begin a token: a text
+        # with a space after white space is cut anew, piece by piece.
+        loose = np.array([not p or p[-1].isspace() for p in parts])[at]
+        loose[first[1:] - 1] = False
+        whole = np.unique(np.searchsorted(first, np.flatnonzero(loose), "right") - 1)
+        # A text's first piece has no space in front.
+        heads: dict[int, int] = {}
+        for k, code in zip(first.tolist(), at[first[:-1]].tolist(), strict=False):
+            if code not in heads:
+                heads[code] = len(known)
+                known.append(self._head(parts[code]))
+            at[k] = heads[code]
+        nothing = len(known)
+        known.append(b"")
+        for k in whole.tolist():
+            at[first[k]:first[k + 1]] = nothing
+            at[first[k]] = len(known)
+            known.append(self._loose(texts[k].as_py()))
+        return known, at, first.tolist()
+
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """The ids of each piece (with a space in front), learned if need be.
+        A full memo becomes the old one, from which what is met again moves on,
+        so frequent pieces stay."""
+        if len(self.memo) + len(parts) > MEMO_ENTRIES // 2:
+            self.memo, self.old = {}, self.memo
+        known = list(map(self.memo.get, parts))
+        new = [p for p, ids in zip(parts, known, strict=True) if ids is None]
+        if new:
+            before = {p: ids for p in new if (ids := self.old.get(p)) is not None}
+            self.memo.update(before)
+            self._learn([p for p in new if p not in before])
+            known = list(map(self.memo.__getitem__, parts))
+        return known
+
+    def _head(self, piece: str) -> bytes:
+        """The ids of a text's first piece, which has no space in front."""
+        key = (piece,)
+        if key not in self.memo:
+            self.memo[key] = self._ids(piece)
+        return self.memo[key]
+
+    def _loose(self, text: str) -> bytes:
+        head, *parts = _merged(text.split(" "))
+        return self._head(head) + b"".join(self._known(parts))
 
     def _ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -82,35 +146,30 @@ class Encoder:
     def _learn(self, missing: list[str]) -> None:
         """A piece that is letters and one final stop is two pre-tokens; the
         letters alone are the more often met."""
-        parts = {p: (p[:-1], p[-1]) if p[-1:] in _STOPS and p[:-1].isalpha() else (p,)
-                 for p in missing}
-        need = {x[0] for x in parts.values() if x[0] not in self.stems}
-        words = [p for p in need if p.isalpha()]
-        others = [p for p in need if not p.isalpha()]
-        for k in range(0, len(words), CALL_PIECES):
-            part = words[k:k + CALL_PIECES]
-            self.stems.update(zip(part, self._encode_run(part), strict=True))
-        for k in range(0, len(others), CALL_PIECES):
-            part = others[k:k + CALL_PIECES]
+        memo = self.memo
+        words = {p for p in missing if p.isalpha()}
+        rest = [p for p in missing if not p.isalpha()]
+        stopped = [p for p in rest if p[-1:] in self.stops and p[:-1].isalpha()]
+        words.update([w for w in [p[:-1] for p in stopped] if w not in memo])
+        for part in pieces(list(words), CALL_PIECES):
+            memo.update(zip(part, self._encode_run(part), strict=True))
+        memo.update([(p, memo[p[:-1]] + self.stops[p[-1]]) for p in stopped])
+        others = [p for p in rest if p not in memo]
+        for part in pieces(others, CALL_PIECES):
             found = self.tokenizer.encode_batch_fast([" " + p for p in part],
                                                      add_special_tokens=False)
-            self.stems.update((p, array(self.code, e.ids).tobytes())
-                              for p, e in zip(part, found, strict=True))
-        for p, x in parts.items():
-            ids = self.stems[x[0]]
-            self.memo[p] = ids + self.stops[x[1]] if len(x) > 1 else ids
+            memo.update([(p, array(self.code, e.ids).tobytes())
+                         for p, e in zip(part, found, strict=True)])
 
     def _encode_run(self, words: list[str]) -> list[bytes]:
         """Each of ``words`` is one pre-token with a space in front: encode them
-        as one text and part the ids at the word numbers."""
-        found = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
-        raw, at, last = array(self.code, found.ids).tobytes(), [0], 0
-        for i, w in enumerate(found.word_ids):
-            if w != last:
-                at.append(i * self.width)
-                last = w
-        at.append(len(raw))
-        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+        as one text and part the ids where a token begins with a space."""
+        (found,) = self.tokenizer.encode_batch_fast([" " + " ".join(words)],
+                                                    add_special_tokens=False)
+        ids = np.array(found.ids, self.dtype)
+        at = (np.flatnonzero(self.begins[ids]) * self.width).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)]
 
 
 def _merged(parts: list[str]) -> list[str]:
