@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import ready
+from cartlens.llm.common import ready, saved
 from cartlens.llm.tokens import encoder, tokenizer_path
 
-BLOCK = 4096
+BLOCK = 256
 
 
 def length_histogram(docs: DataFrame, tokenizer: str | None = None, extra: int = 0,
@@ -35,8 +35,7 @@ def length_histogram(docs: DataFrame, tokenizer: str | None = None, extra: int =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, found = encoder(path), Counter()
         for batch in batches:
-            texts = [x or "" for x in batch.column(0).to_pylist()]
-            found.update(len(x) // enc.width + extra for x in enc.encode(texts))
+            found.update((enc.count_column(batch.column(0)) + extra).tolist())
         if found:
             yield pa.RecordBatch.from_pydict({"n_tokens": pa.array(found.keys(), pa.int64()),
                                               "n_docs": pa.array(found.values(), pa.int64())})
@@ -47,7 +46,7 @@ def length_histogram(docs: DataFrame, tokenizer: str | None = None, extra: int =
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
-    """Per length L of the histogram: ``n_docs``; ``docs_at_least`` and
+    """Per length L of the histogram (which is read twice): ``n_docs``; ``docs_at_least`` and
     ``tokens_at_least`` (documents of L or more ids, and their ids);
     ``docs_at_most``; ``truncated_tokens`` (ids left if documents are cut at L)
     and ``lost_tokens``."""
@@ -107,4 +106,4 @@ def quantiles(sums: DataFrame, probabilities: list[float]) -> DataFrame:
 
 
 def op3_token_counts(docs: DataFrame) -> DataFrame:
-    return suffix_sums(length_histogram(docs))
+    return suffix_sums(saved(length_histogram(docs), "lengths"))
