@@ -17,12 +17,14 @@ words always fit.  Hence:
    repeat; hash these whole (96 bits) and take the least id of each;
 3. in a document, the words under windows whose least id is below its own go.
 
-No pair of documents is formed.  Before a shuffle each task settles, run of
-``RUN`` rows by run, what it can settle alone: an anchor that two documents of
-the run share is known to repeat, a window that a smaller document of the run
-has is known to go.  Such rows are dealt out at random, and only one row for
-each run goes on to the others' place.  So a passage that a third of all
-documents share makes a group of one row per run, not one per document.
+No pair of documents is formed.  An anchor or window that a document has often
+is sent once; its other places are found again in the text.  Before a shuffle
+each task settles, run of ``RUN`` rows by run, what it can settle alone: an
+anchor that two documents of the run share is known to repeat, a window that a
+smaller document of the run has is known to go.  Such rows are dealt out at
+random, and only one row for each run goes on to the others' place.  So a
+passage that a third of all documents share makes a group of one row per run,
+not one per document.
 
 Cases: a null text has no words.  A document of fewer than WINDOW words keeps
 all.  Rows with one id do not repeat each other (none is smaller), and each is
@@ -33,6 +35,7 @@ others lose any.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,30 +104,34 @@ def runs(batches: Iterator[pa.RecordBatch], rows_of, settle) -> Iterator[pa.Reco
 
 
 def settle_anchors(cols: list[np.ndarray]) -> pa.RecordBatch:
-    """A known repeat has -1 - pos for its position."""
-    h, doc, pos = cols
-    order = np.lexsort((doc, h))
-    hs, ds = h[order], doc[order]
-    first = np.flatnonzero(np.r_[True, hs[1:] != hs[:-1]])
-    sizes = np.diff(np.r_[first, len(hs)])
-    shared = np.repeat(ds[first] != ds[first + sizes - 1], sizes)
-    rest = shared.copy()
-    rest[first] = False
-    known, away = order[shared], order[rest]
+    """From (anchor, document, place, row): a row's first place of each anchor.
+    A known repeat has -1 - pos for its position, and all but one of these are
+    dealt elsewhere."""
+    order = np.lexsort((cols[2], cols[3], cols[1], cols[0]))
+    h, doc, pos, row = (c[order] for c in cols)
+    new = np.r_[True, h[1:] != h[:-1]]
+    once = new | np.r_[True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]
+    h, doc, pos, new = (c[once] for c in (h, doc, pos, new))
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.r_[first, len(h)])
+    shared = np.repeat(doc[first] != doc[first + sizes - 1], sizes)
+    away = shared & ~new
     h[away] = elsewhere(h[away], doc[away], pos[away])
-    pos[known] = -1 - pos[known]
+    pos[shared] = -1 - pos[shared]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, doc, pos)], schema=_ANCHORS)
 
 
 def settle_windows(cols: list[np.ndarray]) -> pa.RecordBatch:
     """A window known to go has -1 - pos for its position.  Of the others all
-    are rows of the run's least id."""
-    h1, h2, doc, th, pos = cols
-    order = np.lexsort((doc, h2, h1))
-    a, b, ds = h1[order], h2[order], doc[order]
-    first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    sizes = np.diff(np.r_[first, len(a)])
-    gone = order[ds > np.repeat(ds[first], sizes)]
+    are rows of the run's least id.  A text's first place of a window counts."""
+    order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
+    h1, h2, doc, th, pos = (c[order] for c in cols)
+    new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+    once = new | np.r_[True, (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])]
+    h1, h2, doc, th, pos, new = (c[once] for c in (h1, h2, doc, th, pos, new))
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.r_[first, len(h1)])
+    gone = doc > np.repeat(doc[first], sizes)
     h1[gone] = elsewhere(h1[gone], doc[gone], pos[gone])
     pos[gone] = -1 - pos[gone]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in (h1, h2, doc, th, pos)],
@@ -134,33 +141,41 @@ def settle_windows(cols: list[np.ndarray]) -> pa.RecordBatch:
 def anchors(docs: DataFrame) -> DataFrame:
     """``h, doc_id, pos``: the anchors of each document (``doc_id, text``)."""
 
-    def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-            if doc is None:
-                continue
-            words = word_hashes(text.split())
-            if len(words) >= WINDOW:
-                starts = cover_positions(len(words))
-                yield (run_hashes(words, ANCHOR, starts).view(np.int64),
-                       np.full(len(starts), doc, np.int64), starts.astype(np.int32))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = itertools.count()
+
+        def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)),
+                                 strict=True):
+                words = word_hashes(text.split()) if doc is not None else ()
+                if len(words) >= WINDOW:
+                    at = cover_positions(len(words))
+                    yield (run_hashes(words, ANCHOR, at).view(np.int64),
+                           np.full(len(at), doc, np.int64), at.astype(np.int32),
+                           np.full(len(at), next(rows), np.int64))
+
+        return runs(batches, rows_of, settle_anchors)
 
-    return docs.mapInArrow(lambda x: runs(x, rows_of, settle_anchors),
-                           "h long, doc_id long, pos int")
+    return docs.mapInArrow(run, "h long, doc_id long, pos int")
 
 
 def candidate_windows(docs: DataFrame) -> DataFrame:
     """``h1, h2, doc_id, th, pos`` of the windows that hold a kept anchor, for
     rows with ``doc_id, th, text, at``: ``at`` lists the kept anchors'
-    positions."""
+    positions, the first of each in the text; others of its positions are found
+    by their hashes.  Positions of another text of the id do no harm."""
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for doc, th, text, at in zip(
+        for doc, th, text, places in zip(
                 batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(),
                 texts_of(batch.column("text")), batch.column("at"), strict=True):
             if doc is None:
                 continue
             words = word_hashes(text.split())
-            starts = np.unique((np.asarray(at.values)[:, None] - np.arange(PERIOD)).ravel())
+            at = cover_positions(len(words))
+            anchor = run_hashes(words, ANCHOR, at)
+            at = at[np.isin(anchor, anchor[np.isin(at, np.asarray(places.values))])]
+            starts = np.unique((at[:, None] - np.arange(PERIOD)).ravel())
             starts = starts[(starts >= 0) & (starts <= len(words) - WINDOW)]
             yield (run_hashes(words, WINDOW, starts, 0).view(np.int64),
                    run_hashes(words, WINDOW, starts, 1).astype(np.uint32).view(np.int32),
@@ -206,11 +221,14 @@ def repeated_windows(docs: DataFrame, spread: DataFrame) -> DataFrame:
         "repeats")
 
 
-def covered(n_words: int, starts: np.ndarray) -> np.ndarray:
-    """Which of n words lie under a window at one of ``starts``."""
-    edges = np.zeros(n_words + 1, np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + WINDOW, -1)
+def covered(words: list[bytes], starts: np.ndarray) -> np.ndarray:
+    """Which words lie under a window that stands at one of ``starts``, there or
+    anywhere else in the text."""
+    hashes = run_hashes(word_hashes(words), WINDOW, np.arange(len(words) - WINDOW + 1))
+    starts = np.flatnonzero(np.isin(hashes, hashes[starts]))
+    edges = np.zeros(len(words) + 1, np.int64)
+    edges[starts] += 1
+    edges[starts + WINDOW] -= 1
     return np.cumsum(edges[:-1]) > 0
 
 
@@ -219,7 +237,7 @@ def kept_words(text: bytes | None, starts: pa.Scalar) -> tuple[list[bytes], int]
     words = (text or b"").split()
     if not starts.is_valid:
         return words, len(words)
-    gone = covered(len(words), np.asarray(starts.values)).tolist()
+    gone = covered(words, np.asarray(starts.values)).tolist()
     return [w for w, g in zip(words, gone, strict=True) if not g], len(words)
 
 
