@@ -20,8 +20,8 @@ from cartlens.llm.common import pieces
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
-#: Distinct pieces a worker remembers (some 300 MB).
-MEMO_ENTRIES = 1_600_000
+#: Distinct pieces a worker remembers (some 250 MB).
+MEMO_ENTRIES = 1_200_000
 #: Pieces that are encoded by one call.
 CALL_PIECES = 2_000
 
