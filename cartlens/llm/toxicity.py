@@ -10,7 +10,9 @@ a logistic curve: the score, from 0 to 1.
 
 The lexicon is learned from labelled documents: words, and beginnings of words
 of 4 to 6 letters, that many more toxic than other documents have, weighted by
-the logarithm of the ratio.  A phrase of two words around such a word, which
+the logarithm of the ratio.  How few documents may carry an entry depends on
+chance alone, not on the number of documents: a word of one language or topic
+enters however small that one's part is.  A phrase of two words around such a word, which
 several other documents and no toxic one have, becomes an exception.  Learning
 takes at most ``SAMPLE`` labelled documents of each class, chosen by a hash of
 their ids, so that the ids can be broadcast; the share of toxic labels is taken
@@ -45,10 +47,10 @@ SAMPLE = 20_000
 #: Entries and exception phrases of a lexicon, at most.
 ENTRIES = 4_000
 PHRASES = 500
-#: Toxic documents, and share of them, that must have an entry; the least weight
-#: (a ratio of 5).
+#: Toxic documents that must have an entry; entries that may be expected by mere
+#: chance among all terms counted; the least weight (a ratio of 5).
 SUPPORT = 5
-SHARE = 0.01
+BY_CHANCE = 1.0
 LEAST_WEIGHT = math.log(5)
 STEMS = (4, 5, 6)
 
@@ -215,6 +217,15 @@ def _counted(sample: DataFrame, make, least: int) -> DataFrame:
             .where(F.greatest("pos", "neg") >= least))
 
 
+def _surprise(n_pos: int, n_neg: int) -> Column:
+    """Minus the logarithm of a bound (Chernoff's) of the chance that so many of
+    a term's documents are toxic, were it as frequent in both classes."""
+    both = F.col("pos") + F.col("neg")
+    part = lambda c, n: F.when(F.col(c) > 0, F.col(c) * F.log(
+        F.col(c) * (n_pos + n_neg) / (both * n))).otherwise(0.0)
+    return part("pos", n_pos) + part("neg", n_neg)
+
+
 def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
           text_col: str = "text", sample: int = SAMPLE,
           exceptions: Iterable[str] = ()) -> Lexicon:
@@ -231,9 +242,10 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
         return Lexicon(prior=float(share), exceptions=tuple(exceptions))
 
     weight = (F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1)))
-    rows = (_counted(data, lambda t: terms(fold(t)), SUPPORT)
-            .where(F.col("pos") >= max(SUPPORT, SHARE * n_pos)).withColumn("weight", weight)
-            .where(F.col("weight") >= LEAST_WEIGHT)
+    counted = saved(_counted(data, lambda t: terms(fold(t)), SUPPORT), "toxic-terms")
+    least = math.log(max(1, counted.count()) / BY_CHANCE)
+    rows = (counted.where((F.col("pos") >= SUPPORT) & (_surprise(n_pos, n_neg) >= least))
+            .withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT)
             .orderBy(F.desc(F.col("weight") * F.col("pos")), "term").limit(ENTRIES).collect())
     lexicon = _without_implied({r["term"]: (r["weight"], r["pos"]) for r in rows})
     lexicon.exceptions = (*exceptions, *_phrases(data, lexicon))

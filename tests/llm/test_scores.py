@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartlens.llm import quality, secrets, toxicity
 
+LETTERS = [f"{a}{b}{c}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcd"]
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -59,6 +61,25 @@ def test_learned_scores(labelled):
     assert kept.columns == ["doc_id", "text", "score"] and kept.count() == 300
 
 
+def test_words_of_a_small_language_and_words_met_by_chance(spark):
+    """One language has 0.5 % of the toxic labels; a thousand words of the other
+    are spread over its documents at random."""
+    rng, rows = random.Random(3), []
+    for k in range(8000):
+        toxic, small = k % 2, k % 400 < 2
+        body = "lingua piccola" if small else " ".join(
+            f"w{x}" for x in rng.choices(LETTERS, k=4))
+        rows.append((k, body + ((" brutta" if small else " nasty") if toxic else ""), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert sum("brutta" in r[1] for r in rows) == 20 == 0.005 * sum(r[2] for r in rows)
+    assert all("brutta".startswith(w) or "nasty".startswith(w)
+               for w in [*lexicon.words, *lexicon.stems])
+    m = lexicon.matcher()
+    assert m.features("una parola brutta") != (0.0, 0.0)
+    assert m.score("una parola") < 0.5 < m.score("lingua piccola brutta")
+
+
 def test_labels_of_held_out_rows_change_nothing(labelled):
     docs, labels = labelled
     other = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic"))
