@@ -7,7 +7,8 @@ rotation is fitted by alternating between the signs and the best rotation onto
 them, from a random start; ``ROTATIONS`` of them make a long code.  They are
 learned from at most ``SAMPLE`` vectors, chosen by a hash of their ids.
 
-Codes are split into substrings of 32 bits, each indexed by its values.  Two
+Codes are split evenly into substrings of at most 64 bits (260 bits: five of 52),
+each kept in a word of 64 and indexed by its values.  Two
 codes that differ in at most r bits differ in one of m substrings by at most
 floor(r / m) bits, or one less for all but the first r mod m + 1: a query probes
 the values within these distances, the codes found are compared in full, and
@@ -60,12 +61,12 @@ class Codebook:
     radius: int
 
     def codes(self, vectors: np.ndarray, queries: bool = False) -> np.ndarray:
-        """Codes as rows of unsigned 32-bit substrings."""
+        """Codes as rows of unsigned 64-bit words, a substring in each."""
         x = _equally_long(vectors, self.longest, queries) - self.mean
         bits = np.concatenate([x @ r > 0 for r in self.rotations], axis=1)
-        short = -bits.shape[1] % 32
-        packed = np.packbits(np.pad(bits, ((0, 0), (0, short))), axis=1)
-        return np.ascontiguousarray(packed).view("<u4")
+        parts = np.array_split(bits, -(-bits.shape[1] // 64), axis=1)
+        words = np.concatenate([np.pad(p, ((0, 0), (0, 64 - p.shape[1]))) for p in parts], axis=1)
+        return np.ascontiguousarray(np.packbits(words, axis=1)).view("<u8")
 
 
 def _equally_long(x: np.ndarray, longest: float, queries: bool) -> np.ndarray:
@@ -108,8 +109,8 @@ class BlockIndex:
         self.codes = codes
         self.tables = [np.unique(codes[:, j], return_inverse=True) for j in range(codes.shape[1])]
 
-    def within(self, asked: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, row) numbers of all codes within ``radius`` of a query."""
+    def probed(self, asked: np.ndarray, radius: int) -> np.ndarray:
+        """Which codes (columns) each query (row) meets in one of the tables."""
         m = len(self.tables)
         share, more = divmod(radius, m)
         hit = np.zeros((len(asked), len(self.codes)), bool)
@@ -118,7 +119,11 @@ class BlockIndex:
             if least >= 0:
                 probed = np.bitwise_count(asked[:, j, None] ^ values) <= least
                 hit |= probed[:, place]
-        q, r = np.nonzero(hit)
+        return hit
+
+    def within(self, asked: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) numbers of all codes within ``radius`` of a query."""
+        q, r = np.nonzero(self.probed(asked, radius))
         far = np.bitwise_count(asked[q] ^ self.codes[r]).sum(axis=1, dtype=np.int64) > radius
         return q[~far], r[~far]
 
@@ -207,7 +212,7 @@ def nearest(rows: DataFrame, is_query, k: int = 20, id_col: str = "vec_id",
     short = saved(query_blocks.join(full, "vec_id", "left_anti"), "short-of-neighbours")
     if short.isEmpty():
         return first
-    bits = 32 * -(-sum(r.shape[1] for r in book.rotations) // 32)
+    bits = sum(r.shape[1] for r in book.rotations)
     again = search(short, bits)
     return (first.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi")
             .unionByName(again))

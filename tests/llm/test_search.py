@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from cartlens.llm import hamming_index, piece_bpe
@@ -81,6 +82,19 @@ def test_probing_finds_every_code_within_the_radius():
             zip(*np.nonzero(far <= radius), strict=True))
 
 
+def test_probing_leaves_codes_out(sf001):
+    """At 64 components; the bits are shared out evenly among the substrings."""
+    at = sf001.replace("0.001", "0.1") + "/embeddings.parquet"
+    x = np.stack(pq.read_table(at).column("embedding").to_pylist()).astype(float)
+    assert x.shape[1] == 64
+    book = hamming_index.learn_codebook(x, float(np.linalg.norm(x, axis=1).max()), 20)
+    codes, asked = book.codes(x), book.codes(x[::20], queries=True)
+    used = np.bitwise_count(np.bitwise_or.reduce(codes, axis=0))
+    assert used.sum() == 260 and used.max() - used.min() <= 1
+    share = hamming_index.BlockIndex(codes).probed(asked, book.radius).mean()
+    assert share < 0.5
+
+
 # ---- pieces
 
 @pytest.fixture(scope="module")
