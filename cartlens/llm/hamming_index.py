@@ -24,8 +24,8 @@ one block of rows and answers one block of queries.  It passes on no more than k
 rows a query, and these are merged.  Nothing is broadcast but the codebook.
 
 Cases: vectors that are null, zero or hold a null or non-finite component take
-no part, nor do rows without an id or vectors of another length than that of the
-smallest valid id.  Of rows with one id the smallest vector counts.  Equal
+no part, nor do rows without an id or vectors of another length than the most
+frequent one (of several, the longest).  Of rows with one id the smallest vector counts.  Equal
 scores go to the smaller id.  If there are fewer than k candidates all are
 ranked; an empty table gives an empty result.
 """
@@ -166,7 +166,8 @@ def valid_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             .where(F.col("vec_id").isNotNull() & v.isNotNull())
             .where(~odd & F.exists(v, lambda x: x != 0)))
     one = saved(good.groupBy("vec_id").agg(F.min("vec").alias("vec")), "vectors")
-    first = one.orderBy("vec_id").select(F.size("vec").alias("d")).first()
+    first = (one.groupBy(F.size("vec").alias("d")).count()
+             .orderBy(F.desc("count"), F.desc("d")).first())
     return one.where(F.size("vec") == (first["d"] if first else 0))
 
 

@@ -71,6 +71,15 @@ def test_vectors_that_take_no_part(spark):
     assert hamming_index.op7_neighbours(df.where("vec_id = 0")).collect() == []
 
 
+def test_the_most_frequent_length_counts(spark):
+    rows = [(0, [1.0]), *[(k, [1.0, float(k)]) for k in range(1, 41)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = read(df)
+    assert got.keys() == {20, 40} and all(len(r) == 20 for r in got.values())
+    even = spark.createDataFrame(rows[:2], df.schema)
+    assert [len(r.vec) for r in hamming_index.valid_vectors(even).collect()] == [2]
+
+
 def test_probing_finds_every_code_within_the_radius():
     rng = np.random.default_rng(2)
     codes = rng.integers(0, 1 << 32, size=(400, 4), dtype=np.uint64).astype("<u4")
