@@ -44,7 +44,8 @@ class Threshold:
 
 
 #: Chosen where the labelled documents of good and of poor quality part: of the
-#: former at sf0.1 none fails more than the base check.
+#: former at sf0.1 none fails more than the base check.  No label tests the upper
+#: bound of n_words: it rejects very long texts on purpose, as the README says.
 RULES = (
     Threshold("n_words", low=50, high=100_000),
     Threshold("mean_word_chars", low=2.0, high=14.0),
