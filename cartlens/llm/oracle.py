@@ -69,4 +69,29 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
 FROM q
 """
 
-ORACLES: dict[str, str] = {"op5_quality": OP5, "op10_substring": OP10}
+FOLDED = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {FOLDED} AS w FROM documents),
+b AS (SELECT item_id, {FOLDED} AS w FROM benchmark),
+bn AS (SELECT item_id, w, len(w) AS n FROM b WHERE len(w) > 0),
+item AS (SELECT DISTINCT item_id, least(n, 10) AS k, w[i:i + least(n, 10) - 1] AS g
+         FROM (SELECT item_id, w, n, unnest(range(1, greatest(n - 9, 1) + 1)) AS i FROM bn)),
+win AS (SELECT r, i, ks.k AS k, w[i:i + ks.k - 1] AS g
+        FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+             (SELECT DISTINCT k FROM item) ks WHERE i + ks.k - 1 <= len(w)),
+hit AS (SELECT win.r, win.i, win.k, item.item_id FROM win JOIN item USING (k, g)),
+word AS (SELECT r, count(DISTINCT i + x.x) AS n_hit FROM (SELECT DISTINCT r, i, k FROM hit),
+                range(10) x(x) WHERE x.x < k GROUP BY r),
+ids AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS t
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL)
+        GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(ids.n, 0)::BIGINT AS n_items, sha256(coalesce(ids.t, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (r) LEFT JOIN ids USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op5_quality": OP5, "op10_substring": OP10,
+                           "op13_decontaminate": OP13}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartlens.llm.decontaminate import op13_decontaminate
 from cartlens.llm.hamming_index import op7_neighbours
 from cartlens.llm.packing import op4_packing
 from cartlens.llm.piece_bpe import op8_pieces
@@ -42,4 +43,6 @@ QUERIES = {
     "op8_pieces": over("documents", op8_pieces),
     "op9_secrets": over("documents", op9_secrets),
     "op10_substring": over("documents", op10_substring),
+    "op13_decontaminate": lambda spark, sf_dir: op13_decontaminate(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
 }
