@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cartlens.llm.decontaminate import op13_decontaminate
 from cartlens.llm.hamming_index import op7_neighbours
 from cartlens.llm.packing import op4_packing
+from cartlens.llm.periodic import op12_runs
 from cartlens.llm.piece_bpe import op8_pieces
 from cartlens.llm.quality import op5_quality
 from cartlens.llm.secrets import op9_secrets
@@ -43,6 +44,7 @@ QUERIES = {
     "op8_pieces": over("documents", op8_pieces),
     "op9_secrets": over("documents", op9_secrets),
     "op10_substring": over("documents", op10_substring),
+    "op12_runs": over("documents", op12_runs),
     "op13_decontaminate": lambda spark, sf_dir: op13_decontaminate(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
 }
