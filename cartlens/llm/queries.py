@@ -14,6 +14,7 @@ from cartlens.llm.piece_bpe import op8_pieces
 from cartlens.llm.quality import op5_quality
 from cartlens.llm.secrets import op9_secrets
 from cartlens.llm.simhash import op6_simhash
+from cartlens.llm.spelling import op11_spelling
 from cartlens.llm.substring import op10_substring
 from cartlens.llm.token_counts import op3_token_counts
 from cartlens.llm.token_files import op1_token_files
@@ -44,6 +45,7 @@ QUERIES = {
     "op8_pieces": over("documents", op8_pieces),
     "op9_secrets": over("documents", op9_secrets),
     "op10_substring": over("documents", op10_substring),
+    "op11_spelling": over("documents", op11_spelling),
     "op12_runs": over("documents", op12_runs),
     "op13_decontaminate": lambda spark, sf_dir: op13_decontaminate(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
