@@ -33,6 +33,8 @@ HEAVY_ARROW = " ➜ "
 
 # What stands for null in our own CSV files (an empty text is written as "").
 CSV_NULL = "\\N"
+# One-line texts in them, in the order of replacement.
+LINE_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
 
 # Streaming and publishing.
 MAX_OFFSETS_PER_TRIGGER = 10000

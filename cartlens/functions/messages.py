@@ -24,3 +24,25 @@ def parse_message(value: str | Column, schema: StructType = STREAM_MESSAGE) -> C
     for that field only.
     """
     return F.from_json(_col(value).cast("string"), schema, {"mode": "PERMISSIVE"})
+
+
+#: Why a message gives no basket, in the order of the tests.
+REASONS = ("no message", "empty message", "not a JSON object", "no order id",
+           "order id is not a number", "no items", "items are not a list of numbers")
+
+
+def rejection(value: str | Column) -> Column:
+    """The reason why a message of ``{"order_id": n, "items": [n, ...]}`` form is
+    rejected; null for a good one.  A field of the wrong type is told apart from
+    a missing one by a second parse that takes every field as text."""
+    text = _col(value).cast("string")
+    typed = parse_message(text)
+    loose = F.from_json(text, "order_id string, items string, _bad string",
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    tests = (text.isNull(), F.trim(text) == "", loose.isNull() | loose["_bad"].isNotNull(),
+             loose["order_id"].isNull(), typed["order_id"].isNull(),
+             loose["items"].isNull(), typed["items"].isNull())
+    out = F.lit(None).cast("string")
+    for reason, test in reversed(list(zip(REASONS, tests, strict=True))):
+        out = F.when(test, F.lit(reason)).otherwise(out)
+    return out

@@ -6,12 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartlens import defaults as D
 from cartlens.functions.display import (percent_text, rule_label, thousands_text,
                                         two_decimal_text)
+from cartlens.operators.numbering import numbered
 from cartlens.operators.report import ranked, rule_key
 
 RULE_METRICS = ("confidence", "lift")
@@ -88,12 +89,16 @@ def search_rules(rules: DataFrame, text: str, regex: bool = True,
     """Rules whose antecedent names contain ``text``, case-insensitively;
     a null name never matches.  ``regex=True`` treats ``text`` as a regular
     expression (the dashboard default), otherwise as a literal."""
+    return ranked(rules.where(name_matches(col, text, regex)),
+                  [F.desc("lift"), F.desc("confidence")])
+
+
+def name_matches(col: str, text: str, regex: bool = True) -> Column:
     if regex:
         hit = F.col(col).rlike(f"(?iu){text}")
     else:
         hit = F.lower(F.col(col)).contains(text.lower())
-    return ranked(rules.where(F.coalesce(hit, F.lit(False))),
-                  [F.desc("lift"), F.desc("confidence")])
+    return F.coalesce(hit, F.lit(False))
 
 
 def display_rules(rules: DataFrame,
@@ -157,6 +162,4 @@ def top_itemsets(named_itemsets: DataFrame, n: int | None = D.ITEMSET_TOP,
 
 def positioned(rules: DataFrame, order: Sequence[Column]) -> DataFrame:
     """``position`` (from 1) of each row in the order given, then by rule key."""
-    w = Window.orderBy(*order, *[F.asc_nulls_last(c) for c in rule_key(rules)])
-    return rules.withColumn("position", F.row_number().over(w))
-
+    return numbered(rules, [*order, *[F.asc_nulls_last(c) for c in rule_key(rules)]])

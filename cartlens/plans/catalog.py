@@ -22,6 +22,7 @@ from cartlens.operators.labels import label_itemsets, label_rules
 from cartlens.operators.mining import MiningResult, mine
 from cartlens.plans.materialize import materialize
 from cartlens.session import session_id
+from cartlens.sources.listing import fingerprint
 from cartlens.sources.tables import order_lines, orders_table, products_table
 from cartlens.sources.writers import basket_messages
 
@@ -40,15 +41,9 @@ _LOCK = threading.RLock()   # queries run from several threads mine only once
 TABLES = ("orders", "lineitem", "part")
 
 
-def _contents(spark: SparkSession, sf_dir: str) -> tuple:
-    """What the tables' files are now: number, bytes, last change, names.  Only
-    the listing is read, not the files."""
-    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES]
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.parquet").load(paths)
-             .select("path", "length", "modificationTime"))
-    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"),
-                           F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+def _contents(spark: SparkSession, sf_dir: str) -> str:
+    """What the tables' files are now.  Only their listing is read."""
+    return fingerprint(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES])
 
 
 def remembered(spark: SparkSession, sf_dir: str, cfg: MiningConfig, what: str, make):

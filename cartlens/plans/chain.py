@@ -2,12 +2,15 @@
 
 Each stage writes its result and the next reads it back, so a failed stage
 restarts from files instead of from the raw tables, and nothing is recomputed
-because an action ran twice.
+because an action ran twice.  With ``resume`` a ledger below the output folder
+says which stages are done for the same input files and parameters; those are
+not run again.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from cartlens.operators.baskets import build_baskets, clean_baskets
 from cartlens.operators.labels import label_rules
 from cartlens.operators.mining import DEFAULT_MIN_CONFIDENCE, DEFAULT_MIN_SUPPORT, mine
+from cartlens.plans.ledger import StageLedger, stage_key
 from cartlens.sources.jdbc import load_rules
 from cartlens.sources.writers import write_parquet
 
@@ -65,13 +69,38 @@ def mine_stage(spark: SparkSession, baskets_path: str, products: DataFrame,
 
 
 def run_chain(spark: SparkSession, orders: DataFrame, lines: DataFrame,
-                 products: DataFrame, cfg: ChainConfig) -> dict[str, object]:
-    """preprocess >> mine >> load; the load runs only when a JDBC URL is set."""
-    observed = Observation("preprocess")
-    baskets_path = preprocess(orders, lines, cfg, observed)
-    result = {"baskets_path": baskets_path, "preprocess": dict(observed.get)}
-    result.update(mine_stage(spark, baskets_path, products, cfg))
+                 products: DataFrame, cfg: ChainConfig, resume: bool = False) -> dict[str, object]:
+    """preprocess >> mine >> load; the load runs only when a JDBC URL is set.
+
+    With ``resume`` every run of a stage writes to a folder of its own, and a
+    stage that the ledger has for the same inputs (tables read from files) and
+    parameters is left out."""
+    def first(cfg: ChainConfig) -> dict[str, object]:
+        observed = Observation("preprocess")
+        path = preprocess(orders, lines, cfg, observed)
+        return {"baskets_path": path, "preprocess": dict(observed.get)}
+
+    if not resume:
+        result = first(cfg)
+        result.update(mine_stage(spark, result["baskets_path"], products, cfg))
+    else:
+        ledger = StageLedger(spark, cfg.path("ledger"))
+        anew = lambda: replace(cfg, output_dir=cfg.path(f"run-{uuid.uuid4().hex[:12]}"))
+        key = stage_key(spark, [orders, lines], {
+            "min_basket_size": cfg.min_basket_size, "rows": _plan(orders, lines)})
+        result = ledger.run("preprocess", key, lambda: first(anew()))
+        key = stage_key(spark, [products, result["baskets_path"]], {
+            "min_basket_size": cfg.min_basket_size, "min_support": cfg.min_support,
+            "min_confidence": cfg.min_confidence, "rows": _plan(products)})
+        result |= ledger.run("mine", key, lambda: mine_stage(spark, result["baskets_path"],
+                                                             products, anew()))
     if cfg.jdbc_url:
         result["load"] = load_rules(spark.read.parquet(result["rules_path"]), cfg.jdbc_url,
                                     cfg.jdbc_table, cfg.jdbc_properties)
     return result
+
+
+def _plan(*tables: DataFrame) -> list[str]:
+    """What is done to the files: two inputs over the same files may differ.  The
+    canonical form has no numbers that change from session to session."""
+    return [t._jdf.queryExecution().optimizedPlan().canonicalized().toString() for t in tables]

@@ -76,6 +76,7 @@ SUPPORT, CONFIDENCE = 0.005, 0.15
 STRONG_LIFT, HIGH_CONFIDENCE = 1.1, 0.20
 SLIDER_CONFIDENCE, SLIDER_LIFT = 0.18, 1.05
 SEARCH_TEXT = "brand#1"
+STREAM_FILES, FILES_PER_BATCH = 12, 3
 
 _BASKETS = """SELECT o AS order_id, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS items,
        CAST(count(*) AS INTEGER) AS item_count FROM b GROUP BY o"""
@@ -124,7 +125,62 @@ _KPIS = f"""SELECT count(*) AS total_rules,
        {_JAVA_2F.format(x='round(avg(lift), 9)')} AS avg_lift_text"""
 
 
+_PRODUCTS = """SELECT CASE WHEN p_partkey % 17 = 0 THEN NULL
+            WHEN p_partkey % 4 = 0 THEN p_partkey + 3000000000 ELSE p_partkey END AS product_id,
+       CASE p_partkey % 6 WHEN 0 THEN '  ' || p_name || ' ' WHEN 1 THEN '"' || p_name || '", \\'
+            WHEN 2 THEN p_name || chr(10) || p_name WHEN 3 THEN '' WHEN 4 THEN NULL
+            ELSE p_name END AS product_name
+FROM part"""
+# Messages of more bad kinds, in the order in which they are told apart.
+_KINDS = """SELECT o, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS items,
+       CASE WHEN o % 17 = 0 THEN 'no message' WHEN o % 19 = 0 THEN 'empty message'
+            WHEN o % 23 = 0 THEN 'no order id' WHEN o % 29 = 0 THEN 'order id is not a number'
+            WHEN o % 31 = 0 THEN 'items are not a list of numbers'
+            WHEN o % 11 = 0 THEN 'not a JSON object' WHEN o % 13 = 0 THEN 'no items' END AS reason
+FROM b GROUP BY o"""
+
 ORACLES: dict[str, str] = {
+    "order_lines_bucketed": """SELECT l_orderkey AS order_id, CAST(substr(p_brand, 7) AS BIGINT) AS product_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey""",
+    "baskets_bucketed": _q(_BASKETS),
+    "baskets_hot_order": """WITH l AS (
+    SELECT CASE WHEN l_orderkey % 3 = 0 THEN (SELECT min(l_orderkey) FROM lineitem)
+                ELSE l_orderkey END AS o, l_partkey FROM lineitem)
+SELECT o AS order_id, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS items,
+       CAST(count(*) AS INTEGER) AS item_count
+FROM (SELECT DISTINCT o, CAST(substr(p_brand, 7) AS BIGINT) AS i
+      FROM l JOIN orders ON o = o_orderkey JOIN part ON l_partkey = p_partkey)
+GROUP BY o HAVING count(*) >= 2""",
+    "stream_batches": _q(f"""SELECT CAST(ceil({STREAM_FILES} / {FILES_PER_BATCH}) AS BIGINT) AS batches,
+       count(*) AS input_rows, count(*) AS messages,
+       count(*) FILTER (WHERE o % 11 <> 0 AND o % 13 <> 0) AS valid_messages
+FROM (SELECT DISTINCT o FROM b)"""),
+    "stream_replayed": _q("""SELECT o AS order_id, i AS product_id FROM b
+WHERE o % 11 <> 0 AND o % 13 <> 0"""),
+    "stream_latest": _q("""SELECT o AS order_id, i AS product_id FROM b
+WHERE o % 11 <> 0 AND o % 13 <> 0 AND o % 2 = 1"""),
+    "messages_checked": _q(f"""SELECT o AS sent, reason,
+       CASE reason WHEN 'empty message' THEN '  ' WHEN 'no order id' THEN '{{"items":[1,2]}}'
+            WHEN 'order id is not a number' THEN '{{"order_id":"x7","items":[1,2]}}'
+            WHEN 'items are not a list of numbers' THEN '{{"order_id":' || o || ',"items":5}}'
+            WHEN 'not a JSON object' THEN substr('{{"order_id":' || o || ',', 1, 12)
+            WHEN 'no items' THEN '{{"order_id":' || o || '}}' END AS value,
+       CASE WHEN reason IS NULL THEN items END AS items
+FROM ({_KINDS})"""),
+    "messages_rejected": _q(f"SELECT reason, count(*) AS n FROM ({_KINDS}) GROUP BY reason"),
+    "rules_rejected": _q("""SELECT antecedent, consequent,
+       CASE WHEN con % 5 = 0 THEN 'n/a' ELSE NULL END AS confidence,
+       CASE WHEN con % 7 = 0 THEN 'NaN' ELSE NULL END AS lift,
+       CASE WHEN con % 9 = 0 THEN '' ELSE NULL END AS support,
+       CASE WHEN con % 5 = 0 THEN 'confidence is not a number' WHEN con % 7 = 0 THEN 'lift is NaN'
+            ELSE 'support is missing' END AS reason
+FROM named WHERE con % 5 = 0 OR con % 7 = 0 OR con % 9 = 0"""),
+    "product_dim_one_line": _PRODUCTS,
+    "rules_named_one_line": _q(_NAMED),
+    "batch_chain_resumed": _q(_NAMED),
+    "rule_search_indexed": _q(f"""SELECT antecedent_product_names AS product_purchased,
+       consequent_product_names AS recommended_product, confidence, lift
+FROM named WHERE coalesce(regexp_matches(antecedent_product_names, '{SEARCH_TEXT}', 'i'), false)"""),
     "baskets": _q(_BASKETS),
     "clean_baskets": _DIRTY_BASKETS,
     "parquet_baskets": _q(_BASKETS),
@@ -136,12 +192,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey
     "exploded_items": _q("SELECT o AS order_id, i AS product_id FROM b"),
     "stream_items": _q("""SELECT o AS order_id, i AS product_id FROM b
 WHERE o % 11 <> 0 AND o % 13 <> 0"""),
-    "product_dim": """SELECT CASE WHEN p_partkey % 17 = 0 THEN NULL
-            WHEN p_partkey % 4 = 0 THEN p_partkey + 3000000000 ELSE p_partkey END AS product_id,
-       CASE p_partkey % 6 WHEN 0 THEN '  ' || p_name || ' ' WHEN 1 THEN '"' || p_name || '", \\'
-            WHEN 2 THEN p_name || chr(10) || p_name WHEN 3 THEN '' WHEN 4 THEN NULL
-            ELSE p_name END AS product_name
-FROM part""",
+    "product_dim": _PRODUCTS,
     "part_names": """SELECT o AS order_id, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS items,
        string_agg(n, ', ' ORDER BY i) AS names
 FROM (SELECT DISTINCT l_orderkey AS o, l_partkey AS i, p_name AS n
@@ -158,7 +209,7 @@ GROUP BY o HAVING count(*) >= 2""",
     "parquet_roundtrip": _q(_NAMED),
     "rules_for_load": _q(_NAMED),
     "serving_table": _q(f"""SELECT *, CAST(row_number() OVER (
-    ORDER BY lift DESC, antecedent, consequent) AS INTEGER) AS position FROM ({_NAMED})"""),
+    ORDER BY lift DESC, antecedent, consequent) AS BIGINT) AS position FROM ({_NAMED})"""),
     "rules_clean": _q(f"{_NAMED} WHERE {_CLEAN}"),
     "batch_chain": _q(_NAMED),
     "names_by_array": _q("""SELECT 'antecedent' AS side, antecedent AS ids, antecedent_product_names AS names
@@ -226,7 +277,7 @@ FROM rules r LEFT JOIN {_KNOWN} d1 ON d1.id = r.a1 LEFT JOIN {_KNOWN} d2 ON d2.i
     "all_rules": _q(f"""SELECT antecedent_product_names AS product_a, consequent_product_names AS product_b,
        confidence, lift FROM {_FILTERED}"""),
     "rule_search": _q(f"""SELECT CAST(row_number() OVER (
-    ORDER BY lift DESC, confidence DESC, antecedent, consequent) AS INTEGER) AS position,
+    ORDER BY lift DESC, confidence DESC, antecedent, consequent) AS BIGINT) AS position,
        antecedent_product_names AS product_purchased,
        consequent_product_names AS recommended_product, confidence, lift
 FROM named WHERE coalesce(regexp_matches(antecedent_product_names, '{SEARCH_TEXT}', 'i'), false)"""),
@@ -236,9 +287,9 @@ FROM named WHERE coalesce(regexp_matches(antecedent_product_names, '{SEARCH_TEXT
        {_JAVA_2F.format(x='lift')} AS lift_text
 FROM named"""),
     "rules_by_lift": _q("""SELECT CAST(row_number() OVER (
-    ORDER BY lift DESC, antecedent, consequent) AS INTEGER) AS position, antecedent_product_names AS antecedent_names,
+    ORDER BY lift DESC, antecedent, consequent) AS BIGINT) AS position, antecedent_product_names AS antecedent_names,
        consequent_product_names AS consequent_names, confidence, lift, support FROM named"""),
-    "itemsets_by_freq": _q(f"""SELECT CAST(row_number() OVER (ORDER BY freq DESC, items) AS INTEGER)
+    "itemsets_by_freq": _q(f"""SELECT CAST(row_number() OVER (ORDER BY freq DESC, items) AS BIGINT)
     AS position, items, products, freq FROM {_NAMED_ITEMSETS}"""),
     "top_itemsets": _q(f"SELECT items, products, freq FROM {_NAMED_ITEMSETS} ORDER BY freq DESC, items LIMIT 20"),
 }

@@ -16,15 +16,19 @@ from pyspark.sql import functions as F
 
 from cartlens.functions.codec import ids_to_text
 from cartlens.operators import report, serving
-from cartlens.operators.baskets import build_baskets, clean_baskets, explode_items
+from cartlens.operators.baskets import (build_baskets, clean_baskets, explode_items,
+                                        hot_orders)
 from cartlens.operators.flat import (enrich_flat_rules, flatten_itemsets, flatten_rules,
                                      split_rule_ids)
 from cartlens.operators.labels import label_arrays
+from cartlens.operators.name_index import build_index, search_indexed
+from cartlens.operators.quarantine import check_messages, check_metrics
 from cartlens.plans import catalog
 from cartlens.plans.catalog import MiningConfig
 from cartlens.plans.chain import ChainConfig, run_chain
 from cartlens.schemas import FLAT_ITEMSET, FLAT_RULE, FLAT_RULE_TEXT, ORDER, ORDER_LINE
 from cartlens.session import scratch_path
+from cartlens.sources.bucketed import read_bucketed, write_bucketed
 from cartlens.sources.kafka import peek_messages
 from cartlens.sources.readers import (read_csv, read_csv_columns, read_named_rules_csv,
                                       read_products_csv)
@@ -34,6 +38,9 @@ from cartlens.sources.writers import (basket_messages, preview, write_csv, write
                                       write_parquet)
 from cartlens.streaming.baskets import (parse_baskets, read_messages, run_to_completion,
                                         start_sink, valid_items)
+from cartlens.streaming.ledger import committed, start_ledger_sink
+from cartlens.streaming.progress import keep_progress, progress_table
+from cartlens.streaming.start import read_latest
 
 # Parameters of the registered queries (brand-level items).
 CFG = MiningConfig(level="brand", min_support=0.005, min_confidence=0.15)
@@ -95,6 +102,37 @@ def q_order_lines(spark, d):
             .select("order_id", "product_id"))
 
 
+def _bucketed(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Orders and lines, each written once in buckets of the order id."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (read_bucketed(spark, write_bucketed(orders_table(spark, d), ["order_id"], n, "orders")),
+            read_bucketed(spark, write_bucketed(order_lines(spark, d, CFG.level), ["order_id"], n,
+                                                "order_lines")))
+
+
+@query("order_lines_bucketed")
+def q_order_lines_bucketed(spark, d):
+    orders, lines = _bucketed(spark, d)
+    return orders.join(lines, "order_id", "inner").select("order_id", "product_id")
+
+
+@query("baskets_bucketed")
+def q_baskets_bucketed(spark, d):
+    return _flat_baskets(build_baskets(*_bucketed(spark, d)))
+
+
+@query("baskets_hot_order")
+def q_baskets_hot_order(spark, d):
+    """Order lines of which one order holds a third: the lines of every third
+    order are booked on the first one that has lines."""
+    lines = order_lines(spark, d, CFG.level)
+    first = lines.select(F.min("order_id")).scalar()
+    lines = lines.withColumn("order_id", F.when(F.col("order_id") % 3 == 0, first)
+                             .otherwise(F.col("order_id")))
+    hot = hot_orders(lines)
+    return _flat_baskets(build_baskets(orders_table(spark, d), lines, hot=hot))
+
+
 @query("clean_baskets")
 def q_clean_baskets(spark, d):
     """Baskets as another tool might write them: items repeat, and those of
@@ -135,6 +173,13 @@ def q_product_dim(spark, d):
     return read_products_csv(spark, path)
 
 
+@query("product_dim_one_line")
+def q_product_dim_one_line(spark, d):
+    """The same by way of files with one row per line, which tasks can split."""
+    path = write_csv(_odd_products(spark, d), scratch_path(spark, "products-lines"), one_line=True)
+    return read_products_csv(spark, path, one_line=True)
+
+
 def _odd_products(spark, d) -> DataFrame:
     k, name = F.col("product_id"), F.col("product_name")
     key = (F.when(k % 17 == 0, F.concat(F.lit("no"), k))
@@ -258,6 +303,12 @@ def q_rules_named_csv(spark, d):
     return read_named_rules_csv(spark, path)
 
 
+@query("rules_named_one_line")
+def q_rules_named_one_line(spark, d):
+    path = write_csv(_flat_named(spark, d), scratch_path(spark, "named-rules-lines"), one_line=True)
+    return read_named_rules_csv(spark, path, one_line=True)
+
+
 @query("parquet_roundtrip")
 def q_parquet_roundtrip(spark, d):
     root = scratch_path(spark, "parquet")
@@ -305,6 +356,18 @@ def q_batch_chain(spark, d):
     return flatten_rules(spark.read.parquet(out["rules_path"]))
 
 
+@query("batch_chain_resumed")
+def q_batch_chain_resumed(spark, d):
+    """The chain twice: a higher confidence first, then the wanted one, which
+    finds the baskets done, and mines."""
+    out = scratch_path(spark, "chain-resumed")
+    for confidence in (2 * CFG.min_confidence, CFG.min_confidence):
+        cfg = ChainConfig(output_dir=out, min_support=CFG.min_support, min_confidence=confidence)
+        result = run_chain(spark, orders_table(spark, d), order_lines(spark, d, CFG.level),
+                           catalog.products(spark, d, CFG), cfg, resume=True)
+    return flatten_rules(spark.read.parquet(result["rules_path"]))
+
+
 # ---------------------------------------------------------------- JSON / streaming
 
 @query("basket_json")
@@ -346,6 +409,101 @@ def q_stream_items(spark, d):
                        "stream-items")
 
 
+#: Files that the registered runs cut their messages into, and files per batch.
+STREAM_FILES, FILES_PER_BATCH = 12, 3
+
+
+@query("stream_batches")
+def q_stream_batches(spark, d):
+    """Admission control at work: messages in files, a few files a batch.  One row
+    per batch: rows read, and messages and valid ones as observed in it."""
+    messages = catalog.messages(spark, d, CFG)
+    source = write_messages(messages, scratch_path(spark, "batches-in"), files=STREAM_FILES)
+    keep_progress(spark)
+    stream = valid_items(parse_baskets(read_messages(spark, "text", path=source,
+                                                     max_per_trigger=FILES_PER_BATCH)),
+                         observe_as="basket_stream")
+    sink = start_sink(stream, "parquet", checkpoint=scratch_path(spark, "batches-checkpoint"),
+                      path=scratch_path(spark, "batches-out"), available_now=True)
+    run_to_completion(sink)
+    seen = F.col("observed")["basket_stream"]
+    return progress_table(sink).agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("input_rows"),
+        F.sum(seen["messages"]).alias("messages"),
+        F.sum(seen["valid_messages"]).alias("valid_messages"))
+
+
+class _Crash(Exception):
+    pass
+
+
+@query("stream_replayed")
+def q_stream_replayed(spark, d):
+    """The run dies once between a batch's write and the ledger.  The restarted
+    stream hands the batch over again; every row is in the target once."""
+    messages = catalog.messages(spark, d, CFG)
+    source = write_messages(messages, scratch_path(spark, "replayed-in"), files=STREAM_FILES)
+    target, checkpoint = (scratch_path(spark, f"replayed-{x}") for x in ("out", "checkpoint"))
+    stream = valid_items(parse_baskets(read_messages(spark, "text", path=source,
+                                                     max_per_trigger=FILES_PER_BATCH)))
+
+    def crash(batch_id: int) -> None:
+        if batch_id == 1:
+            raise _Crash("before the ledger")
+
+    try:
+        run_to_completion(start_ledger_sink(stream, target, checkpoint, available_now=True,
+                                            before_ledger=crash))
+    except Exception as error:  # noqa: BLE001 - Spark wraps what a batch raises
+        if "before the ledger" not in str(error):
+            raise
+    run_to_completion(start_ledger_sink(stream, target, checkpoint, available_now=True))
+    return committed(spark, target, stream)
+
+
+@query("stream_latest")
+def q_stream_latest(spark, d):
+    """A stream that starts at ``latest``: messages of even orders are there
+    before, those of odd orders come after; a restart keeps the position."""
+    messages = catalog.messages(spark, d, CFG)
+    source, checkpoint, out = (scratch_path(spark, f"latest-{x}")
+                               for x in ("in", "checkpoint", "out"))
+    write_messages(messages.where("order_id % 2 = 0"), source)
+    for part in ("order_id % 2 = 1 AND order_id % 3 = 0", "order_id % 2 = 1 AND order_id % 3 <> 0"):
+        stream = valid_items(parse_baskets(read_latest(spark, source, checkpoint)))
+        write_messages(messages.where(part), source, mode="append")
+        run_to_completion(start_sink(stream, "parquet", checkpoint=checkpoint, path=out,
+                                     available_now=True))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _odd_messages(spark, d) -> DataFrame:
+    """The messages, and bad ones of more kinds."""
+    o = F.col("order_id")
+    value = (F.when(o % 17 == 0, F.lit(None)).when(o % 19 == 0, F.lit("  "))
+             .when(o % 23 == 0, F.lit('{"items":[1,2]}'))
+             .when(o % 29 == 0, F.lit('{"order_id":"x7","items":[1,2]}'))
+             .when(o % 31 == 0, F.format_string('{"order_id":%d,"items":5}', o))
+             .otherwise(F.col("value")))
+    return catalog.messages(spark, d, CFG).select(o.alias("sent"), value.alias("value"))
+
+
+@query("messages_checked")
+def q_messages_checked(spark, d):
+    """Good messages' items and bad messages' texts with the reason, side by side."""
+    checked = check_messages(_odd_messages(spark, d))
+    good = checked.good.select("sent", F.lit(None).cast("string").alias("reason"),
+                               F.lit(None).cast("string").alias("value"),
+                               ids_to_text("items").alias("items"))
+    return good.unionByName(checked.bad.select("sent", "reason", "value",
+                                               F.lit(None).cast("string").alias("items")))
+
+
+@query("messages_rejected")
+def q_messages_rejected(spark, d):
+    return check_messages(_odd_messages(spark, d)).counts()
+
+
 @query("topic_peek")
 def q_topic_peek(spark, d):
     messages = catalog.messages(spark, d, CFG).withColumnRenamed("order_id", "position")
@@ -410,6 +568,16 @@ def q_rules_clean(spark, d):
     return serving.clean_metrics(raw, ("confidence", "lift", "support"))
 
 
+@query("rules_rejected")
+def q_rules_rejected(spark, d):
+    """Rules with a bad metric, why, and the metrics' texts that are no number."""
+    bad = check_metrics(_dirty_rules(spark, d)).bad
+    return bad.select("antecedent", "consequent", "reason", *[
+        F.when(F.col(m).try_cast("double").isNull() | F.isnan(F.col(m).try_cast("double")),
+               F.col(m)).alias(m)
+        for m in ("confidence", "lift", "support")])
+
+
 @query("dashboard_clean_kpis")
 def q_dashboard_clean_kpis(spark, d):
     return serving.cleaned_view(_dirty_rules(spark, d), SLIDER_CONFIDENCE, SLIDER_LIFT)["kpis"]
@@ -488,6 +656,16 @@ def q_rule_search(spark, d):
                        "confidence", "lift")
 
 
+@query("rule_search_indexed")
+def q_rule_search_indexed(spark, d):
+    """The search by way of a written index of the names."""
+    rules = _flat_named(spark, d)
+    hits = search_indexed(rules, build_index(rules), SEARCH_TEXT)
+    return hits.select(F.col("antecedent_product_names").alias("product_purchased"),
+                       F.col("consequent_product_names").alias("recommended_product"),
+                       "confidence", "lift")
+
+
 @query("rule_display")
 def q_rule_display(spark, d):
     return serving.display_rules(_flat_named(spark, d),

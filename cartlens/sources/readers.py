@@ -25,6 +25,14 @@ def _plain_text(c: Column) -> Column:
     return F.when(c.rlike(r"^\\\\+N$"), F.substring(c, 2, 1 << 30)).otherwise(c)
 
 
+def unescape_breaks(text: Column) -> Column:
+    """Undo ``writers.escape_breaks``: between doubled backslashes a single one
+    only stands before n or r."""
+    parts = F.split(text, r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda x: F.replace(F.replace(
+        x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))), "\\")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True,
              multi_line: bool = False, **options: str) -> DataFrame:
     """CSV scan with an explicit schema (columns by position, the header
@@ -40,17 +48,22 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool =
 
 def read_csv_columns(spark: SparkSession, path: str, columns: StructType,
                      allow_missing: bool = False, multi_line: bool = False,
-                     **options: str) -> DataFrame:
+                     one_line: bool = False, **options: str) -> DataFrame:
     """CSV with header, columns picked by header name (any order, extra
     columns ignored) and converted with ``try_cast``.  Every field is read
     as text, so there is no inference pass, and a bad value becomes null.
-    ``allow_missing`` turns a column absent from the header into nulls."""
-    raw = _csv_reader(spark, True, multi_line, options).csv(path)
+    ``allow_missing`` turns a column absent from the header into nulls.  Files
+    written with ``one_line`` are read with it: they are split among tasks,
+    however large, and their line breaks come back."""
+    if one_line:
+        options = {"escape": '"', **options}
+    decode = unescape_breaks if one_line else _plain_text
+    raw = _csv_reader(spark, True, multi_line and not one_line, options).csv(path)
     present = set(raw.columns)
     out = []
     for f in columns.fields:
         if f.name in present:
-            out.append(_plain_text(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name))
+            out.append(decode(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name))
         elif allow_missing:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
@@ -78,15 +91,20 @@ def products_from_text(df: DataFrame, id_col: str = "product_id",
 
 
 def read_products_csv(spark: SparkSession, path: str, id_type: str = "bigint",
-                      observation: Observation | None = None) -> DataFrame:
+                      observation: Observation | None = None,
+                      one_line: bool = False) -> DataFrame:
     """Product dimension from CSV with header; ``product_id`` and
-    ``product_name`` are picked by name, other columns are ignored."""
-    return products_from_text(read_csv_columns(spark, path, PRODUCT_TEXT, multi_line=True),
+    ``product_name`` are picked by name, other columns are ignored.  Files of
+    other tools may have quoted line breaks, which forbid splitting; those
+    written with ``one_line`` are split."""
+    return products_from_text(read_csv_columns(spark, path, PRODUCT_TEXT, multi_line=True,
+                                               one_line=one_line),
                               id_type=id_type, observation=observation)
 
 
-def read_named_rules_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_named_rules_csv(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
     """Named rules from CSV, columns by header name; a file without
     ``support`` (six-column exports) gives null support.  An empty name that
     was written by ``write_csv`` stays empty; a field left out is null."""
-    return read_csv_columns(spark, path, NAMED_RULE, allow_missing=True, multi_line=True)
+    return read_csv_columns(spark, path, NAMED_RULE, allow_missing=True, multi_line=True,
+                            one_line=one_line)

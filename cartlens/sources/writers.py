@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cartlens import defaults as D
-from cartlens.defaults import CSV_NULL
+from cartlens.defaults import CSV_NULL, LINE_ESCAPES
 from cartlens.functions.messages import basket_message
 
 
@@ -26,12 +26,24 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def escape_breaks(text: Column) -> Column:
+    """The text on one line: backslash, line feed and carriage return become
+    ``\\\\``, ``\\n`` and ``\\r``."""
+    for raw, mark in LINE_ESCAPES:
+        text = F.replace(text, F.lit(raw), F.lit(mark))
+    return text
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
-              single_file: bool = False) -> str:
+              single_file: bool = False, one_line: bool = False) -> str:
     """CSV with header.  Texts come back from ``read_csv*`` as they were:
     padding is kept, null is ``CSV_NULL`` and a text that looks like it gets a
-    further backslash.  ``single_file=True`` gathers the rows in one task that
-    only writes (sensible for small results such as rule tables)."""
+    further backslash.  ``one_line=True`` escapes line breaks (``escape_breaks``),
+    so that every row is one line and a reader with ``one_line=True`` may split
+    the files.  ``single_file=True`` gathers the rows in one task that only
+    writes (sensible for small results such as rule tables)."""
+    if one_line:
+        return _write_one_line(df, path, mode, header, single_file)
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     df = df.select(*[F.when(F.col(f"`{c}`").rlike(r"^\\+N$"), F.concat(F.lit("\\"), f"`{c}`"))
                      .otherwise(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`")
@@ -43,6 +55,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     return path
 
 
+def _write_one_line(df: DataFrame, path: str, mode: str, header: bool, single_file: bool) -> str:
+    """All backslashes are doubled, so no text looks like ``CSV_NULL``.  A quote
+    in a text is written twice, as other CSV tools do: the backslash means
+    nothing to the CSV layer."""
+    df = df.select(*[escape_breaks(F.col(f"`{f.name}`")).alias(f.name)
+                     if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")
+                     for f in df.schema.fields])
+    if single_file:
+        df = df.repartition(1)
+    (df.write.mode(mode).option("header", header).option("nullValue", CSV_NULL)
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
 def basket_messages(baskets: DataFrame, order_col: str = "order_id",
                     items_col: str = "items") -> DataFrame:
     """One JSON text per basket in ``value`` (the Kafka value layout), keyed by

@@ -321,7 +321,7 @@ def test_changed_files_are_mined_anew(spark, sf001, tmp_path):
 
     from cartlens.plans import catalog
     for t in catalog.TABLES:
-        shutil.copy(f"{sf001}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{sf001}/{t}.parquet", tmp_path / f"{t}.parquet")
     first = catalog.mined(spark, str(tmp_path))
     assert catalog.mined(spark, str(tmp_path)) is first
     orders = pq.read_table(f"{sf001}/orders.parquet")
