@@ -19,8 +19,10 @@ with their nodes' edges:
   letter left out (an insertion is a deletion seen from the other word);
 * after the edit, on the word's own letters alone.
 
-A state whose node has one word left below is settled by comparing that word.
-A terminal state after one edit is a pair of neighbours.  Each level is written
+A state after its edit with one word left below is settled by comparing that
+word; one with at most ``FEW`` words goes to the terminal test at once, by a join
+of the word it would become with the words.  The others walk on.  A terminal state
+after one edit is a pair of neighbours.  Each level is written
 to the shared folder, so no lineage grows.  States at one node share a join key;
 the node's side is one row of it, so adaptive execution splits a hot node's
 states over tasks.
@@ -53,6 +55,8 @@ MIN_COUNT = 3
 RATIO = 2
 #: Words of up to so many code points go through the tries.
 TRIE_LETTERS = 32
+#: Words behind an edited state for which it need not walk on.
+FEW = 32
 #: op11 misspells one word in so many.
 NOISE = 97
 #: Distinct words a task counts before it sends them on.
@@ -173,18 +177,22 @@ def trie_pairs(words: DataFrame) -> DataFrame:
         step = (at.join(nodes.where(F.col("depth") >= level), ["dir", "node"])
                 .select("dir", "s", F.explode(F.expr(_NEXT)).alias("next")).select("dir", "s", "next.*")
                 .where("y IS NULL OR n > 1 OR one = y")
-                .select("dir", "s", "y", "k", F.expr("y IS NOT NULL AND n = 1").alias("done")))
+                .select("dir", "s", "y", "k", F.when(F.col("y").isNotNull() & (F.col("n") <= FEW),
+                                                     F.col("n") == 1).alias("sure")))
         states = saved(step, "frontier")
-        found.append(states.where("done").select("dir", "s", "y"))
-        open_ = states.where("NOT done").drop("done")
+        found.append(states.where("sure IS NOT NULL").drop("k"))
+        open_ = states.where("sure IS NULL").drop("sure")
         level += 1
         if open_.isEmpty():
             break
-    pairs = found[0]
+    ended = found[0]
     for more in found[1:]:
-        pairs = pairs.unionByName(more)
+        ended = ended.unionByName(more)
     turned = [F.when(F.col("dir") == 1, F.reverse(c)).otherwise(F.col(c)) for c in ("s", "y")]
-    return pairs.select(turned[0].alias("word"), turned[1].alias("other"))
+    ended = ended.select(turned[0].alias("word"), turned[1].alias("other"), "sure")
+    tested = ended.where("NOT sure").join(words.select(F.col("word").alias("other")), "other",
+                                          "left_semi")
+    return ended.where("sure").select("word", "other").unionByName(tested.select("word", "other"))
 
 
 def long_pairs(words: DataFrame) -> DataFrame:

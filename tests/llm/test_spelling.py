@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from cartlens.llm import spelling
 from cartlens.llm.spelling import letters_of, near_pairs, op11_spelling, variants, word_counts
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,8 +80,9 @@ def counts():
     return {w: rng.choice((1, 2, 3, 4, 9, 20, 70)) for w in sorted(words) if len(w) >= 5}
 
 
-@pytest.mark.parametrize("trie_letters", [32, 6])
-def test_variants_equal_brute_force(spark, counts, trie_letters):
+@pytest.mark.parametrize(("trie_letters", "few"), [(32, 1), (6, 3)])
+def test_variants_equal_brute_force(spark, counts, monkeypatch, trie_letters, few):
+    monkeypatch.setattr(spelling, "FEW", few)
     df = spark.createDataFrame([(w, n, "x") for w, n in counts.items()],
                                "word string, n int, form string")
     assert table(variants(df, trie_letters=trie_letters)) == brute(counts)
