@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartlens import defaults as D
 from cartlens.operators import report
-from cartlens.operators.baskets import build_baskets
+from cartlens.operators.baskets import build_baskets, hot_orders
 from cartlens.operators.flat import enrich_flat_rules, flatten_itemsets, flatten_rules
 from cartlens.plans import chain
 from cartlens.schemas import FLAT_RULE, ORDER, ORDER_LINE
@@ -33,6 +33,8 @@ from cartlens.sources.readers import (products_from_text, read_csv_columns,
 from cartlens.sources.writers import basket_messages, write_csv, write_kafka, write_parquet
 from cartlens.streaming import parse_baskets, read_messages, run_to_completion, start_sink
 from cartlens.streaming.baskets import valid_items
+from cartlens.streaming.ledger import start_ledger_sink
+from cartlens.streaming.start import read_latest
 
 
 def _table(spark: SparkSession, path: str, columns) -> DataFrame:
@@ -52,7 +54,9 @@ def _products(spark: SparkSession, path: str) -> DataFrame:
 def preprocess(spark, a) -> dict:
     orders = _table(spark, a.orders, ORDER)
     lines = _table(spark, a.order_lines, ORDER_LINE)
-    baskets = build_baskets(orders, lines, min_size=a.min_size, salt_buckets=a.salt_buckets)
+    hot = None if a.hot_share is None else hot_orders(lines, a.hot_share)
+    baskets = build_baskets(orders, lines, min_size=a.min_size, salt_buckets=a.salt_buckets,
+                            hot=hot)
     return {"baskets": write_parquet(baskets, a.out)}
 
 
@@ -70,22 +74,24 @@ def mine_stage(spark, a) -> dict:
 def export(spark, a) -> dict:
     res, out = a.results.rstrip("/"), a.out.rstrip("/")
     write_csv(flatten_itemsets(spark.read.parquet(f"{res}/frequent_itemsets")),
-              f"{out}/frequent_itemsets_csv", single_file=a.single_file)
+              f"{out}/frequent_itemsets_csv", single_file=a.single_file, one_line=a.one_line)
     write_csv(flatten_rules(spark.read.parquet(f"{res}/association_rules")),
-              f"{out}/association_rules_csv", single_file=a.single_file)
+              f"{out}/association_rules_csv", single_file=a.single_file, one_line=a.one_line)
     return {"out": out}
 
 
 def enrich(spark, a) -> dict:
-    flat = read_csv_columns(spark, a.rules_csv, FLAT_RULE, allow_missing=True, multi_line=True)
+    flat = read_csv_columns(spark, a.rules_csv, FLAT_RULE, allow_missing=True, multi_line=True,
+                            one_line=a.one_line)
     products = _products(spark, a.products).selectExpr(
         "CAST(product_id AS STRING) AS product_id", "product_name")
-    write_csv(enrich_flat_rules(flat, products), a.out, single_file=a.single_file)
+    write_csv(enrich_flat_rules(flat, products), a.out, single_file=a.single_file,
+              one_line=a.one_line)
     return {"out": a.out}
 
 
 def analyze(spark, a) -> dict:
-    rules = read_named_rules_csv(spark, a.rules_csv)
+    rules = read_named_rules_csv(spark, a.rules_csv, one_line=a.one_line)
     sections = report.rule_report(rules, a.min_lift, a.min_confidence)
     for name, df in sections.items():
         print(f"== {name}")
@@ -102,13 +108,19 @@ def load(spark, a) -> dict:
 
 
 def stream(spark, a) -> dict:
-    messages = read_messages(spark, a.source, path=a.path, bootstrap_servers=a.bootstrap,
-                             topic=a.topic, starting_offsets=a.starting_offsets,
-                             max_per_trigger=a.max_per_trigger)
+    if a.source == "text" and a.starting_offsets == "latest":
+        messages = read_latest(spark, a.path, a.checkpoint, a.max_per_trigger)
+    else:
+        messages = read_messages(spark, a.source, path=a.path, bootstrap_servers=a.bootstrap,
+                                 topic=a.topic, starting_offsets=a.starting_offsets,
+                                 max_per_trigger=a.max_per_trigger)
     rows = (parse_baskets(messages) if a.parse_only
             else valid_items(parse_baskets(messages), observe_as="basket_stream"))
-    query = start_sink(rows, a.sink, checkpoint=a.checkpoint, path=a.sink_path,
-                       available_now=a.available_now, processing_time=a.processing_time)
+    if a.sink == "ledger":
+        query = start_ledger_sink(rows, a.sink_path, a.checkpoint, a.available_now)
+    else:
+        query = start_sink(rows, a.sink, checkpoint=a.checkpoint, path=a.sink_path,
+                           available_now=a.available_now, processing_time=a.processing_time)
     if a.available_now:
         run_to_completion(query)
     else:
@@ -132,6 +144,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--min-size", type=int, default=D.MIN_BASKET_SIZE)
     s.add_argument("--salt-buckets", type=int, default=None,
                    help="two-phase aggregation for extremely large orders")
+    s.add_argument("--hot-share", type=float, default=None,
+                   help="find orders with this share of all lines; only they take two phases")
     s.set_defaults(run=preprocess)
 
     s = sub.add_parser("mine")
@@ -148,6 +162,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--results", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--single-file", action="store_true")
+    s.add_argument("--one-line", action="store_true", help="CSV with one row per line")
     s.set_defaults(run=export)
 
     s = sub.add_parser("enrich")
@@ -155,10 +170,12 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--products", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--single-file", action="store_true")
+    s.add_argument("--one-line", action="store_true", help="CSV with one row per line")
     s.set_defaults(run=enrich)
 
     s = sub.add_parser("analyze")
     s.add_argument("--rules-csv", required=True)
+    s.add_argument("--one-line", action="store_true", help="CSV with one row per line")
     s.add_argument("--min-lift", type=float, default=D.STRONG_LIFT)
     s.add_argument("--min-confidence", type=float, default=D.HIGH_CONFIDENCE)
     s.set_defaults(run=analyze)
@@ -180,7 +197,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--starting-offsets", default="earliest")
     s.add_argument("--max-per-trigger", type=int, default=D.MAX_OFFSETS_PER_TRIGGER)
     s.add_argument("--parse-only", action="store_true")
-    s.add_argument("--sink", default="console")
+    s.add_argument("--sink", default="console",
+                   help="a streaming format, or ledger: files with a ledger of batches")
     s.add_argument("--sink-path")
     s.add_argument("--checkpoint")
     s.add_argument("--available-now", action="store_true")

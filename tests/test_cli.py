@@ -30,3 +30,32 @@ def test_cli_chain(spark, sf001, capsys):
     # itemset CSV lines are not basket JSON: every parsed row is all-null
     parsed = spark.read.parquet(f"{root}/stream-out")
     assert parsed.where("order_id is not null").count() == 0
+
+
+def test_cli_with_hot_orders_one_line_files_and_a_ledger(spark, sf001):
+    from cartlens.operators.baskets import build_baskets
+    from cartlens.streaming import parse_baskets
+    from cartlens.streaming.ledger import committed
+    root = scratch_path(spark, "t-cli2")
+    for name, df in (("orders", orders_table(spark, sf001)), ("lines", order_lines(spark, sf001)),
+                     ("products", products_table(spark, sf001))):
+        write_csv(df, f"{root}/{name}.csv")
+    main(["preprocess", "--orders", f"{root}/orders.csv", "--order-lines", f"{root}/lines.csv",
+          "--out", f"{root}/baskets", "--hot-share", "0.0005"], spark)
+    got = spark.read.parquet(f"{root}/baskets")
+    want = build_baskets(orders_table(spark, sf001), order_lines(spark, sf001))
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+    main(["mine", "--baskets", f"{root}/baskets", "--products", f"{root}/products.csv",
+          "--out", f"{root}/results", "--min-confidence", "0.3"], spark)
+    main(["export", "--results", f"{root}/results", "--out", f"{root}/csv", "--one-line"], spark)
+    main(["enrich", "--rules-csv", f"{root}/csv/association_rules_csv", "--products",
+          f"{root}/products.csv", "--out", f"{root}/named", "--one-line"], spark)
+    sections = main(["analyze", "--rules-csv", f"{root}/named", "--one-line"], spark)
+    assert "top_lift" in sections["sections"]
+    spark.createDataFrame([('{"order_id":1,"items":[2]}',)], "value string").write.text(
+        f"{root}/messages")
+    main(["stream", "--source", "text", "--path", f"{root}/messages", "--parse-only", "--sink",
+          "ledger", "--sink-path", f"{root}/out", "--checkpoint", f"{root}/cp", "--available-now"],
+         spark)
+    like = parse_baskets(spark.createDataFrame([], "value string"))
+    assert [tuple(r) for r in committed(spark, f"{root}/out", like).collect()] == [(1, [2])]
