@@ -19,8 +19,9 @@ with their nodes' edges:
   letter left out (an insertion is a deletion seen from the other word);
 * after the edit, on the word's own letters alone.
 
-A state after its edit with one word left below is settled by comparing that
-word; one with at most ``FEW`` words goes to the terminal test at once, by a join
+Behind each edge a mask has one bit by the hash of every word there, and a state
+whose word's bit is not set ends at once.  A state after its edit with one word left
+below is settled by comparing that word; one with at most ``FEW`` words goes to the terminal test at once, by a join
 of the word it would become with the words.  The others walk on.  A terminal state
 after one edit is a pair of neighbours.  Each level is written
 to the shared folder, so no lineage grows.  States at one node share a join key;
@@ -135,35 +136,40 @@ def _turned(words: DataFrame) -> DataFrame:
 def tries(words: DataFrame) -> DataFrame:
     """``dir, node, depth, edges``: nodes with at least two words below, from half
     of each word's length on.  An edge has the letter ``c`` (empty where a word
-    ends at the node), the number ``n`` of words behind it, and the least of them.
+    ends at the node), the number ``n`` of words behind it, the least of them, and a
+    ``mask`` of one bit by the hash of each: a word whose bit is not set is not there.
     ``dir`` is 0 for the words, 1 for the reversed words."""
     both = _turned(words)
     steps = both.select("dir", "s", F.explode(F.sequence("k", F.length("s"))).alias("depth"))
     edges = (steps.select("dir", F.expr("substring(s, 1, depth)").alias("node"), "depth",
                           F.expr("substring(s, depth + 1, 1)").alias("c"), "s")
              .groupBy("dir", "node", "depth", "c")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("one")))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("one"),
+                  F.bit_or(F.expr(_BIT.format("s"))).alias("mask")))
     return (edges.groupBy("dir", "node", "depth")
-            .agg(F.collect_list(F.struct("c", "n", "one")).alias("edges"), F.sum("n").alias("n"))
+            .agg(F.collect_list(F.struct("c", "n", "one", "mask")).alias("edges"),
+                 F.sum("n").alias("n"))
             .where(F.col("n") > 1).drop("n"))
 
 
+#: One of 64 bits by a word's hash.
+_BIT = "shiftleft(1L, CAST(pmod(xxhash64({}), 64) AS INT))"
 #: A state is (dir, s, y, k): the word ``s``, the word ``y`` that its edit makes of
 #: it (null: no edit yet), and the node ``k`` letters down.  What an edge leads to:
 #: the state, and whether the words behind the edge (n, one) leave it open.
 _NEXT = """concat(
   transform(filter(edges, e -> y IS NOT NULL AND e.c = substring(y, k + 1, 1)),
-    e -> named_struct('y', y, 'k', k + 1, 'n', e.n, 'one', e.one)),
+    e -> named_struct('y', y, 'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)),
   transform(filter(edges, e -> y IS NULL AND e.c > substring(s, k + 1, 1) AND k < length(s)),
     e -> named_struct('y', concat(substring(s, 1, k), e.c, substring(s, k + 2)),
-                      'k', k + 1, 'n', e.n, 'one', e.one)),
+                      'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)),
   transform(filter(edges, e -> y IS NULL AND k < length(s) AND e.c = substring(s, k + 2, 1)
                                AND e.c <> substring(s, k + 1, 1)),
     e -> named_struct('y', concat(substring(s, 1, k), substring(s, k + 2)),
-                      'k', k + 1, 'n', e.n, 'one', e.one)),
+                      'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)),
   transform(filter(edges, e -> y IS NULL AND k < length(s) AND e.c = substring(s, k + 1, 1)
                                AND e.n > 1),
-    e -> named_struct('y', CAST(NULL AS string), 'k', k + 1, 'n', e.n, 'one', e.one)))"""
+    e -> named_struct('y', CAST(NULL AS string), 'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)))"""
 
 
 def trie_pairs(words: DataFrame) -> DataFrame:
@@ -176,7 +182,7 @@ def trie_pairs(words: DataFrame) -> DataFrame:
         at = open_.withColumn("node", F.expr("substring(coalesce(y, s), 1, k)"))
         step = (at.join(nodes.where(F.col("depth") >= level), ["dir", "node"])
                 .select("dir", "s", F.explode(F.expr(_NEXT)).alias("next")).select("dir", "s", "next.*")
-                .where("y IS NULL OR n > 1 OR one = y")
+                .where(f"y IS NULL OR (n > 1 OR one = y) AND (mask & {_BIT.format('y')}) <> 0")
                 .select("dir", "s", "y", "k", F.when(F.col("y").isNotNull() & (F.col("n") <= FEW),
                                                      F.col("n") == 1).alias("sure")))
         states = saved(step, "frontier")
@@ -247,8 +253,9 @@ def near_pairs(words: DataFrame, trie_letters: int = TRIE_LETTERS) -> DataFrame:
     long = words.where(length >= trie_letters)
     if not long.where(length > trie_letters).isEmpty():
         pairs = pairs.unionByName(long_pairs(long))
-    return (pairs.unionByName(pairs.select(F.col("other").alias("word"),
-                                           F.col("word").alias("other"))).distinct())
+    both = F.array(F.struct("word", "other"), F.struct(F.col("other").alias("word"),
+                                                       F.col("word").alias("other")))
+    return pairs.select(F.explode(both).alias("pair")).select("pair.*").distinct()
 
 
 def variants(words: DataFrame, ratio: float = RATIO,
