@@ -30,7 +30,7 @@ def test_contract(spark, sf001):
 @pytest.mark.parametrize("name", ALL_KEYS)
 def test_query_matches_oracle(spark, sf001, name):
     con = duckdb.connect()
-    for t in ("part", "orders", "lineitem", "documents"):
+    for t in ("part", "orders", "lineitem", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf001}/{t}.parquet')")
     df = entry.queries()[name](spark, sf001)
     cur = con.execute(entry.oracle_sql()[name])
@@ -53,7 +53,7 @@ def test_oracle_cte_exact_with_four_item_sets(spark, sf001):
     res = mine(catalog.baskets(spark, sf001), min_support=0.004, min_confidence=0.3)
     assert max(r.item_count for r in res.itemsets.collect()) == 4
     con = duckdb.connect()
-    for t in ("part", "orders", "lineitem", "documents"):
+    for t in ("part", "orders", "lineitem", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf001}/{t}.parquet')")
     cte = mining_cte(0.004, 0.3)
     want_sets = con.execute(f"WITH {cte} SELECT items, freq, item_count FROM itemsets").fetchall()
