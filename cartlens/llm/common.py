@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _SHIPPED: set[str] = set()
 
+#: What a Python worker keeps from task to task: owner -> the dictionary.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """The worker's dictionary of ``owner``.  Workers live on after an operator's
+    tasks; whoever asks next empties all others' dictionaries, so a worker holds
+    the memo of one operator at a time."""
+    for name, held in _KEPT.items():
+        if name != owner:
+            held.clear()
+    return _KEPT.setdefault(owner, {})
+
 
 def ready(spark: SparkSession) -> None:
     """Bound Arrow batches and send this package to the Python workers."""
@@ -59,17 +73,24 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run in here go when each ends."""
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the checkpoint root and read it back: lineage ends at
     files that every executor can read again, and the step's shuffle files go."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_CLEAN_UP, "false")
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
+    with cleaned(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import ready, saved, texts_of
+from cartlens.llm.common import kept, ready, saved, texts_of
 
 WINDOW = 10
 #: Words of one automaton (it has at most twice as many states: some 40 MB).
@@ -50,8 +50,6 @@ PIECE_WORDS = 4_096
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else
               b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _WORDS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-#: The automaton a worker has at hand: (name, automaton).
-_HELD: list = ["", None]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -263,9 +261,12 @@ def automata(items: DataFrame, window: int = WINDOW, item_col: str = "item_id",
 
 
 def _held(name: str, raw: bytes) -> Automaton:
-    if _HELD[0] != name:
-        _HELD[:] = [name, pickle.loads(raw)]
-    return _HELD[1]
+    """The worker's automaton, one at a time."""
+    held = kept("decontaminate")
+    if name not in held:
+        held.clear()
+        held[name] = pickle.loads(raw)
+    return held[name]
 
 
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, text_col: str = "text",

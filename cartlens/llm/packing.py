@@ -161,22 +161,24 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
         enc = encoder(path)
         end = int(end_id).to_bytes(enc.width, "little")
         base = TaskContext.get().partitionId() << 40
-        ids, raw, size, n_seq, n_step = [], [], 0, 0, 0
+        ids, flat, sizes, n_ids, n_seq, n_step = [], [], [], 0, 0, 0
         for batch in batches:
+            new, counts = enc.encode_column(batch.column(1), end)
             ids += batch.column(0).to_pylist()
-            new = enc.encode_column(batch.column(1), end)
-            raw += new
-            size += sum(map(len, new))
-            if len(ids) >= block_docs or size >= block_bytes:
-                yield from block(ids, raw, enc, base + n_seq, base + n_step, found := [0, 0])
+            flat.append(new)
+            sizes += counts.tolist()
+            n_ids += len(new)
+            if len(ids) >= block_docs or n_ids * enc.width >= block_bytes:
+                yield from block(ids, flat, sizes, base + n_seq, base + n_step, found := [0, 0])
                 n_seq, n_step = n_seq + found[0], n_step + found[1]
-                ids, raw, size = [], [], 0
+                ids, flat, sizes, n_ids = [], [], [], 0
         if ids:
-            yield from block(ids, raw, enc, base + n_seq, base + n_step, [0, 0])
+            yield from block(ids, flat, sizes, base + n_seq, base + n_step, [0, 0])
 
-    def block(ids, raw, enc, first_sequence, first_step, found) -> Iterator[pa.RecordBatch]:
-        w = enc.width
-        sizes = [len(x) // w for x in raw]
+    def block(ids, flat, sizes, first_sequence, first_step, found) -> Iterator[pa.RecordBatch]:
+        raw = memoryview(np.concatenate(flat).astype("<u4")).cast("B")
+        flat.clear()
+        at = (np.cumsum(sizes) - sizes).tolist()
         sequences = pack(sizes, tiers)
         step = steps(sequences, step_tokens)
         found[:] = [len(sequences), max(step, default=-1) + 1]
@@ -184,8 +186,9 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
         for k, (tier, held) in enumerate(sequences):
             offset = 0
             for doc, start, n in held:
-                part = np.frombuffer(raw[doc], enc.dtype, n, start * w).astype("<u4")
-                for col, x in zip(cols, (ids[doc], start, n, zlib.crc32(part), sizes[doc],
+                first = 4 * (at[doc] + start)
+                crc = zlib.crc32(raw[first:first + 4 * n])
+                for col, x in zip(cols, (ids[doc], start, n, crc, sizes[doc],
                                          first_sequence + k, offset, tier,
                                          first_step + step[k]), strict=True):
                     col.append(x)

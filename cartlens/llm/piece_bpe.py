@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from cartlens.llm.common import id_and_text, ready
+from cartlens.llm.common import id_and_text, kept, ready
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -47,7 +47,6 @@ SPACE = "▁"
 MEMO_WORDS, MEMO_PAIRS, MEMO_LENGTH = 1_000_000, 1_000_000, 64
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                     ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-_MODELS: dict[str, "PieceBpe"] = {}
 
 
 def model_path(path: str | None) -> str:
@@ -61,9 +60,10 @@ def model_path(path: str | None) -> str:
 
 def model(path: str) -> "PieceBpe":
     """The worker's encoder for a model file."""
-    if path not in _MODELS:
-        _MODELS[path] = PieceBpe(path)
-    return _MODELS[path]
+    models = kept("pieces")
+    if path not in models:
+        models[path] = PieceBpe(path)
+    return models[path]
 
 
 class PieceBpe:

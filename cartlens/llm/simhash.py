@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import fresh, id_and_text, ready, saved, texts_of
+from cartlens.llm.common import fresh, id_and_text, kept, ready, saved, texts_of
 from cartlens.llm.components import components
 
 SHINGLE = 3
@@ -76,6 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("simhash")
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays(

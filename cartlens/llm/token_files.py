@@ -65,27 +65,25 @@ class PartWriter:
         self.ids = pa.ipc.new_stream(self.ids_sink, self.schema)
         self.docs_sink = fs.open_output_stream(f"{folder}/docs-{name}.arrows")
         self.docs = pa.ipc.new_stream(self.docs_sink, _DOCS)
-        self.held: list[bytes] = []
-        self.held_bytes = self.n_tokens = self.n_docs = self.n_sequences = 0
-        self.batch_bytes = rows * length * self.dtype.itemsize
+        self.held: list[np.ndarray] = []
+        self.n_held = self.n_tokens = self.n_docs = self.n_sequences = 0
+        self.batch_ids = rows * length
 
-    def add(self, doc_ids: list, encoded: list[bytes]) -> None:
-        sizes = np.fromiter((len(x) for x in encoded), np.int64, len(encoded))
-        sizes //= self.dtype.itemsize
+    def add(self, doc_ids: pa.Array, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Documents with their ids in one array, and the number of each."""
         starts = self.n_tokens + np.cumsum(sizes) - sizes
         self.docs.write_batch(pa.record_batch(
-            [pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array(sizes)], schema=_DOCS))
-        self.n_tokens += int(sizes.sum())
+            [doc_ids.cast(pa.int64()), pa.array(starts), pa.array(sizes)], schema=_DOCS))
+        self.n_tokens += len(flat)
         self.n_docs += len(doc_ids)
-        self.held += encoded
-        self.held_bytes += sum(map(len, encoded))
-        if self.held_bytes >= self.batch_bytes:
-            whole = b"".join(self.held)
-            cut = len(whole) - len(whole) % self.batch_bytes
-            for k in range(0, cut, self.batch_bytes):
-                self._write(np.frombuffer(whole, self.dtype, self.batch_bytes
-                                          // self.dtype.itemsize, k), None)
-            self.held, self.held_bytes = [whole[cut:]], len(whole) - cut
+        self.held.append(flat)
+        self.n_held += len(flat)
+        if self.n_held >= self.batch_ids:
+            whole = np.concatenate(self.held)
+            cut = len(whole) - len(whole) % self.batch_ids
+            for k in range(0, cut, self.batch_ids):
+                self._write(whole[k:k + self.batch_ids], None)
+            self.held, self.n_held = [whole[cut:].copy()], len(whole) - cut
 
     def _write(self, flat: np.ndarray, mask: np.ndarray | None) -> None:
         mask = np.ones(len(flat), bool) if mask is None else mask
@@ -97,7 +95,7 @@ class PartWriter:
         self.n_sequences += n
 
     def close(self) -> None:
-        flat = np.frombuffer(b"".join(self.held), self.dtype)
+        flat = np.concatenate([np.zeros(0, self.dtype), *self.held])
         if len(flat):
             n = -(-len(flat) // self.length) * self.length
             full = np.full(n, self.pad_id, self.dtype)
@@ -168,8 +166,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
             if out is None:
                 fs.create_dir(where, recursive=True)
                 out = PartWriter(fs, where, name, enc.width, length)
-            out.add(batch.column(0).to_pylist(),
-                    enc.encode_column(batch.column(1), end))
+            out.add(batch.column(0), *enc.encode_column(batch.column(1), end))
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({
@@ -214,11 +211,11 @@ def read_part(row: dict) -> Iterator[pa.RecordBatch]:
                 left = next(sequences)
                 ids = left.column("ids").values.to_numpy(zero_copy_only=True)
                 mask = left.column("mask").values.to_numpy(zero_copy_only=False)
-                got.append(ids[mask].astype("<u4"))
+                got.append((ids if mask.all() else ids[mask]).astype("<u4"))
                 have += len(got[-1])
             flat = np.concatenate(got)
             held = flat[need:].copy()
-            raw, ends = flat[:need].tobytes(), np.cumsum(sizes) * 4
+            raw, ends = memoryview(flat[:need]).cast("B"), np.cumsum(sizes) * 4
             crcs = [zlib.crc32(raw[e - 4 * n:e]) for e, n in zip(ends.tolist(), sizes.tolist(),
                                                                   strict=True)]
             starts = docs.column("start").to_numpy() + row["base"]

@@ -4,31 +4,37 @@ A byte-level BPE with the usual pre-tokenizer never lets a token run from a
 non-space character into a space, so a text falls apart, without changing its
 ids, at every space that follows a non-space character.  The pieces between
 such places repeat a great deal; each distinct one is encoded by the library
-once and its ids are kept, up to a bound, for the life of the worker.
+once.  A worker keeps pieces and ids in flat arrays (some 30 bytes a piece, where
+a dictionary takes 250), up to a bound in bytes; beyond it the pieces not met for
+longest go.  Pieces are looked up and ids put in place a batch at a time, without a
+loop over them.
 """
 
 from __future__ import annotations
 
-from array import array
+import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from cartlens.llm.common import pieces
+from cartlens.llm.common import kept, pieces
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
-#: Distinct pieces a worker remembers (some 250 MB).
-MEMO_ENTRIES = 1_200_000
-#: Pieces that are encoded by one call.
+#: Bytes of pieces and ids that a worker remembers.
+MEMO_BYTES = 72 << 20
+#: First pieces of texts that it remembers.
+HEADS = 50_000
+#: Pieces that are encoded by one call, and ids that are put in place at once.
 CALL_PIECES = 2_000
+GATHERED = 1 << 20
 
-_STOPS = (".", ",")
 #: How a byte-level vocabulary spells a space.
 SPACE = "Ġ"
-_ENCODERS: dict[str, "Encoder"] = {}
 
 
 def tokenizer_path(path: str | None) -> str:
@@ -42,145 +48,238 @@ def tokenizer_path(path: str | None) -> str:
 
 def encoder(path: str) -> "Encoder":
     """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    encoders = kept("tokens")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 class Encoder:
     """``encode(texts)`` gives, per text, its ids as little-endian unsigned
-    integers of ``width`` bytes (2 where the vocabulary fits, else 4)."""
+    integers of ``width`` bytes (2 where the vocabulary fits, else 4).
+
+    A string of an added token (``<|endoftext|>``) is that token, as the library
+    has it: such texts are parted there first."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.width = array(self.code).itemsize
-        self.dtype = "<u2" if self.code == "H" else "<u4"
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.width = self.dtype.itemsize
         vocabulary = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins[[i for t, i in vocabulary.items() if t[:1] == SPACE]] = True
-        self.stops = {p: self._ids(p) for p in _STOPS}
-        self.memo: dict[str | tuple[str], bytes] = {}
-        self.old: dict[str | tuple[str], bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: np.array([i], self.dtype) for i, t in added.items()}
+        #: Whether the added tokens are met as they stand, wherever they stand.
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
+        self.parting = re.compile("(" + "|".join(
+            map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
+        self.heads: dict[str, np.ndarray] = {}
+        self.batch = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.pieces = pa.array([], pa.string())
+        #: Of each piece: its ids' place in ``arena``, their number, the last batch.
+        self.begin, self.size, self.met = (np.zeros(0, np.int32) for _ in range(3))
+        self.arena = np.zeros(0, self.dtype)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids."""
-        return self.encode_column(pa.array(texts, pa.string()))
+        flat, sizes = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = flat.tobytes(), np.cumsum(sizes) * self.width
+        return [raw[e - n * self.width:e] for e, n in zip(ends.tolist(), sizes.tolist(),
+                                                          strict=True)]
 
-    def encode_column(self, column: pa.Array, end: bytes = b"") -> list[bytes]:
-        """Each text's ids, and ``end``.  Null is an empty text."""
-        known, at, first = self._looked_up(column)
-        get, at = known.__getitem__, at.tolist()
-        return [b"".join(map(get, at[a:b])) + end for a, b in zip(first, first[1:], strict=False)]
+    def encode_column(self, column: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in one array, each followed by ``end``; each
+        text's number of ids).  Null is an empty text."""
+        if not len(column):
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        arena, begins, sizes, at, first = self._looked_up(column, np.frombuffer(end, self.dtype))
+        if end:             # the last entry
+            at = np.insert(at, first[1:], len(sizes) - 1)
+            first = first + np.arange(len(first))
+        begin, size = begins[at], sizes[at]
+        done = np.cumsum(size, dtype=np.int64) - size
+        out = np.empty(int(size.sum(dtype=np.int64)), self.dtype)
+        # Texts by texts, so that the places of the ids take little memory.
+        for a, b in _spans(first, size, GATHERED):
+            n = int(size[a:b].sum())
+            if n:
+                places = np.repeat((begin[a:b] - done[a:b] + done[a]).astype(np.int32), size[a:b])
+                places += np.arange(n, dtype=np.int32)
+                out[done[a]:done[a] + n] = arena[places]
+        return out, np.add.reduceat(size, first[:-1], dtype=np.int64)
 
     def count_column(self, column: pa.Array) -> np.ndarray:
         """The number of ids of each text."""
-        known, at, first = self._looked_up(column)
-        if not len(at):
+        if not len(column):
             return np.zeros(0, np.int64)
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.width
-        return np.add.reduceat(sizes[at], first[:-1])
+        _, _, sizes, at, first = self._looked_up(column, np.zeros(0, self.dtype))
+        return np.add.reduceat(sizes[at], first[:-1], dtype=np.int64)
 
-    def _looked_up(self, column: pa.Array) -> tuple[list[bytes], np.ndarray, list[int]]:
-        """(ids of the distinct pieces, each piece's place there, each text's
-        first piece and the end)."""
-        if not len(column):
-            return [], np.zeros(0, np.int32), [0]
+    def _looked_up(self, column: pa.Array, end: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(ids; entries' places there and sizes; each piece's entry; each text's
+        first piece, and the end).  The last entry is ``end``."""
         texts = column.cast(pa.string()).fill_null("")
         lists = pc.split_pattern(texts, " ")
         first = np.cumsum(np.r_[0, pc.list_value_length(lists).to_numpy()])
         found = lists.flatten().dictionary_encode()
-        at, parts = found.indices.to_numpy().copy(), found.dictionary.to_pylist()
-        known = self._known(parts)
+        codes, parts = found.indices.to_numpy(), found.dictionary
+        loose_parts = _loose_ends(parts)
+        self.batch += 1
+        if self.pieces.nbytes + self.arena.nbytes + 12 * len(self.size) > MEMO_BYTES:
+            self._forget()
+        at = self._places(parts, loose_parts)[codes]
 
         # Only a space after another character is sure to begin a token: a text
-        # with a space after white space is cut anew, piece by piece.
-        loose = np.array([not p or p[-1].isspace() for p in parts])[at]
+        # with a space after white space is cut anew, piece by piece, and so is
+        # one with an added token.
+        loose = loose_parts[codes]
         loose[first[1:] - 1] = False
         whole = np.unique(np.searchsorted(first, np.flatnonzero(loose), "right") - 1)
-        # A text's first piece has no space in front.
+        for token in self.added:
+            held = pc.match_substring(texts, token)
+            if pc.any(held).as_py():
+                whole = np.union1d(whole, np.flatnonzero(held.to_numpy(zero_copy_only=False)))
+        anew = {k: self._whole(texts[k].as_py()) for k in whole.tolist()}
+        # What stands behind the memo's entries, for this batch alone: nothing,
+        # texts' first pieces (no space in front), whole texts, the end.
+        n, extra = len(self.size), [np.zeros(0, self.dtype)]
         heads: dict[int, int] = {}
-        for k, code in zip(first.tolist(), at[first[:-1]].tolist(), strict=False):
+        for k, code in zip(first.tolist(), codes[first[:-1]].tolist(), strict=False):
             if code not in heads:
-                heads[code] = len(known)
-                known.append(self._head(parts[code]))
+                heads[code] = n + len(extra)
+                extra.append(self._head(parts[code].as_py()))
             at[k] = heads[code]
-        nothing = len(known)
-        known.append(b"")
-        for k in whole.tolist():
-            at[first[k]:first[k + 1]] = nothing
-            at[first[k]] = len(known)
-            known.append(self._loose(texts[k].as_py()))
-        return known, at, first.tolist()
-
-    def _known(self, parts: list[str]) -> list[bytes]:
-        """The ids of each piece (with a space in front), learned if need be.
-        A full memo becomes the old one, from which what is met again moves on,
-        so frequent pieces stay."""
-        if len(self.memo) + len(parts) > MEMO_ENTRIES // 2:
-            self.memo, self.old = {}, self.memo
-        known = list(map(self.memo.get, parts))
-        new = [p for p, ids in zip(parts, known, strict=True) if ids is None]
-        if new:
-            before = {p: ids for p in new if (ids := self.old.get(p)) is not None}
-            self.memo.update(before)
-            self._learn([p for p in new if p not in before])
-            known = list(map(self.memo.__getitem__, parts))
-        return known
-
-    def _head(self, piece: str) -> bytes:
+        for k, ids in anew.items():
+            at[first[k]:first[k + 1]] = n
+            at[first[k]] = n + len(extra)
+            extra.append(ids)
+        extra.append(end)
+        more = np.fromiter(map(len, extra), np.int32, len(extra))
+        return (np.concatenate([self.arena, *extra]),
+                np.r_[self.begin, (len(self.arena) + np.cumsum(more) - more).astype(np.int32)],
+                np.r_[self.size, more], at, first)
+
+    def _places(self, parts: pa.Array, loose: np.ndarray) -> np.ndarray:
+        """The memo's entry of each distinct piece (with a space in front), learned
+        if need be."""
+        found = pc.index_in(parts, value_set=self.pieces)
+        places = found.fill_null(-1).to_numpy().astype(np.int32)
+        for kind in (False, True):
+            new = np.flatnonzero((places < 0) & (loose == kind))
+            if len(new):
+                places[new] = len(self.size) + np.arange(len(new))
+                pieces_ = parts.take(pa.array(new))
+                ids, sizes = (self._one_by_one if kind else self._in_runs)(pieces_.to_pylist())
+                self.pieces = pa.concat_arrays([self.pieces, pieces_])
+                sizes = sizes.astype(np.int32)
+                begin = len(self.arena) + np.cumsum(sizes) - sizes
+                self.begin = np.r_[self.begin, begin.astype(np.int32)]
+                self.size = np.r_[self.size, sizes]
+                self.met = np.r_[self.met, np.zeros(len(new), np.int32)]
+                self.arena = np.concatenate([self.arena, ids])
+        self.met[places] = self.batch
+        return places
+
+    def _forget(self) -> None:
+        """Keep the half of the pieces that was met last."""
+        keep = np.sort(np.argsort(-self.met, kind="stable")[:len(self.met) // 2])
+        if not len(keep):
+            return self._clear()
+        size = self.size[keep]
+        places = np.repeat(self.begin[keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        self.pieces = self.pieces.take(pa.array(keep))
+        self.arena = self.arena[places]
+        self.begin, self.size = (np.cumsum(size) - size).astype(np.int32), size
+        self.met = self.met[keep]
+
+    def _in_runs(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, the number of each).  No piece ends in white space,
+        so many are encoded as one text, whose ids are parted where a token begins
+        with a space."""
+        ids, sizes = [], []
+        for part in pieces(missing, CALL_PIECES):
+            (found,) = self.tokenizer.encode_batch_fast([" " + " ".join(part)],
+                                                        add_special_tokens=False)
+            run = np.array(found.ids, self.dtype)
+            at = np.flatnonzero(self.begins[run])
+            if len(at) == len(part):
+                ids.append(run)
+                sizes.append(np.diff(np.r_[at, len(run)]))
+            else:           # a vocabulary that spells spaces otherwise
+                run, size = self._one_by_one(part)
+                ids.append(run)
+                sizes.append(size)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _one_by_one(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for part in pieces(missing, CALL_PIECES)
+                 for e in self.tokenizer.encode_batch_fast([" " + p for p in part],
+                                                           add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), self.dtype, int(sizes.sum())), sizes
+
+    def _head(self, piece: str) -> np.ndarray:
         """The ids of a text's first piece, which has no space in front."""
-        key = (piece,)
-        if key not in self.memo:
-            self.memo[key] = self._ids(piece)
-        return self.memo[key]
+        ids = self.heads.get(piece)
+        if ids is None:
+            ids = self._ids(piece)
+            if len(self.heads) >= HEADS:
+                self.heads.clear()
+            self.heads[piece] = ids
+        return ids
 
-    def _loose(self, text: str) -> bytes:
+    def _whole(self, text: str) -> np.ndarray:
+        """The ids of a text that may hold added tokens or runs of white space."""
+        if not self.plain and self.parting and self.parting.search(text):
+            return self._ids(text)
+        cut = self.parting.split(text) if self.parting else [text]
+        return np.concatenate([np.zeros(0, self.dtype), *[
+            self.added[part] if k % 2 else self._loose(part) for k, part in enumerate(cut) if part]])
+
+    def _loose(self, text: str) -> np.ndarray:
         head, *parts = _merged(text.split(" "))
-        return self._head(head) + b"".join(self._known(parts))
-
-    def _ids(self, text: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _learn(self, missing: list[str]) -> None:
-        """A piece that is letters and one final stop is two pre-tokens; the
-        letters alone are the more often met."""
-        memo = self.memo
-        words = {p for p in missing if p.isalpha()}
-        rest = [p for p in missing if not p.isalpha()]
-        stopped = [p for p in rest if p[-1:] in self.stops and p[:-1].isalpha()]
-        words.update([w for w in [p[:-1] for p in stopped] if w not in memo])
-        for part in pieces(list(words), CALL_PIECES):
-            memo.update(zip(part, self._encode_run(part), strict=True))
-        memo.update([(p, memo[p[:-1]] + self.stops[p[-1]]) for p in stopped])
-        others = [p for p in rest if p not in memo]
-        for part in pieces(others, CALL_PIECES):
-            found = self.tokenizer.encode_batch_fast([" " + p for p in part],
-                                                     add_special_tokens=False)
-            memo.update([(p, array(self.code, e.ids).tobytes())
-                         for p, e in zip(part, found, strict=True)])
-
-    def _encode_run(self, words: list[str]) -> list[bytes]:
-        """Each of ``words`` is one pre-token with a space in front: encode them
-        as one text and part the ids where a token begins with a space."""
-        (found,) = self.tokenizer.encode_batch_fast([" " + " ".join(words)],
-                                                    add_special_tokens=False)
-        ids = np.array(found.ids, self.dtype)
-        at = (np.flatnonzero(self.begins[ids]) * self.width).tolist()
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)]
+        found = pa.array(parts, pa.string()).dictionary_encode()
+        at = self._places(found.dictionary, _loose_ends(found.dictionary))[found.indices.to_numpy()]
+        size = self.size[at]
+        places = np.repeat(self.begin[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.concatenate([self._ids(head), self.arena[places]])
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+
+def _loose_ends(parts: pa.Array) -> np.ndarray:
+    """Which pieces are empty or end in white space."""
+    last = pc.utf8_slice_codeunits(parts, -1).dictionary_encode()
+    loose = np.array([not c or c.isspace() for c in last.dictionary.to_pylist()], bool)
+    return loose[last.indices.to_numpy()]
 
 
 def _merged(parts: list[str]) -> list[str]:
     """Undo the cuts at spaces that follow white space: only a space after
     another character is sure to begin a token."""
-    out = [parts[0]]
-    for p in parts[1:]:
-        if out[-1] and not out[-1][-1].isspace():
-            out.append(p)
-        elif len(out) > 1 or out[0]:
-            out[-1] = f"{out[-1]} {p}"
-        else:
-            out[0] = f" {p}"
-    return out
+    out: list[str] = []
+    held: list[str] = []
+    loose = True
+    for p in parts:
+        if held and not loose:
+            out.append(" ".join(held))
+            held = []
+        held.append(p)
+        loose = not p or p[-1].isspace()
+    return [*out, " ".join(held)]
+
+
+def _spans(first: np.ndarray, size: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of pieces of whole texts with some ``most`` ids, or of one text."""
+    ends = np.cumsum(np.add.reduceat(size, first[:-1], dtype=np.int64))
+    a = 0
+    while a < len(ends):
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield int(first[a]), int(first[b])
+        a = b

@@ -13,7 +13,6 @@ from cartlens.llm import packing, token_counts, token_files, tokens
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(tokens.tokenizer_path(None))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -30,9 +29,54 @@ def test_pieces_give_the_whole_texts_ids(plain):
     found = enc.encode(texts)
     assert [np.frombuffer(x, enc.dtype).tolist() for x in found] == [plain(t) for t in texts]
     assert enc.count_column(pa.array(texts)).tolist() == [len(plain(t)) for t in texts]
+    special = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y", "<|endoftext|><|endoftext|>",
+               " <|endoftext|>  two  spaces", "  \n<|endoftext|>\n ", "a<|endoftext|", "word "
+               "<|endoftext|>.", "<|endoftext|> " * 50 + "end", ""]
+    found = enc.encode(special)
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in found] == [plain(t) for t in special]
+    assert 50256 in plain(special[2])
+    flat, sizes = enc.encode_column(pa.array([*special, None]), b"\x07\x00")
+    assert sizes.tolist() == [len(plain(t)) + 1 for t in [*special, ""]]
+    assert flat.tolist() == [i for t in [*special, ""] for i in [*plain(t), 7]]
     assert enc.encode([]) == [] and enc.count_column(pa.array([], pa.string())).tolist() == []
 
 
+def test_runs_of_spaces_take_linear_time(plain):
+    import time
+    texts = ["a" + " " * 1_000_000 + "b", " " * 1_000_000, "a  " * 300_000]
+    enc = tokens.Encoder(tokens.tokenizer_path(None))
+    begun = time.perf_counter()
+    assert tokens._merged(texts[0].split(" "))[0] == "a"
+    assert time.perf_counter() - begun < 2
+    short = [t[:1] + t[-3001:] for t in texts]
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(short)] == [
+        plain(t) for t in short]
+    assert len(enc.encode(texts)) == 3 and time.perf_counter() - begun < 60
+
+
+def test_a_memo_of_a_few_pieces_gives_the_same_ids(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 200)
+    monkeypatch.setattr(tokens, "HEADS", 2)
+    monkeypatch.setattr(tokens, "CALL_PIECES", 2)
+    monkeypatch.setattr(tokens, "GATHERED", 5)
+    rng = random.Random(9)
+    enc = tokens.Encoder(tokens.tokenizer_path(None))
+    for _ in range(30):
+        texts = [" ".join(rng.choices(["one", "two.", "Three,", "4x", "five", "x"], k=rng.randrange(9)))
+                 for _ in range(5)]
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == [
+            plain(t) for t in texts]
+        assert len(enc.size) == len(enc.pieces) == len(enc.begin) == len(enc.met) < 20
+
+
+def test_workers_keep_one_operators_memo():
+    from cartlens.llm.common import kept
+    path = tokens.tokenizer_path(None)
+    assert tokens.encoder(path) is tokens.encoder(path)
+    kept("another")["x"] = 1
+    assert kept("tokens") == {} and kept("another") == {}
+
+
 def test_token_files_round_trip(documents, plain):
     rows = [r.asDict() for r in token_files.op1_token_files(documents).collect()]
     want = sorted(((r.doc_id is not None, r.doc_id or 0, crc([*plain(r.text), 2]),
