@@ -26,6 +26,11 @@ random, and only one row for each run goes on to the others' place.  So a
 passage that a third of all documents share makes a group of one row per run,
 not one per document.
 
+The texts are shuffled once: every row gets a number, and the rows are written in
+buckets of it.  Kept anchors and windows come back to their rows by that number,
+without another exchange of the texts.  Rows of one id, and equal rows, have
+numbers of their own, so no id or text is hot.
+
 Cases: a null text has no words.  A document of fewer than WINDOW words keeps
 all.  Rows with one id do not repeat each other (none is smaller), and each is
 judged by its own text.  A row with a null id neither loses words nor makes
@@ -35,7 +40,6 @@ others lose any.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +48,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import id_and_text, ready, saved, texts_of
+from cartlens.llm.common import cleaned, kept, ready, saved, texts_of
+from cartlens.sources.bucketed import read_bucketed, write_bucketed
 
 WINDOW = 13
 PERIOD = 7
@@ -54,9 +59,10 @@ ANCHOR = WINDOW - PERIOD + 1
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Rows among which a task looks for repeats of its own.
 RUN = 1 << 20
-_ANCHORS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32())])
+_ANCHORS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()),
+                      ("pos", pa.int32())])
 _WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("doc_id", pa.int64()),
-                      ("th", pa.int32()), ("pos", pa.int32())])
+                      ("row", pa.int64()), ("pos", pa.int32())])
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -80,9 +86,9 @@ def cover_positions(n: int) -> np.ndarray:
     return at[np.isin(at % PERIOD, COVER)]
 
 
-def elsewhere(h: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+def elsewhere(h: np.ndarray, row: np.ndarray, pos: np.ndarray) -> np.ndarray:
     """A key that no other row is likely to have."""
-    mixed = (h.view(np.uint64) ^ (doc.view(np.uint64) * np.uint64(_MULTIPLIERS[0]))) + (
+    mixed = (h.view(np.uint64) ^ (row.view(np.uint64) * np.uint64(_MULTIPLIERS[0]))) + (
         pos.astype(np.uint64) * np.uint64(_MULTIPLIERS[1]))
     mixed ^= mixed >> np.uint64(31)
     return (mixed * np.uint64(_MULTIPLIERS[0])).view(np.int64)
@@ -91,86 +97,89 @@ def elsewhere(h: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
 def runs(batches: Iterator[pa.RecordBatch], rows_of, settle) -> Iterator[pa.RecordBatch]:
     """Gather the columns that ``rows_of`` makes of each batch to runs of at
     least RUN rows and yield what ``settle`` makes of them."""
+    kept("substring")
     held, n = [], 0
     for batch in batches:
         for cols in rows_of(batch):
             held.append(cols)
             n += len(cols[0])
             if n >= RUN:
-                yield settle([np.concatenate(c) for c in zip(*held, strict=True)])
-                held, n = [], 0
+                yield settle(_gathered(held))
+                n = 0
     if n:
-        yield settle([np.concatenate(c) for c in zip(*held, strict=True)])
+        yield settle(_gathered(held))
+
+
+def _gathered(held: list[tuple]) -> list[np.ndarray]:
+    """The columns of all parts; ``held`` is emptied."""
+    cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+    held.clear()
+    return cols
 
 
 def settle_anchors(cols: list[np.ndarray]) -> pa.RecordBatch:
-    """From (anchor, document, place, row): a row's first place of each anchor.
+    """From (anchor, document, row, place): a row's first place of each anchor.
     A known repeat has -1 - pos for its position, and all but one of these are
     dealt elsewhere."""
-    order = np.lexsort((cols[2], cols[3], cols[1], cols[0]))
-    h, doc, pos, row = (c[order] for c in cols)
+    order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
+    h, doc, row, pos = (c[order] for c in cols)
     new = np.r_[True, h[1:] != h[:-1]]
-    once = new | np.r_[True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]
-    h, doc, pos, new = (c[once] for c in (h, doc, pos, new))
+    once = new | np.r_[True, row[1:] != row[:-1]]
+    h, doc, row, pos, new = (c[once] for c in (h, doc, row, pos, new))
     first = np.flatnonzero(new)
     sizes = np.diff(np.r_[first, len(h)])
     shared = np.repeat(doc[first] != doc[first + sizes - 1], sizes)
     away = shared & ~new
-    h[away] = elsewhere(h[away], doc[away], pos[away])
+    h[away] = elsewhere(h[away], row[away], pos[away])
     pos[shared] = -1 - pos[shared]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, doc, pos)], schema=_ANCHORS)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, doc, row, pos)], schema=_ANCHORS)
 
 
 def settle_windows(cols: list[np.ndarray]) -> pa.RecordBatch:
     """A window known to go has -1 - pos for its position.  Of the others all
-    are rows of the run's least id.  A text's first place of a window counts."""
-    order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
-    h1, h2, doc, th, pos = (c[order] for c in cols)
+    are rows of the run's least id.  A row's first place of a window counts."""
+    order = np.lexsort((cols[4], cols[3], cols[2], cols[1], cols[0]))
+    h1, h2, doc, row, pos = (c[order] for c in cols)
     new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
-    once = new | np.r_[True, (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])]
-    h1, h2, doc, th, pos, new = (c[once] for c in (h1, h2, doc, th, pos, new))
+    once = new | np.r_[True, row[1:] != row[:-1]]
+    h1, h2, doc, row, pos, new = (c[once] for c in (h1, h2, doc, row, pos, new))
     first = np.flatnonzero(new)
     sizes = np.diff(np.r_[first, len(h1)])
     gone = doc > np.repeat(doc[first], sizes)
-    h1[gone] = elsewhere(h1[gone], doc[gone], pos[gone])
+    h1[gone] = elsewhere(h1[gone], row[gone], pos[gone])
     pos[gone] = -1 - pos[gone]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (h1, h2, doc, th, pos)],
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (h1, h2, doc, row, pos)],
                                       schema=_WINDOWS)
 
 
-def anchors(docs: DataFrame) -> DataFrame:
-    """``h, doc_id, pos``: the anchors of each document (``doc_id, text``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = itertools.count()
-
-        def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
-            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)),
-                                 strict=True):
-                words = word_hashes(text.split()) if doc is not None else ()
-                if len(words) >= WINDOW:
-                    at = cover_positions(len(words))
-                    yield (run_hashes(words, ANCHOR, at).view(np.int64),
-                           np.full(len(at), doc, np.int64), at.astype(np.int32),
-                           np.full(len(at), next(rows), np.int64))
+def anchors(rows: DataFrame) -> DataFrame:
+    """``h, doc_id, row, pos``: the anchors of each row (``row, doc_id, text``)."""
 
-        return runs(batches, rows_of, settle_anchors)
-
-    return docs.mapInArrow(run, "h long, doc_id long, pos int")
-
-
-def candidate_windows(docs: DataFrame) -> DataFrame:
-    """``h1, h2, doc_id, th, pos`` of the windows that hold a kept anchor, for
-    rows with ``doc_id, th, text, at``: ``at`` lists the kept anchors'
+    def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for row, doc, text in zip(batch.column("row").to_pylist(),
+                                  batch.column("doc_id").to_pylist(),
+                                  texts_of(batch.column("text")), strict=True):
+            words = word_hashes(text.split()) if doc is not None else ()
+            if len(words) >= WINDOW:
+                at = cover_positions(len(words))
+                yield (run_hashes(words, ANCHOR, at).view(np.int64),
+                       np.full(len(at), doc, np.int64), np.full(len(at), row, np.int64),
+                       at.astype(np.int32))
+
+    return rows.select("row", "doc_id", "text").mapInArrow(
+        lambda x: runs(x, rows_of, settle_anchors), "h long, doc_id long, row long, pos int")
+
+
+def candidate_windows(rows: DataFrame) -> DataFrame:
+    """``h1, h2, doc_id, row, pos`` of the windows that hold a kept anchor, for
+    rows with ``row, doc_id, text, at``: ``at`` lists the kept anchors'
     positions, the first of each in the text; others of its positions are found
-    by their hashes.  Positions of another text of the id do no harm."""
+    by their hashes."""
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for doc, th, text, places in zip(
-                batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(),
+        for row, doc, text, places in zip(
+                batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(),
                 texts_of(batch.column("text")), batch.column("at"), strict=True):
-            if doc is None:
-                continue
             words = word_hashes(text.split())
             at = cover_positions(len(words))
             anchor = run_hashes(words, ANCHOR, at)
@@ -179,45 +188,52 @@ def candidate_windows(docs: DataFrame) -> DataFrame:
             starts = starts[(starts >= 0) & (starts <= len(words) - WINDOW)]
             yield (run_hashes(words, WINDOW, starts, 0).view(np.int64),
                    run_hashes(words, WINDOW, starts, 1).astype(np.uint32).view(np.int32),
-                   np.full(len(starts), doc, np.int64), np.full(len(starts), th, np.int32),
+                   np.full(len(starts), doc, np.int64), np.full(len(starts), row, np.int64),
                    starts.astype(np.int32))
 
-    return docs.mapInArrow(lambda x: runs(x, rows_of, settle_windows),
-                           "h1 long, h2 int, doc_id long, th int, pos int")
+    return rows.select("row", "doc_id", "text", "at").mapInArrow(
+        lambda x: runs(x, rows_of, settle_windows),
+        "h1 long, h2 int, doc_id long, row long, pos int")
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> DataFrame:
-    """``k, doc_id, th, text`` of all rows (and all other columns as the struct
-    ``rest``), dealt by ``k``: the id, or for a null id the text's hash.
-    ``th`` tells the texts of one id apart."""
-    cols = [F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-            F.hash(F.col(f"`{text_col}`")).alias("th"),
+    """``row, doc_id, text`` of all rows (and all other columns as the struct
+    ``rest``), written in buckets of ``row``, a number of its own for each row.
+
+    The bucketed table is known to the session by name only until it is read."""
+    cols = [F.monotonically_increasing_id().alias("row"),
+            F.col(f"`{id_col}`").cast("long").alias("doc_id"),
             F.col(f"`{text_col}`").cast("string").alias("text")]
     if rest:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
                     .alias("rest"))
-    return (docs.select(F.coalesce(cols[0], F.xxhash64(cols[2])).alias("k"), *cols).repartition("k"))
-
-
-def repeated_windows(docs: DataFrame, spread: DataFrame) -> DataFrame:
-    """``k, th, starts``: per row, the starts of its windows that also start in
-    a document with a smaller id.  ``docs`` is (doc_id, text), ``spread`` the
-    same rows dealt by id.  Either step's result is written, and its shuffle
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with cleaned(spark):
+        name = write_bucketed(docs.select(*cols), ["row"], buckets, "numbered_texts")
+    rows = read_bucketed(spark, name)
+    spark.sql(f"DROP TABLE {name}")         # an external table: its files stay
+    return rows
+
+
+def repeated_windows(rows: DataFrame) -> DataFrame:
+    """``row, starts``: the starts of the row's windows that also start in a
+    document with a smaller id.  Either step's result is written, and its shuffle
     files go before the next."""
     by_anchor, by_window = Window.partitionBy("h"), Window.partitionBy("h1", "h2")
     place = F.when(F.col("pos") < 0, -1 - F.col("pos")).otherwise(F.col("pos"))
-    kept = saved(
-        anchors(docs)
-            .select("doc_id", "pos", F.min("doc_id").over(by_anchor).alias("lo"),
+    found = saved(
+        anchors(rows)
+            .select("row", "pos", F.min("doc_id").over(by_anchor).alias("lo"),
                     F.max("doc_id").over(by_anchor).alias("hi"),
                     F.min("pos").over(by_anchor).alias("known"))
             .where("lo < hi OR known < 0")
-            .groupBy(F.col("doc_id").alias("k")).agg(F.collect_set(place).alias("at")), "anchors")
+            .groupBy("row").agg(F.collect_set(place).alias("at")), "anchors")
     return saved(
-        candidate_windows(spread.join(kept, "k"))
+        candidate_windows(rows.join(found, "row"))
             .withColumn("lo", F.min("doc_id").over(by_window))
             .where("lo < doc_id OR pos < 0")
-            .groupBy(F.col("doc_id").alias("k"), "th").agg(F.collect_set(place).alias("starts")),
+            .groupBy("row").agg(F.collect_set(place).alias("starts")),
         "repeats")
 
 
@@ -253,16 +269,15 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             out = [[], [], []]
             for text, starts in zip(texts_of(batch.column("text")), batch.column("starts"),
                                     strict=True):
-                kept, n = kept_words(text, starts)
-                for col, x in zip(out, (n, n - len(kept),
-                                        hashlib.sha256(b" ".join(kept)).hexdigest()), strict=True):
+                left, n = kept_words(text, starts)
+                for col, x in zip(out, (n, n - len(left),
+                                        hashlib.sha256(b" ".join(left)).hexdigest()), strict=True):
                     col.append(x)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(x) for x in out]], schema=schema)
 
-    spread = dealt(docs, id_col, text_col)
-    found = repeated_windows(id_and_text(docs, id_col, text_col), spread)
-    return (spread.join(found, ["k", "th"], "left").select("doc_id", "text", "starts")
+    rows = dealt(docs, id_col, text_col)
+    return (rows.join(repeated_windows(rows), "row", "left").select("doc_id", "text", "starts")
             .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
 
 
@@ -284,9 +299,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 [batch.column("rest"), pa.array(out, pa.binary()).cast(pa.string())],
                 names=["rest", "text"])
 
-    spread = dealt(docs, id_col, text_col, rest=True)
-    found = repeated_windows(id_and_text(docs, id_col, text_col), spread)
-    joined = spread.join(found, ["k", "th"], "left").select("rest", "text", "starts")
+    rows = dealt(docs, id_col, text_col, rest=True)
+    joined = rows.join(repeated_windows(rows), "row", "left").select("rest", "text", "starts")
     left = joined.mapInArrow(run, joined.select("rest", "text").schema)
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c)
                          for c in docs.columns])

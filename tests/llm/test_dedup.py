@@ -160,14 +160,38 @@ def test_runs_settle_what_they_can():
     h = np.array([5, 5, 5, 9, 9, 4], np.int64)
     doc = np.array([2, 1, 1, 3, 3, 8], np.int64)
     pos = np.array([0, 1, 2, 3, 4, 5], np.int32)
-    out = substring.settle_anchors([h, doc, pos, doc.astype(np.int32)]).to_pydict()
+    out = substring.settle_anchors([h, doc, doc, pos]).to_pydict()
     assert sorted(zip(out["doc_id"], out["pos"], strict=True)) == [(1, -2), (2, -1), (3, 3), (8, 5)]
     assert out["h"].count(5) == 1 and {9, 4} <= set(out["h"])
-    out = substring.settle_windows([h, pos * 0, doc, pos * 0, pos]).to_pydict()
+    out = substring.settle_windows([h, pos * 0, doc, doc, pos]).to_pydict()
     assert sorted(zip(out["doc_id"], out["pos"], strict=True)) == [(1, 1), (2, -1), (3, 3), (8, 5)]
     assert out["h1"].count(5) == 1
 
 
+def test_one_id_in_a_third_of_the_rows(spark):
+    """Its texts are dealt out by their rows, equal ones too, and texts move once."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = [(7, " ".join(rng.choices("abcdefgh", k=25)) + (f" {passage}" if k % 3 else ""))
+            for k in range(60)]
+    rows += [(7, f"{passage} all the same text again and again, word for word, so it is")] * 40
+    rows += [(k, f"own{k} words {passage} and more{k}") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert removed_rows(df) == want_rows(df)
+    dealt = substring.dealt(df, "doc_id", "text")
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.5 * len(rows) and dealt.select("row").distinct().count() == len(rows)
+    at = dealt.select("row").limit(9).withColumn("at", F.array(F.lit(0)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = dealt.join(at, "row")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    texts = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(texts) <= 2 and "text#" not in "".join(texts) and "bucket" in plan.lower()
+
+
 def test_a_document_of_one_word_over_and_over(spark):
     rows = [(3, "la " * 4000), (1, "la " * 40 + "end"), (2, "x " + "la " * 12), (9, "la " * 13),
             (4, "a b " * 500), (5, "b a " * 300 + "c")]
