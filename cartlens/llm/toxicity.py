@@ -2,9 +2,11 @@
 
 A text is folded: compatibility forms and look-alike letters of other scripts
 become plain ones, digits and signs that stand in for letters become these,
-case goes, and what is left is words parted by single spaces.  An Aho-Corasick
-automaton finds the lexicon's words and word beginnings in it in one pass.
-Hits inside an exception phrase do not count; of hits that begin at one place
+case goes, and what is left is words parted by single spaces.  Digits and signs
+at a word's end may be letters or not (``a55``, ``idiot99``): the word is read
+without them, and where that is no hit, with them.  An Aho-Corasick automaton
+finds the lexicon's words and word beginnings in it in one pass; l and i, which
+1, ! and | stand for alike, are one letter to it.  Hits inside an exception phrase do not count; of hits that begin at one place
 the heaviest does.  The sum of the weights, alone and by length, goes through
 a logistic curve: the score, from 0 to 1.
 
@@ -15,8 +17,10 @@ chance alone, not on the number of documents: a word of one language or topic
 enters however small that one's part is.  A phrase of two words around such a word, which
 several other documents and no toxic one have, becomes an exception.  Learning
 takes at most ``SAMPLE`` labelled documents of each class, chosen by a hash of
-their ids, so that the ids can be broadcast; the share of toxic labels is taken
-from all of them.  Scoring reads every text whole.
+their ids, so that the ids can be broadcast, and one text of each id; the share of
+toxic labels is taken from all of them.  All entries and exceptions that pass the
+tests are kept: as each needs ``SUPPORT`` documents of the sample, that bounds
+them.  Scoring reads every text whole.
 
 Cases: a null or empty text has no hits and gets the score of such a text.
 Labels whose doc_id or class is null are left out; of several for one id the
@@ -40,13 +44,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import id_and_text, ready, saved
+from cartlens.llm.common import id_and_text, kept, ready, saved
 
 #: Labelled documents of each class that the lexicon is learned from, at most.
 SAMPLE = 20_000
-#: Entries and exception phrases of a lexicon, at most.
-ENTRIES = 4_000
-PHRASES = 500
 #: Toxic documents that must have an entry; entries that may be expected by mere
 #: chance among all terms counted; the least weight (a ratio of 5).
 SUPPORT = 5
@@ -67,23 +68,55 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
                "@": "a", "$": "s", "!": "i", "|": "i"}
 
 _FROM_OTHERS = str.maketrans(HOMOGLYPHS)
-_STAND_IN = re.compile(r"[013457890@$](?=[^\W\d_])|(?<=[^\W\d_])[013457890@$]|"
-                       r"(?<=[^\W\d_])[!|](?=[^\W\d_])")
+_LETTERS = str.maketrans(SUBSTITUTES)
+#: A run of letters and substitutes that has a substitute.
+_RUN = re.compile(r"(?<![^\W\d_])[^\W\d_]*[013457890@$!|](?:[^\W\d_]|[013457890@$!|])*")
 _SIGNS = re.compile(r"[0-9@$!|]")
 _WORDS = re.compile(r"[^\W\d_]+")
-
-
-def fold(text: str) -> str:
-    """``" word word "``: the folded words, parted and enclosed by spaces."""
+#: A letter that marks the second reading of the word before.
+_SECOND = "\ua7ff"
+
+
+def _stood_in(match: re.Match) -> str:
+    """A run with its substitutes read as letters: without those at its end, and
+    then, marked, with them.  A run without a letter stays."""
+    run = match[0].lstrip("!|")
+    word = run.rstrip("013457890@$!|")
+    if not _WORDS.search(word):
+        return match[0]
+    tail = run[len(word):]
+    if not tail.strip("!"):
+        return word.translate(_LETTERS) + tail
+    return f"{word.translate(_LETTERS)} {_SECOND}{run.translate(_LETTERS)} "
+
+
+def readings(text: str) -> tuple[str, list[tuple[int, str]]]:
+    """``" word word "``, the folded words, parted and enclosed by spaces; and the
+    second readings of some: (place of the space before the word, reading)."""
     if not text.isascii():
         if not unicodedata.is_normalized("NFKC", text):
             text = unicodedata.normalize("NFKC", text)
-        text = text.lower().translate(_FROM_OTHERS)
+        text = text.replace(_SECOND, " ").lower().translate(_FROM_OTHERS)
     else:
         text = text.lower()
     if _SIGNS.search(text):
-        text = _STAND_IN.sub(lambda m: SUBSTITUTES[m[0]], text)
-    return f" {' '.join(_WORDS.findall(text))} "
+        text = _RUN.sub(_stood_in, text)
+    words = _WORDS.findall(text)
+    if _SECOND not in text:
+        return f" {' '.join(words)} ", []
+    first, second, place, at = [], [], 0, 0
+    for w in words:
+        if w[0] == _SECOND:
+            second.append((place, w[1:]))
+        else:
+            first.append(w)
+            place, at = at, at + len(w) + 1
+    return f" {' '.join(first)} ", second
+
+
+def fold(text: str) -> str:
+    """``" word word "``: the folded words, parted and enclosed by spaces."""
+    return readings(text)[0]
 
 
 @dataclass
@@ -107,12 +140,10 @@ class Matcher:
         entries: dict[str, list] = {}
         for pattern, weight in [*[(f" {w} ", x) for w, x in lexicon.words.items()],
                                 *[(f" {s}", x) for s, x in lexicon.stems.items()]]:
-            # A folded "1" is an i, so an entry with l is met in that spelling too.
-            for spelling in {pattern, pattern.replace("l", "i")}:
-                found = entries.setdefault(spelling, [0.0, False])
-                found[0] = max(found[0], weight)
+            found = entries.setdefault(pattern.replace("l", "i"), [0.0, False])
+            found[0] = max(found[0], weight)
         for phrase in lexicon.exceptions:
-            entries.setdefault(fold(phrase), [0.0, False])[1] = True
+            entries.setdefault(fold(phrase).replace("l", "i"), [0.0, False])[1] = True
         self.automaton = ahocorasick.Automaton()
         for pattern, (weight, excuse) in entries.items():
             self.automaton.add_word(pattern, (len(pattern), weight, excuse))
@@ -120,26 +151,32 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not entries
 
-    def hits(self, folded: str) -> dict[int, float]:
+    def hits(self, folded: str, second: Iterable[tuple[int, str]] = ()) -> dict[int, float]:
         """Weight by the place (of the space) before the word that is hit."""
         found: dict[int, float] = {}
         if self.empty:
             return found
         excused = []
-        for end, (size, weight, excuse) in self.automaton.iter(folded):
+        for end, (size, weight, excuse) in self.automaton.iter(folded.replace("l", "i")):
             start = end - size + 1
             if weight > found.get(start, 0.0):
                 found[start] = weight
             if excuse:
                 excused.append((start, end))
+        for place, word in second:
+            if place not in found:
+                weight = max((w for end, (size, w, _) in self.automaton.iter(
+                    f" {word} ".replace("l", "i")) if end == size - 1), default=0.0)
+                if weight:
+                    found[place] = weight
         for a, b in excused:
             for start in [s for s in found if a <= s < b]:
                 del found[start]
         return found
 
     def features(self, text: str) -> tuple[float, float]:
-        folded = fold(text)
-        total = sum(self.hits(folded).values())
+        folded, second = readings(text)
+        total = sum(self.hits(folded, second).values())
         if not total:
             return 0.0, 0.0
         return math.log1p(total), math.log1p(100 * total / (folded.count(" ") - 1))
@@ -152,17 +189,14 @@ class Matcher:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, a + b * x + c * y))))
 
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
 def _matcher(lexicon: Lexicon) -> Matcher:
     """The worker's matcher; the last few lexicons' automata are kept."""
-    key = repr(lexicon)
-    if key not in _MATCHERS:
-        if len(_MATCHERS) >= 4:
-            _MATCHERS.clear()
-        _MATCHERS[key] = lexicon.matcher()
-    return _MATCHERS[key]
+    matchers, key = kept("toxicity"), repr(lexicon)
+    if key not in matchers:
+        if len(matchers) >= 4:
+            matchers.clear()
+        matchers[key] = lexicon.matcher()
+    return matchers[key]
 
 
 def score_column(lexicon: Lexicon, text: Column) -> Column:
@@ -186,13 +220,16 @@ def terms(folded: str) -> set[str]:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, label_col: str, sample: int) -> DataFrame:
-    """``text, toxic`` of the sampled labelled documents, written out."""
+    """``text, toxic`` of the sampled labelled documents, written out.  Of rows
+    with one id the least text counts."""
     ids = (labels.groupBy("doc_id").agg(F.max(label_col).alias("toxic"))
            .withColumn("_h", F.xxhash64("doc_id")))
     pick = lambda y: (ids.where(F.col("toxic") == y).orderBy("_h", "doc_id")
                       .limit(sample).select("doc_id", "toxic"))
     picked = saved(pick(1).unionByName(pick(0)), "toxic-ids")
-    return saved(docs.join(F.broadcast(picked), "doc_id").select("text", "toxic"), "toxic-sample")
+    return saved(docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id")
+                 .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+                 .select("text", "toxic"), "toxic-sample")
 
 
 def _counted(sample: DataFrame, make, least: int) -> DataFrame:
@@ -246,7 +283,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     least = math.log(max(1, counted.count()) / BY_CHANCE)
     rows = (counted.where((F.col("pos") >= SUPPORT) & (_surprise(n_pos, n_neg) >= least))
             .withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT)
-            .orderBy(F.desc(F.col("weight") * F.col("pos")), "term").limit(ENTRIES).collect())
+            .orderBy("term").collect())
     lexicon = _without_implied({r["term"]: (r["weight"], r["pos"]) for r in rows})
     lexicon.exceptions = (*exceptions, *_phrases(data, lexicon))
     lexicon.curve = _curve(data, lexicon, float(share))
@@ -291,8 +328,7 @@ def _phrases(data: DataFrame, lexicon: Lexicon) -> list[str]:
                            if a >= 0 and a + 2 <= len(words))
         return out
 
-    rows = (_counted(data, around, SUPPORT).where("pos = 0").orderBy(F.desc("neg"), "term")
-            .limit(PHRASES).collect())
+    rows = _counted(data, around, SUPPORT).where("pos = 0").orderBy("term").collect()
     return [r["term"] for r in rows]
 
 
