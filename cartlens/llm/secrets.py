@@ -14,7 +14,10 @@ is no rule's candidate is read by the full-scan rules only.
 
 A match's place is found without a user function: splitting at the expression
 gives the texts between the matches, extracting gives the matches, and the
-running sum of their lengths gives starts and ends, in code points.
+running sum of their lengths gives starts and ends, in code points.  Running sums
+and maxima take log n rounds over the array, and a text is cut by way of blocks of
+``BLOCK`` code points, so that the work grows with a text and its matches, not with
+their product.
 
 Cases: a null or empty text has no match.  Rows with one id are indexed
 together, so each is a candidate if any of them is, and is verified by its own
@@ -24,7 +27,9 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import re._parser as regex_parser
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -71,6 +76,8 @@ RULES = (*BASE, *MORE)
 #: A class of at most so many characters is spelled out, and so many strings
 #: may stand for one run.
 CLASS_SIZE, RUN_SIZE = 6, 64
+#: Code points of a block in which a long text is cut.
+BLOCK = 256
 
 
 def _conj(parts: list[Query]) -> Query:
@@ -154,13 +161,21 @@ def _key(id_col: Column, text: Column) -> Column:
     return F.coalesce(id_col.cast("long"), F.xxhash64(text))
 
 
+def any_of(trigrams: list[str]) -> str:
+    """An expression that finds, in one pass and at every place of a text, the
+    trigram that begins there (group 1)."""
+    by: dict[str, list[str]] = {}
+    for t in sorted(trigrams):
+        by.setdefault(t[0], []).append(re.escape(t[1:]))
+    return "(?=(" + "|".join(f"{re.escape(c)}(?:{'|'.join(r)})" for c, r in by.items()) + "))"
+
+
 def trigram_index(docs: DataFrame, wanted: list[str]) -> DataFrame:
-    """Postings ``trigram, k`` of (k, text) rows for the wanted trigrams,
-    without repeats, written as a table ordered by trigram.  Postings of one
+    """Postings ``trigram, k`` of (k, text) rows for the wanted trigrams, found
+    in one pass over each text, without repeats, written as a table ordered by trigram.  Postings of one
     trigram are dealt over many tasks by k as well: a common one is no task's
     list."""
-    low = F.lower("text")
-    here = F.array_compact(F.array(*[F.when(low.contains(t), F.lit(t)) for t in wanted]))
+    here = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(any_of(wanted)), F.lit(1)))
     return saved(docs.select("k", F.explode(here).alias("trigram")).distinct()
                  .repartitionByRange("trigram", "k").sortWithinPartitions("trigram", "k"),
                  "trigram-index")
@@ -179,25 +194,41 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return flags.select("k", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Each element joined with all before it.  In round j an element takes in
+    the 2^j elements before those that it has."""
+    def rounds(v: Column) -> Column:
+        last = F.ceil(F.log2(F.greatest(F.size(v), F.lit(2)))).cast("int")
+        shifts = F.transform(F.sequence(F.lit(0), last), lambda j: F.pow(F.lit(2), j).cast("int"))
+        return F.aggregate(shifts, v, lambda acc, d: F.transform(acc, lambda x, i: F.when(
+            i >= d, join(x, F.get(acc, i - d))).otherwise(x)))
+    return _bound(values, rounds)
+
+
 def spans_of(text: Column, rule: Rule) -> Column:
-    """The counting matches of a rule: array of (start, end, kind number 0)."""
+    """The counting matches of a rule: array of (start, end)."""
     pattern = F.lit(rule.pattern)
-    sizes = F.arrays_zip(
-        F.transform(F.split(text, rule.pattern, -1), F.length).alias("gap"),
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length).alias("size"),
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length)
-        .alias("held"))
-    kind = "array<struct<start:bigint,end:bigint>>"
-    empty = F.array().cast(kind)
-    start = lambda acc, m: acc["at"] + m["gap"]
-    step = lambda acc, m: F.struct(
-        (start(acc, m) + F.coalesce(m["size"], F.lit(0))).cast("long").alias("at"),
-        F.when(m["held"] >= rule.least, F.concat(acc["spans"], F.array(F.struct(
-            start(acc, m).alias("start"), (start(acc, m) + m["size"]).alias("end")))))
-        .otherwise(acc["spans"]).alias("spans"))
-    found = F.aggregate(sizes, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
-                        step, lambda acc: acc["spans"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(empty)
+    lengths = lambda found: F.transform(found, lambda x: F.length(x).cast("long"))
+    sizes = lengths(F.regexp_extract_all(text, pattern, F.lit(0)))
+    held = lengths(F.regexp_extract_all(text, pattern, F.lit(rule.group))) if rule.group else sizes
+    found = F.struct(lengths(F.split(text, rule.pattern, -1)).alias("gaps"), sizes.alias("sizes"),
+                     held.alias("held"))
+
+    def spans(m: Column) -> Column:
+        # Behind the last match there is a gap more.
+        steps = F.zip_with(m["gaps"], m["sizes"], lambda g, s: g + F.coalesce(s, F.lit(0)))
+        ends = _running(steps, lambda a, b: a + b)
+        rows = F.arrays_zip(ends.alias("end"), m["sizes"].alias("size"), m["held"].alias("held"))
+        return F.transform(F.filter(rows, lambda r: r["held"] >= rule.least), lambda r: F.struct(
+            (r["end"] - r["size"]).alias("start"), r["end"].alias("end")))
+
+    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    return F.when(text.rlike(rule.pattern), _bound(found, spans)).otherwise(empty)
 
 
 def _labelled(spans: Column, number: int, kind: str) -> Column:
@@ -240,20 +271,34 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "do
     spans_col = fresh(docs, "_spans")
     found = with_spans(docs, rules, id_col, text_col, spans_col)
     text, spans = F.col(f"`{text_col}`"), F.col(spans_col)
-    cut = lambda a, b: text.substr((a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
-    step = lambda acc, s: F.when(
-        s["start"] >= acc["at"],
-        F.struct(F.concat(acc["out"], cut(acc["at"], s["start"]), F.lit("["), s["kind"],
-                          F.lit("]")).alias("out"), s["end"].alias("at"))
-    ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at")))
-    done = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-                       step, lambda acc: F.concat(acc["out"], cut(
-                           acc["at"], F.length(text).cast("long"))))
+    done = _bound(F.struct(spans.alias("spans"), F.regexp_extract_all(
+        text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"),
+        _running(F.transform(spans, lambda s: s["end"]), F.greatest).alias("ends")), _replaced)
     new = F.when(F.size(spans) > 0, done).otherwise(text)
     return found.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`")
                           for c in docs.columns])
 
 
+def _replaced(v: Column) -> Column:
+    """The text in ``blocks`` with the ``spans`` replaced; ``ends`` has the greatest
+    end up to each span."""
+    def cut(a: Column, b: Column) -> Column:
+        first = F.floor(a / BLOCK).cast("int")
+        blocks = F.slice(v["blocks"], first + 1, F.floor((b - 1) / BLOCK).cast("int") - first + 1)
+        return F.when(b > a, F.array_join(blocks, "").substr(
+            (a - first * BLOCK + 1).cast("int"), (b - a).cast("int"))).otherwise("")
+
+    def piece(s: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(v["ends"], i - 1)).otherwise(0)
+        return F.when(s["start"] >= before, F.concat(cut(before, s["start"]), F.lit("["), s["kind"],
+                                                     F.lit("]"))).otherwise("")
+
+    n = F.size(v["blocks"])
+    last = F.element_at(v["blocks"], -1)
+    return F.concat(F.array_join(F.transform(v["spans"], piece), ""), cut(
+        F.element_at(v["ends"], -1), ((n - 1) * BLOCK + F.length(last)).cast("long")))
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

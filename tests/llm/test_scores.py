@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -23,6 +24,87 @@ def test_folding():
     assert fold("Straße é") == " straße é "
 
 
+def test_substitutes_side_by_side_and_at_the_end():
+    m = toxicity.Lexicon({w: 1.0 for w in ("ass", "shit", "idiot", "killer", "worthless", "bitch")},
+                         {}, (), (0.0, 1.0, 0.0)).matcher()
+    for text in ("a55", "a$$", "sh17", "SH!T", "idiot$$$", "idiot!!!", "1d10t99", "kil1er", "k1ll3r",
+                 "worthle55", "w0r7h1e$$", "b!7ch", "$h1t", "!idiot", "a$$, b", "x a$$"):
+        assert len(m.hits(*toxicity.readings(text))) == 1, text
+        assert m.features(text) != (0.0, 0.0)
+    for text in ("a5", "55", "$$$", "1017", "as", "shi7y1", "covid19", "", "!!!", "ki11"):
+        assert m.hits(*toxicity.readings(text)) == {}, text
+    assert toxicity.fold("idiot99, 3rd a55") == " idiot erd a "
+
+
+def slow_score(lexicon, text):
+    """The score by comparing every word with every entry."""
+    folded, second = toxicity.readings(text)
+    plain = lambda w: w.replace("l", "i")
+    words = plain(folded).split()
+
+    def weight(word):
+        return max([x for w, x in lexicon.words.items() if plain(w) == word]
+                   + [x for s, x in lexicon.stems.items() if word.startswith(plain(s))], default=0.0)
+
+    found = [weight(w) for w in words]
+    places = [0]
+    for w in words:
+        places.append(places[-1] + len(w) + 1)
+    for place, word in second:
+        k = places.index(place)
+        found[k] = found[k] or weight(plain(word))
+    for phrase in lexicon.exceptions:
+        part = plain(toxicity.fold(phrase)).split()
+        for k in range(len(words) - len(part) + 1):
+            if words[k:k + len(part)] == part:
+                found[k:k + len(part)] = [0.0] * len(part)
+    total, n = sum(found), len(words)
+    if not lexicon.words and not lexicon.stems and not lexicon.exceptions:
+        return lexicon.prior
+    x, y = (math.log1p(total), math.log1p(100 * total / n)) if total else (0.0, 0.0)
+    a, b, c = lexicon.curve
+    return 1 / (1 + math.exp(-max(-50.0, min(50.0, a + b * x + c * y))))
+
+
+def test_scores_equal_brute_force(spark, documents):
+    rng = random.Random(8)
+    lexicon = toxicity.Lexicon({"clown": 2.5, "fool": 1.0, "killer": 3.0, "ass": 1.5},
+                               {"vile": 2.0, "vil": 0.5, "nast": 4.0}, ("fool moon", "lady killer"),
+                               (-3.0, 1.5, 0.5))
+    parts = ["clown", "c1own", "fool", "moon", "f00l", "a55", "a$$", "lady", "KILLER", "kil1er", "vilest",
+             "v1le", "nasty!", "n@sty", "fine", "day", "2024", "x", "fools", "сlоwn"]
+    texts = [" ".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "text string")
+    got = {r["text"]: r["s"] for r in df.withColumn(
+        "s", toxicity.score_column(lexicon, F.col("text"))).collect()}
+    for t in texts:
+        assert got[t] == pytest.approx(slow_score(lexicon, t)), t
+    assert got[None] == pytest.approx(slow_score(lexicon, ""))
+
+
+def test_learned_scores_of_the_tables_equal_brute_force(spark, sf001):
+    docs, labels = (spark.read.parquet(f"{sf001}/{t}.parquet") for t in ("documents", "labels"))
+    lexicon = toxicity.learn(docs, labels.where(~toxicity.held_out()))
+    got = {r.doc_id: r.score for r in toxicity.op2_toxicity(docs, labels).collect()}
+    for r in docs.where("length(text) < 4000").collect():
+        assert got[r.doc_id] == pytest.approx(slow_score(lexicon, r.text or ""))
+
+
+def test_every_entry_that_passes_is_kept(spark):
+    """Far more significant words than any fixed number; one id has many rows."""
+    words = [f"v{a}{b}" for a in LETTERS[:100] for b in "abcdefghijklmnopqrstuvwxyzäöüéèàñçßø"[:30]]
+    rows, labels = [], []
+    for k in range(1500):
+        mine = words[k // 5 % 30 * 50:][:50] if k % 5 == 0 else []
+        rows += [(k, " ".join(["some plain words", *mine]))] * (1 if k else 300)
+        labels.append((k, int(k % 5 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    m = lexicon.matcher()
+    assert all(m.hits(toxicity.fold(w)) for w in words[:1500])
+    assert m.hits(toxicity.fold("some plain words")) == {}
+
+
 def test_matching_weights_words_stems_and_exceptions():
     m = toxicity.Lexicon({"clown": 2.0, "fool": 1.0}, {"lowe": 3.0}, ("fool moon",),
                          (-4.0, 1.0, 2.0)).matcher()
@@ -198,6 +280,35 @@ def test_redaction(leaks):
             "[assign]' [slack]", "[private_key]", None, "", "nothing to see"} <= texts
 
 
+def test_many_matches_in_one_text_take_linear_time(spark):
+    import time
+    hashes = " ".join(f"{k:016x}" for k in range(200_000))
+    df = spark.createDataFrame([(1, hashes), (2, "token=abcdefghijklmnop é")], "doc_id long, text string")
+    begun = time.perf_counter()
+    rows = {r.doc_id: r for r in secrets.op9_secrets(df).collect()}
+    left = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert time.perf_counter() - begun < 60
+    assert rows[1].n_hex == 200_000 and rows[1].spans.endswith("hex:3399983:3399999")
+    assert left == {1: " ".join(["[hex]"] * 200_000), 2: "[assign] é"}
+
+
+def test_redacted_texts_of_many_blocks(spark):
+    rng = random.Random(5)
+    parts = ["é", "😀", " ", "a1b2c3d4e5f60718", "token=", "0123456789abcdef", "AKIA", "ABCDEFGHIJKLMNOP",
+             "字" * 300, "x" * 255, "\n", "secret: "]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(150)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("doc_id", F.lit(1))
+    kinds = ("assign", "access", "hex")
+    for r in secrets.redacted(df.withColumn("was", F.col("text")), secrets.BASE).collect():
+        out, at = [], 0
+        spans = slow_spans(r.was)
+        for a, n, b in spans:
+            if a >= at:
+                out += [r.was[at:a], f"[{kinds[n]}]"]
+            at = max(at, b)
+        assert r.text == "".join([*out, r.was[at:]])
+
+
 def test_trigram_queries():
     query = secrets.trigram_query
     assert query("[0-9a-f]{16,}") is True and query("a?b") is True and query("abc|x+") is True
