@@ -20,13 +20,12 @@ with their nodes' edges:
 * after the edit, on the word's own letters alone.
 
 Behind each edge a mask has one bit by the hash of every word there, and a state
-whose word's bit is not set ends at once.  A state after its edit with one word left
-below is settled by comparing that word; one with at most ``FEW`` words goes to the terminal test at once, by a join
-of the word it would become with the words.  The others walk on.  A terminal state
-after one edit is a pair of neighbours.  Each level is written
-to the shared folder, so no lineage grows.  States at one node share a join key;
-the node's side is one row of it, so adaptive execution splits a hot node's
-states over tasks.
+whose word's bit is not set ends at once.  A state after its edit with at most
+``FEW`` words below goes to the terminal test: is the word that it would become one
+of the words?  The others walk on.  A terminal state after one edit is a pair of
+neighbours.  Each level is written to the shared folder, so no lineage grows.
+States at one node share a join key; the node's side is one row of it, so adaptive
+execution splits a hot node's states over tasks.
 
 Words longer than ``TRIE_LETTERS`` would need one join per letter; they are
 compared by hashes of the word with each letter left out, and pairs that share
@@ -136,40 +135,43 @@ def _turned(words: DataFrame) -> DataFrame:
 def tries(words: DataFrame) -> DataFrame:
     """``dir, node, depth, edges``: nodes with at least two words below, from half
     of each word's length on.  An edge has the letter ``c`` (empty where a word
-    ends at the node), the number ``n`` of words behind it, the least of them, and a
-    ``mask`` of one bit by the hash of each: a word whose bit is not set is not there.
+    ends at the node), the number ``n`` of words behind it, the least of their
+    hashes, and a ``mask`` of one bit by each hash: a word whose bit is not set is not
+    there.
     ``dir`` is 0 for the words, 1 for the reversed words."""
     both = _turned(words)
-    steps = both.select("dir", "s", F.explode(F.sequence("k", F.length("s"))).alias("depth"))
-    edges = (steps.select("dir", F.expr("substring(s, 1, depth)").alias("node"), "depth",
-                          F.expr("substring(s, depth + 1, 1)").alias("c"), "s")
-             .groupBy("dir", "node", "depth", "c")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("one"),
-                  F.bit_or(F.expr(_BIT.format("s"))).alias("mask")))
-    return (edges.groupBy("dir", "node", "depth")
+    steps = both.select("dir", "s", F.xxhash64("s").alias("h"),
+                        F.explode(F.sequence("k", F.length("s"))).alias("depth"))
+    # Counts, hashes and masks only: the edges' sums stay in a hash aggregate.
+    edges = (steps.select("dir", F.expr("substring(s, 1, depth)").alias("node"),
+                          F.expr("substring(s, depth + 1, 1)").alias("c"), "h")
+             .groupBy("dir", "node", "c")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("one"),
+                  F.bit_or(F.expr(_BIT.format("h"))).alias("mask")))
+    return (edges.groupBy("dir", "node")
             .agg(F.collect_list(F.struct("c", "n", "one", "mask")).alias("edges"),
                  F.sum("n").alias("n"))
-            .where(F.col("n") > 1).drop("n"))
+            .where(F.col("n") > 1).drop("n").withColumn("depth", F.length("node")))
 
 
-#: One of 64 bits by a word's hash.
-_BIT = "shiftleft(1L, CAST(pmod(xxhash64({}), 64) AS INT))"
+#: One of 64 bits by a hash.
+_BIT = "shiftleft(1L, CAST(pmod({}, 64) AS INT))"
 #: A state is (dir, s, y, k): the word ``s``, the word ``y`` that its edit makes of
-#: it (null: no edit yet), and the node ``k`` letters down.  What an edge leads to:
-#: the state, and whether the words behind the edge (n, one) leave it open.
+#: it (null: no edit yet), and the node ``k`` letters down.  ``a`` and ``b`` are the
+#: word's letters there and behind, ``d`` is the letter of ``y``.  An edge leads on:
+#: by the letter of ``y``, by the own one, or by one that replaces it; and by the
+#: letter behind, the own one left out.
 _NEXT = """concat(
-  transform(filter(edges, e -> y IS NOT NULL AND e.c = substring(y, k + 1, 1)),
-    e -> named_struct('y', y, 'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)),
-  transform(filter(edges, e -> y IS NULL AND e.c > substring(s, k + 1, 1) AND k < length(s)),
-    e -> named_struct('y', concat(substring(s, 1, k), e.c, substring(s, k + 2)),
+  transform(
+    filter(edges, e -> IF(y IS NOT NULL, e.c = d,
+                          a <> '' AND (e.c > a OR e.c = a AND e.n > 1))),
+    e -> named_struct('y', CASE WHEN y IS NOT NULL THEN y
+                                WHEN e.c <> a THEN concat(head, e.c, tail) END,
                       'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)),
-  transform(filter(edges, e -> y IS NULL AND k < length(s) AND e.c = substring(s, k + 2, 1)
-                               AND e.c <> substring(s, k + 1, 1)),
-    e -> named_struct('y', concat(substring(s, 1, k), substring(s, k + 2)),
-                      'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)),
-  transform(filter(edges, e -> y IS NULL AND k < length(s) AND e.c = substring(s, k + 1, 1)
-                               AND e.n > 1),
-    e -> named_struct('y', CAST(NULL AS string), 'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)))"""
+  transform(
+    filter(edges, e -> y IS NULL AND a <> '' AND e.c = b AND b <> a),
+    e -> named_struct('y', concat(head, tail),
+                      'k', k + 1, 'n', e.n, 'one', e.one, 'mask', e.mask)))"""
 
 
 def trie_pairs(words: DataFrame) -> DataFrame:
@@ -179,15 +181,20 @@ def trie_pairs(words: DataFrame) -> DataFrame:
     open_ = _turned(words).select("dir", "s", F.lit(None).cast("string").alias("y"), "k")
     found, level = [], 0
     while True:
-        at = open_.withColumn("node", F.expr("substring(coalesce(y, s), 1, k)"))
+        at = open_.withColumns({c: F.expr(x) for c, x in {
+            "node": "substring(coalesce(y, s), 1, k)", "a": "substring(s, k + 1, 1)",
+            "b": "substring(s, k + 2, 1)", "d": "substring(y, k + 1, 1)"}.items()})
         step = (at.join(nodes.where(F.col("depth") >= level), ["dir", "node"])
+                .withColumns({"head": F.expr("substring(s, 1, k)"),
+                              "tail": F.expr("substring(s, k + 2)")})
                 .select("dir", "s", F.explode(F.expr(_NEXT)).alias("next")).select("dir", "s", "next.*")
-                .where(f"y IS NULL OR (n > 1 OR one = y) AND (mask & {_BIT.format('y')}) <> 0")
-                .select("dir", "s", "y", "k", F.when(F.col("y").isNotNull() & (F.col("n") <= FEW),
-                                                     F.col("n") == 1).alias("sure")))
+                .withColumn("h", F.xxhash64("y"))
+                .where(f"y IS NULL OR (n > 1 OR one = h) AND (mask & {_BIT.format('h')}) <> 0")
+                .select("dir", "s", "y", "k", (F.col("y").isNotNull() & (F.col("n") <= FEW))
+                        .alias("ended")))
         states = saved(step, "frontier")
-        found.append(states.where("sure IS NOT NULL").drop("k"))
-        open_ = states.where("sure IS NULL").drop("sure")
+        found.append(states.where("ended").select("dir", "s", "y"))
+        open_ = states.where("NOT ended").drop("ended")
         level += 1
         if open_.isEmpty():
             break
@@ -195,10 +202,9 @@ def trie_pairs(words: DataFrame) -> DataFrame:
     for more in found[1:]:
         ended = ended.unionByName(more)
     turned = [F.when(F.col("dir") == 1, F.reverse(c)).otherwise(F.col(c)) for c in ("s", "y")]
-    ended = ended.select(turned[0].alias("word"), turned[1].alias("other"), "sure")
-    tested = ended.where("NOT sure").join(words.select(F.col("word").alias("other")), "other",
-                                          "left_semi")
-    return ended.where("sure").select("word", "other").unionByName(tested.select("word", "other"))
+    return (ended.select(turned[0].alias("word"), turned[1].alias("other"))
+            .join(words.select(F.col("word").alias("other")), "other", "left_semi")
+            .select("word", "other"))
 
 
 def long_pairs(words: DataFrame) -> DataFrame:
