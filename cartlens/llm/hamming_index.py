@@ -21,7 +21,9 @@ finds fewer than it asks for within the radius is asked again without one.
 
 Rows and queries are dealt in blocks of bounded size; a task holds the index of
 one block of rows and answers one block of queries.  It passes on no more than k
-rows a query, and these are merged.  Nothing is broadcast but the codebook.
+rows a query, and these are merged.  Nothing is broadcast but the codebook.  Rows
+are copied once for every ``QUERY_BLOCK`` queries and queries once for every
+``ROW_BLOCK`` rows; smaller tables are cut into more blocks, for all cores to work.
 
 Cases: vectors that are null, zero or hold a null or non-finite component take
 no part, nor do rows without an id or vectors of another length than the most
@@ -45,7 +47,9 @@ ROTATIONS = 4
 SAMPLE = 4_096
 SAMPLE_QUERIES = 512
 COVERAGE = 0.95
-ROW_BLOCK, QUERY_BLOCK = 8_192, 4_096
+ROW_BLOCK, QUERY_BLOCK = 65_536, 32_768
+#: A block of rows is not cut further below this.
+SMALL_BLOCK = 4_096
 #: Queries of a block that are answered at once, and pairs ranked at once.
 AT_ONCE, PAIRS = 64, 1 << 18
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -188,7 +192,9 @@ def nearest(rows: DataFrame, is_query, k: int = 20, id_col: str = "vec_id",
     # A row's number within its part of the table deals rows out evenly.
     number = F.monotonically_increasing_id()
     asked = base.where(is_query)
-    n_rows, n_asked = -(-n // ROW_BLOCK), max(1, -(-asked.count() // QUERY_BLOCK))
+    n_asked = max(1, -(-asked.count() // QUERY_BLOCK))
+    wanted = 2 * spark.sparkContext.defaultParallelism // n_asked
+    n_rows = max(-(-n // ROW_BLOCK), min(wanted, -(-n // SMALL_BLOCK)))
     row_blocks = (base.withColumn("a", number % n_rows)
                   .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1)))))
     query_blocks = (asked.withColumn("b", (number % n_asked).cast("int"))
