@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 #: Batches whose progress Spark keeps for a query.
 KEPT_BATCHES = 100_000
 _KEPT = "spark.sql.streaming.numRecentProgressUpdates"
-PROGRESS = ("query string, batch_id long, input_rows long, at timestamp, "
+PROGRESS = ("query string, batch_id long, input_rows long, at string, "
             "observed map<string, map<string, long>>, durations map<string, long>")
 
 
@@ -20,28 +19,20 @@ def keep_progress(spark: SparkSession, batches: int = KEPT_BATCHES) -> None:
 
 
 def progress_table(query: StreamingQuery) -> DataFrame:
-    """One row per batch of this run of the query that read rows: its number,
-    rows read, start, the counts observed in it (by ``observe`` name) and
-    milliseconds by step.
+    """One row per batch of this run of the query that read rows: ``query,
+    batch_id, input_rows, at`` (its start), the counts ``observed`` in it, by the
+    name given to ``observe``, and ``durations`` in milliseconds by step.
 
     The numbers come from the query itself; nothing is read again.  If Spark
     has dropped the run's first batches, that is an error."""
-    from pyspark.sql import functions as F
-
     spark = SparkSession.active()
-    rows, seen = [], {}
-    for p in query.recentProgress:
-        p = json.loads(p.json) if hasattr(p, "json") and not callable(p.json) else dict(p)
-        seen[p["batchId"]] = p
-    for batch_id, p in sorted(seen.items()):
-        if p["numInputRows"]:
-            observed = {name: {k: int(v) for k, v in values.asDict().items()}
-                        if hasattr(values, "asDict") else {k: int(v) for k, v in values.items()}
-                        for name, values in (p.get("observedMetrics") or {}).items()}
-            rows.append((p.get("name") or str(p["id"]), int(batch_id), int(p["numInputRows"]),
-                         p["timestamp"], observed,
-                         {k: int(v) for k, v in (p.get("durationMs") or {}).items()}))
-    if len(query.recentProgress) >= int(spark.conf.get(_KEPT, "100")):
+    updates = query.recentProgress
+    if len(updates) >= int(spark.conf.get(_KEPT, "100")):
         raise RuntimeError("the first batches are no longer known: call keep_progress earlier")
-    table = spark.createDataFrame(rows, PROGRESS.replace("at timestamp", "at string"))
+    rows = {p.batchId: (p.name or str(p.id), p.batchId, p.numInputRows, p.timestamp,
+                        {name: {k: int(v) for k, v in counts.asDict().items()}
+                         for name, counts in p.observedMetrics.items()},
+                        {k: int(v) for k, v in p.durationMs.items()})
+            for p in updates if p.numInputRows}
+    table = spark.createDataFrame(list(rows.values()), PROGRESS)
     return table.withColumn("at", F.to_timestamp("at"))
