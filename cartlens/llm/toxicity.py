@@ -54,6 +54,8 @@ SUPPORT = 5
 BY_CHANCE = 1.0
 LEAST_WEIGHT = math.log(5)
 STEMS = (4, 5, 6)
+#: Terms that a task counts before it sends them on.
+HELD_TERMS = 200_000
 
 #: Letters of other scripts that look like Latin ones.
 HOMOGLYPHS = {
@@ -236,18 +238,25 @@ def _counted(sample: DataFrame, make, least: int) -> DataFrame:
     """``term, pos, neg``: documents of either class that have a term; only
     those that ``least`` documents of one class have."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pos, neg = Counter(), Counter()
-        for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                   strict=True):
-                (pos if toxic else neg).update(make(text or ""))
+    def sent(pos: Counter, neg: Counter) -> Iterator[pa.RecordBatch]:
         names = list(pos.keys() | neg.keys())
         for k in range(0, len(names), 50_000):
             part = names[k:k + 50_000]
             yield pa.RecordBatch.from_pydict({
                 "term": part, "pos": pa.array([pos[t] for t in part], pa.int64()),
                 "neg": pa.array([neg[t] for t in part], pa.int64())})
+        pos.clear()
+        neg.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pos, neg = Counter(), Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                   strict=True):
+                (pos if toxic else neg).update(make(text or ""))
+                if len(pos) + len(neg) > HELD_TERMS:
+                    yield from sent(pos, neg)
+        yield from sent(pos, neg)
 
     return (sample.mapInArrow(run, "term string, pos long, neg long").groupBy("term")
             .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
