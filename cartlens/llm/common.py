@@ -35,12 +35,40 @@ def kept(owner: str) -> dict:
     """The worker's dictionary of ``owner``.  Workers live on after an operator's
     tasks; whoever asks next empties all others' dictionaries, so a worker holds
     the memo of one operator at a time."""
-    for name, held in _KEPT.items():
-        if name != owner:
-            held.clear()
+    others = [held for name, held in _KEPT.items() if name != owner and held]
+    for held in others:
+        held.clear()
+    if others:
+        given_back()
     return _KEPT.setdefault(owner, {})
 
 
+def given_back() -> None:
+    """Return memory that the worker has freed to the system.  An allocator keeps it
+    otherwise, some hundred MB a worker, idle ones too, and an executor's memory is
+    that of its JVM and all its workers.  Arrow's allocations go to the system's
+    allocator first, which NumPy and Python use as well: so one call does for all."""
+    pool = pa.system_memory_pool()
+    pa.set_memory_pool(pool)
+    pool.release_unused()
+
+
+def light(run):
+    """A ``mapInArrow`` function that gives freed memory back before each batch and
+    at its end."""
+    def batch_by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            given_back()
+
+    def lightly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given_back()
+        yield from run(batch_by_batch(batches))
+        given_back()
+
+    return lightly
+
+
 def ready(spark: SparkSession) -> None:
     """Bound Arrow batches and send this package to the Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cartlens.llm.common import id_and_text, ready
+from cartlens.llm.common import id_and_text, light, ready
 from cartlens.llm.tokens import encoder, tokenizer_path
 
 TIERS = (1024, 512, 256, 128, 64)
@@ -176,7 +176,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
             yield from block(ids, flat, sizes, base + n_seq, base + n_step, [0, 0])
 
     def block(ids, flat, sizes, first_sequence, first_step, found) -> Iterator[pa.RecordBatch]:
-        raw = memoryview(np.concatenate(flat).astype("<u4")).cast("B")
+        raw = np.concatenate(flat)
         flat.clear()
         at = (np.cumsum(sizes) - sizes).tolist()
         sequences = pack(sizes, tiers)
@@ -186,8 +186,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
         for k, (tier, held) in enumerate(sequences):
             offset = 0
             for doc, start, n in held:
-                first = 4 * (at[doc] + start)
-                crc = zlib.crc32(raw[first:first + 4 * n])
+                first = at[doc] + start
+                crc = zlib.crc32(raw[first:first + n].astype("<u4"))
                 for col, x in zip(cols, (ids[doc], start, n, crc, sizes[doc],
                                          first_sequence + k, offset, tier,
                                          first_step + step[k]), strict=True):
@@ -201,7 +201,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, end_id: int =
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                              schema=PIECES)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, PIECES_DDL)
+    return id_and_text(docs, id_col, text_col).mapInArrow(light(run), PIECES_DDL)
 
 
 def op4_packing(docs: DataFrame) -> DataFrame:

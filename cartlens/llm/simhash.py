@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import fresh, id_and_text, kept, ready, saved, texts_of
+from cartlens.llm.common import fresh, id_and_text, kept, light, ready, saved, texts_of
 from cartlens.llm.components import components
 
 SHINGLE = 3
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0), batch.column(2), pa.array(fps, pa.int64())], schema=_SCHEMA)
 
     return (id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
-            .mapInArrow(run, "doc_id long, th long, fp long"))
+            .mapInArrow(light(run), "doc_id long, th long, fp long"))
 
 
 def _cell(fp: F.Column) -> F.Column:

@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import cleaned, kept, ready, saved, texts_of
+from cartlens.llm.common import cleaned, kept, light, ready, saved, texts_of
 from cartlens.sources.bucketed import read_bucketed, write_bucketed
 
 WINDOW = 13
@@ -167,7 +167,7 @@ def anchors(rows: DataFrame) -> DataFrame:
                        at.astype(np.int32))
 
     return rows.select("row", "doc_id", "text").mapInArrow(
-        lambda x: runs(x, rows_of, settle_anchors), "h long, doc_id long, row long, pos int")
+        light(lambda x: runs(x, rows_of, settle_anchors)), "h long, doc_id long, row long, pos int")
 
 
 def candidate_windows(rows: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def candidate_windows(rows: DataFrame) -> DataFrame:
                    starts.astype(np.int32))
 
     return rows.select("row", "doc_id", "text", "at").mapInArrow(
-        lambda x: runs(x, rows_of, settle_windows),
+        light(lambda x: runs(x, rows_of, settle_windows)),
         "h1 long, h2 int, doc_id long, row long, pos int")
 
 
@@ -278,7 +278,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     rows = dealt(docs, id_col, text_col)
     return (rows.join(repeated_windows(rows), "row", "left").select("doc_id", "text", "starts")
-            .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
+            .mapInArrow(light(run), "doc_id long, n_words long, n_removed long, kept_sha256 string"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -301,7 +301,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = dealt(docs, id_col, text_col, rest=True)
     joined = rows.join(repeated_windows(rows), "row", "left").select("rest", "text", "starts")
-    left = joined.mapInArrow(run, joined.select("rest", "text").schema)
+    left = joined.mapInArrow(light(run), joined.select("rest", "text").schema)
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c)
                          for c in docs.columns])
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from cartlens.llm.common import kept, pieces
+from cartlens.llm.common import given_back, kept, pieces
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
@@ -32,6 +32,8 @@ HEADS = 50_000
 #: Pieces that are encoded by one call, and ids that are put in place at once.
 CALL_PIECES = 2_000
 GATHERED = 1 << 20
+#: Bytes of texts that are looked up at once.
+LOOKED_UP = 4 << 20
 
 #: How a byte-level vocabulary spells a space.
 SPACE = "Ġ"
@@ -54,6 +56,29 @@ def encoder(path: str) -> "Encoder":
     return encoders[path]
 
 
+class Growing:
+    """An array that grows at its end, seldom copied.  What is put there for the time
+    being lies behind ``held`` until the next entries take its place."""
+
+    def __init__(self, values: np.ndarray) -> None:
+        self.data, self.n = values, len(values)
+
+    @property
+    def held(self) -> np.ndarray:
+        return self.data[:self.n]
+
+    def put(self, values: np.ndarray, keep: bool = True) -> np.ndarray:
+        """All entries, the new ones last."""
+        end = self.n + len(values)
+        if end > len(self.data):
+            longer = np.empty(max(end, self.n * 3 // 2), self.data.dtype)
+            longer[:self.n] = self.held
+            self.data = longer
+        self.data[self.n:end] = values
+        self.n = end if keep else self.n
+        return self.data[:end]
+
+
 class Encoder:
     """``encode(texts)`` gives, per text, its ids as little-endian unsigned
     integers of ``width`` bytes (2 where the vocabulary fits, else 4).
@@ -79,10 +104,21 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.pieces = pa.array([], pa.string())
+        none = np.zeros(0, np.int32)
+        self._hold(pa.chunked_array([], pa.string()), none, none, none, np.zeros(0, self.dtype))
+
+    def _hold(self, pieces_: pa.ChunkedArray, begin: np.ndarray, size: np.ndarray,
+              met: np.ndarray, arena: np.ndarray) -> None:
+        #: In chunks, so that new pieces are added without copying the others.
+        self.pieces = pieces_
         #: Of each piece: its ids' place in ``arena``, their number, the last batch.
-        self.begin, self.size, self.met = (np.zeros(0, np.int32) for _ in range(3))
-        self.arena = np.zeros(0, self.dtype)
+        self._begin, self._size, self._met = Growing(begin), Growing(size), Growing(met)
+        self._arena = Growing(arena)
+
+    begin = property(lambda self: self._begin.held)
+    size = property(lambda self: self._size.held)
+    met = property(lambda self: self._met.held)
+    arena = property(lambda self: self._arena.held)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids."""
@@ -94,8 +130,12 @@ class Encoder:
     def encode_column(self, column: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all texts in one array, each followed by ``end``; each
         text's number of ids).  Null is an empty text."""
-        if not len(column):
+        found = [self._encoded(part, end) for part in _parts(column)]
+        if not found:
             return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _encoded(self, column: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
         arena, begins, sizes, at, first = self._looked_up(column, np.frombuffer(end, self.dtype))
         if end:             # the last entry
             at = np.insert(at, first[1:], len(sizes) - 1)
@@ -114,10 +154,11 @@ class Encoder:
 
     def count_column(self, column: pa.Array) -> np.ndarray:
         """The number of ids of each text."""
-        if not len(column):
-            return np.zeros(0, np.int64)
-        _, _, sizes, at, first = self._looked_up(column, np.zeros(0, self.dtype))
-        return np.add.reduceat(sizes[at], first[:-1], dtype=np.int64)
+        found = [np.zeros(0, np.int64)]
+        for part in _parts(column):
+            _, _, sizes, at, first = self._looked_up(part, np.zeros(0, self.dtype))
+            found.append(np.add.reduceat(sizes[at], first[:-1], dtype=np.int64))
+        return np.concatenate(found)
 
     def _looked_up(self, column: pa.Array, end: np.ndarray) -> tuple[np.ndarray, ...]:
         """(ids; entries' places there and sizes; each piece's entry; each text's
@@ -159,42 +200,47 @@ class Encoder:
             extra.append(ids)
         extra.append(end)
         more = np.fromiter(map(len, extra), np.int32, len(extra))
-        return (np.concatenate([self.arena, *extra]),
-                np.r_[self.begin, (len(self.arena) + np.cumsum(more) - more).astype(np.int32)],
-                np.r_[self.size, more], at, first)
+        begins = (len(self.arena) + np.cumsum(more) - more).astype(np.int32)
+        return (self._arena.put(np.concatenate(extra), keep=False),
+                self._begin.put(begins, keep=False), self._size.put(more, keep=False), at, first)
 
     def _places(self, parts: pa.Array, loose: np.ndarray) -> np.ndarray:
         """The memo's entry of each distinct piece (with a space in front), learned
         if need be."""
-        found = pc.index_in(parts, value_set=self.pieces)
-        places = found.fill_null(-1).to_numpy().astype(np.int32)
+        # The hash table is made of the batch's pieces and asked for the memo's: made
+        # of the memo's it would take several times the memory of the memo itself.
+        places, before = np.full(len(parts), -1, np.int32), 0
+        found = pc.index_in(self.pieces, value_set=parts)
+        for chunk in found.chunks:
+            known = np.flatnonzero(chunk.is_valid().to_numpy(zero_copy_only=False))
+            places[chunk.drop_null().to_numpy()] = before + known
+            before += len(chunk)
         for kind in (False, True):
             new = np.flatnonzero((places < 0) & (loose == kind))
             if len(new):
                 places[new] = len(self.size) + np.arange(len(new))
                 pieces_ = parts.take(pa.array(new))
                 ids, sizes = (self._one_by_one if kind else self._in_runs)(pieces_.to_pylist())
-                self.pieces = pa.concat_arrays([self.pieces, pieces_])
+                self.pieces = pa.chunked_array([*self.pieces.chunks, pieces_])
                 sizes = sizes.astype(np.int32)
-                begin = len(self.arena) + np.cumsum(sizes) - sizes
-                self.begin = np.r_[self.begin, begin.astype(np.int32)]
-                self.size = np.r_[self.size, sizes]
-                self.met = np.r_[self.met, np.zeros(len(new), np.int32)]
-                self.arena = np.concatenate([self.arena, ids])
+                self._begin.put(len(self.arena) + np.cumsum(sizes) - sizes)
+                self._size.put(sizes)
+                self._met.put(np.zeros(len(new), np.int32))
+                self._arena.put(ids)
         self.met[places] = self.batch
         return places
 
     def _forget(self) -> None:
         """Keep the half of the pieces that was met last."""
-        keep = np.sort(np.argsort(-self.met, kind="stable")[:len(self.met) // 2])
+        order = np.argsort(self.met, kind="stable")[len(self.met) - len(self.met) // 2:]
+        keep = np.sort(order).astype(np.int32)
         if not len(keep):
             return self._clear()
-        size = self.size[keep]
-        places = np.repeat(self.begin[keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        self.pieces = self.pieces.take(pa.array(keep))
-        self.arena = self.arena[places]
-        self.begin, self.size = (np.cumsum(size) - size).astype(np.int32), size
-        self.met = self.met[keep]
+        size, stays = self.size[keep], np.zeros(len(self.met), bool)
+        stays[keep] = True
+        pieces_ = self.pieces.take(pa.array(keep)).combine_chunks()
+        self._hold(pa.chunked_array([pieces_]), (np.cumsum(size) - size).astype(np.int32), size,
+                   self.met[keep], self.arena[np.repeat(stays, self.size)])
 
     def _in_runs(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces, the number of each).  No piece ends in white space,
@@ -252,6 +298,19 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
 
 
+def _parts(column: pa.Array) -> Iterator[pa.Array]:
+    """The column in runs of texts with some ``LOOKED_UP`` bytes, or of one text."""
+    column = column.cast(pa.string())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(), dtype=np.int64)
+    a = 0
+    while a < len(ends):
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + LOOKED_UP, "right")))
+        yield column.slice(a, b - a)
+        given_back()
+        a = b
+
+
 def _loose_ends(parts: pa.Array) -> np.ndarray:
     """Which pieces are empty or end in white space."""
     last = pc.utf8_slice_codeunits(parts, -1).dictionary_encode()

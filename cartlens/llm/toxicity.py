@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import id_and_text, kept, ready, saved
+from cartlens.llm.common import given_back, id_and_text, kept, light, ready, saved
 
 #: Labelled documents of each class that the lexicon is learned from, at most.
 SAMPLE = 20_000
@@ -206,6 +206,7 @@ def score_column(lexicon: Lexicon, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def score(texts):
+        given_back()
         m = _matcher(lexicon)
         return type(texts)([m.score(t or "") for t in texts], dtype="float64")
 
@@ -258,7 +259,7 @@ def _counted(sample: DataFrame, make, least: int) -> DataFrame:
                     yield from sent(pos, neg)
         yield from sent(pos, neg)
 
-    return (sample.mapInArrow(run, "term string, pos long, neg long").groupBy("term")
+    return (sample.mapInArrow(light(run), "term string, pos long, neg long").groupBy("term")
             .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
             .where(F.greatest("pos", "neg") >= least))
 
@@ -359,7 +360,7 @@ def _curve(data: DataFrame, lexicon: Lexicon, share: float) -> tuple[float, floa
                 "toxic": pa.array([k[2] for k in found], pa.int32()),
                 "n": pa.array(list(found.values()), pa.int64())})
 
-    rows = (data.mapInArrow(cells, "x int, y int, toxic int, n long").groupBy("x", "y", "toxic")
+    rows = (data.mapInArrow(light(cells), "x int, y int, toxic int, n long").groupBy("x", "y", "toxic")
             .agg(F.sum("n").alias("n")).collect())
     grid = np.array([(1.0, r["x"] / 5, r["y"] / 5) for r in rows])
     label = np.array([r["toxic"] for r in rows], float)

@@ -1,5 +1,8 @@
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +80,53 @@ def test_workers_keep_one_operators_memo():
     assert kept("tokens") == {} and kept("another") == {}
 
 
+def test_texts_looked_up_in_runs_give_the_same_ids(plain, monkeypatch):
+    texts = ["", None, "one two", "a  b <|endoftext|> c", "é" * 9, None, "one", " x ", "two one two"]
+    for size in (1, 7, 20):
+        monkeypatch.setattr(tokens, "LOOKED_UP", size)
+        monkeypatch.setattr(tokens, "MEMO_BYTES", 40 * size)
+        enc = tokens.Encoder(tokens.tokenizer_path(None))
+        for column in (pa.array(texts), pa.array(texts).slice(2, 5), pa.array([None], pa.string())):
+            flat, sizes = enc.encode_column(column, b"\x07\x00")
+            ids = [[*plain(t), 7] for t in column.to_pylist()]
+            assert sizes.tolist() == [len(i) for i in ids] and flat.tolist() == sum(ids, [])
+            assert enc.count_column(column).tolist() == [len(i) - 1 for i in ids]
+
+
+def test_a_worker_gives_freed_memory_back():
+    """What encoding takes at its peak beside texts, ids and memo, and what is left
+    when another operator takes the worker over."""
+    code = """
+import re, resource
+import numpy as np
+import pyarrow as pa
+from cartlens.llm import common, tokens
+
+def now():
+    held = re.findall(r"Pss_(?:Anon|Shmem): +([0-9]+)", open("/proc/self/smaps_rollup").read())
+    return sum(map(int, held)) >> 10
+
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10
+enc = tokens.encoder(tokens.tokenizer_path(None))
+enc.encode(["one text"])
+rng = np.random.default_rng(1)
+words = np.array([f"{x:x}"[:5] + "ing" for x in rng.integers(1 << 20, 1 << 32, 400_000).tolist()])
+texts = pa.array([" ".join(words[rng.integers(0, len(words), 2000)].tolist()) for _ in range(900)])
+del words
+before, top = now(), peak()
+enc.encode_column(texts)
+del enc
+top = peak() - top
+common.kept("another")
+print(top, now() - before)
+"""
+    root = Path(tokens.__file__).parents[2]
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True,
+                          timeout=120, check=True)
+    peak, idle = map(int, done.stdout.split())
+    assert peak < 55 and idle < 15
+
+
 def test_token_files_round_trip(documents, plain):
     rows = [r.asDict() for r in token_files.op1_token_files(documents).collect()]
     want = sorted(((r.doc_id is not None, r.doc_id or 0, crc([*plain(r.text), 2]),
